@@ -41,7 +41,7 @@ class Tiling:
 
     The columns of a row are wide enough that everything within ``reach`` metres of a point lies in
     the 3 x 3 tiles around it, at any latitude and across the date line. Near a pole a row is one tile.
-    The number of columns is worked out here once per row, so that all tasks agree on it.
+    Latitude and longitude are given as column names.
     """
 
     degrees: float
@@ -56,49 +56,49 @@ class Tiling:
     def reach(self) -> float:
         return math.radians(self.degrees) * P.EARTH_RADIUS
 
-    @property
-    def _rows(self) -> range:
-        return range(math.floor(-90 / self.degrees) - 1, math.floor(90 / self.degrees) + 2)
-
-    def _columns(self, row: int) -> int:
+    def _columns_of(self, row: int) -> float:
+        """Columns of a row before rounding down; the same rule as ``columns``, for planning and tests."""
         farthest = max(abs(row - 1), abs(row + 2)) * self.degrees
-        if farthest + self.degrees >= 90:
-            return 1
-        ratio = math.sin(math.radians(self.degrees)) / math.cos(math.radians(farthest))
-        return max(1, math.floor(360 / math.degrees(math.asin(min(1.0, ratio)))))
+        if farthest + 2 * self.degrees >= 90:
+            return 1.0
+        return 360 / math.degrees(math.asin(math.sin(math.radians(self.degrees)) / math.cos(math.radians(farthest))))
+
+    @property
+    def rows(self) -> range:
+        return range(math.floor(-90 / self.degrees), math.floor(90 / self.degrees) + 1)
 
     @property
     def max_tiles(self) -> int:
         """Upper bound of the number of tiles; independent of the data."""
-        return sum(self._columns(r) for r in self._rows)
+        return sum(math.floor(self._columns_of(r)) for r in self.rows)
 
-    def columns(self, row: Column) -> Column:
-        per_row = F.array(*[F.lit(self._columns(r)) for r in self._rows])
-        return F.element_at(per_row, row - F.lit(self._rows.start) + 1)
+    def columns(self, row: str) -> str:
+        """SQL of the number of columns of a row."""
+        size = math.sin(math.radians(self.degrees))
+        farthest = f"greatest(abs({row} - 1), abs({row} + 2)) * {self.degrees}D"
+        return (
+            f"if({farthest} + {2 * self.degrees}D >= 90, 1,"
+            f" cast(floor(360D / degrees(asin({size!r}D / cos(radians({farthest}))))) as int))"
+        )
 
-    def row(self, lat) -> Column:
-        return F.floor(col(lat) / F.lit(self.degrees)).cast("int")
+    def row(self, lat: str) -> str:
+        return f"cast(floor({lat} / {self.degrees}D) as int)"
 
-    def column(self, lon, row: Column) -> Column:
-        n = self.columns(row)
-        turn = F.pmod(col(lon), F.lit(360.0)) / F.lit(360.0)
-        return F.least(F.floor(turn * n).cast("int"), n - 1)
+    def column(self, lon: str, n: str) -> str:
+        return f"least(cast(floor(pmod({lon}, 360D) / 360D * {n}) as int), {n} - 1)"
 
-    def own(self, lat, lon) -> list[Column]:
+    def own(self, lat: str, lon: str) -> list[Column]:
         """The tile a point lies in, as columns ``ty`` and ``tx``."""
         row = self.row(lat)
-        return [row.alias("ty"), self.column(lon, row).alias("tx")]
-
-    def around(self, lat, lon) -> Column:
-        """Array of the tiles in the 3 x 3 block around a point, each once."""
-
-        def in_row(row: Column) -> Column:
-            n = self.columns(row)
-            here = self.column(lon, row)
-            ring = F.array_distinct(
-                F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: F.pmod(here + k, n))
-            )
-            return F.transform(ring, lambda tx: F.struct(row.alias("ty"), tx.alias("tx")))
-
-        row = self.row(lat)
-        return F.flatten(F.transform(F.sequence(row - 1, row + 1), in_row))
+        return [F.expr(row).alias("ty"), F.expr(self.column(lon, self.columns(row))).alias("tx")]
+
+    def around(self, lat: str, lon: str, extra: str = "") -> Column:
+        """Array of the tiles (ty, tx) in the 3 x 3 block around a point, each once.
+
+        Written as one SQL expression: the nested lambdas are parsed once instead of being put
+        together call by call. ``extra`` is more fields of the tiles, as SQL.
+        """
+        rows = f"transform(array(-1, 0, 1), k -> {self.row(lat)} + k)"
+        counted = f"transform({rows}, ty -> named_struct('ty', ty, 'n', {self.columns('ty')}))"
+        ring = f"array_distinct(transform(array(-1, 0, 1), k -> pmod({self.column(lon, 'r.n')} + k, r.n)))"
+        return F.expr(f"flatten(transform({counted}, r -> transform({ring}, tx -> named_struct({extra}'ty', r.ty, 'tx', tx))))")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import geo as G
 
-# Tile sizes in degrees that the search for the nearest node goes through.
-NEAREST_LEVELS = (0.125, 1.0, 8.0, 64.0)
+# Tile sizes in degrees for the search of the nearest node, each ten times the one before. At the last
+# one the block around a point is the whole sphere.
+NEAREST_LEVELS = (0.02, 0.2, 2.0, 20.0, 200.0)
 # A tile table up to this many rows is small enough to broadcast (24 bytes a row).
 BROADCAST_TILES = 200_000
 # Points and nodes of one tile that one task joins.
@@ -23,35 +24,38 @@ TASK_POINTS, TASK_NODES = 4096, 16384
 def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> DataFrame:
     """Nearest node of every point: (sid, cell, distance); equal millimetres go to the lowest cell.
 
-    The search starts with small tiles. A point whose best candidate is closer than the reach of the
-    3 x 3 block has its true nearest node; only the others go on to the next, larger tiles, and with
-    none left the following stages are empty. Beyond the reach of the last level, a quarter of the
-    way round the earth, there is no node.
+    First the smallest tiles are found at which the 3 x 3 block around a point holds any node. That
+    node is at most nine tile heights away, so one level up, with tiles ten times as high, the block
+    is sure to hold the nearest one, and only its nodes are compared. The search is exact, adapts to
+    the density of the grid and joins on tiles throughout.
     """
-    open_points = points.select("sid", "lat", "lon")
+    tilings = [G.Tiling(degrees) for degrees in levels]
     nodes = grid.select("cell", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"))
-    found = []
-    for degrees in levels:
-        best, open_points = _nearest_at(open_points, nodes, G.Tiling(degrees))
-        found.append(best)
-    closest = found[0]
-    for best in found[1:]:
-        closest = closest.unionByName(best)
-    return points.select("sid").join(closest, "sid", "left")
-
-
-def _nearest_at(points: DataFrame, nodes: DataFrame, tiling: G.Tiling) -> tuple[DataFrame, DataFrame]:
-    left = points.select("sid", "lat", "lon", F.inline(tiling.around("lat", "lon")))
-    right = nodes.select("*", *tiling.own("cell_lat", "cell_lon"))
+    own = F.array(*[F.struct(F.lit(k).alias("level"), *t.own("cell_lat", "cell_lon")) for k, t in enumerate(tilings)])
+    tiles = ["level", "ty", "tx"]
+    tiled = nodes.select("*", F.inline(own))
+
+    everywhere = F.flatten(F.array(*[_at_level(t, k) for k, t in enumerate(tilings)]))
+    occupied = (
+        points.select("sid", "lat", "lon", F.inline(everywhere))
+        .join(tiled.select(*tiles).distinct(), tiles, "left_semi")
+        .groupBy("sid", "lat", "lon")
+        .agg(F.least(F.min("level") + 1, F.lit(len(levels) - 1)).alias("up"))
+    )
+    block = F.coalesce(*[F.when(F.col("up") == k, _at_level(t, k)) for k, t in enumerate(tilings) if k > 0])
     millimetres = F.floor(G.haversine("lat", "lon", "cell_lat", "cell_lon") * 1000 + 0.5)
-    best = (
-        left.join(right, ["ty", "tx"])
+    return (
+        occupied.select("sid", "lat", "lon", F.inline(block))
+        .join(tiled.where("level > 0"), tiles)
         .groupBy("sid")
         .agg(F.min(F.struct(millimetres.alias("mm"), "cell")).alias("best"))
-        .where(F.col("best.mm") <= int(tiling.reach * 1000))
         .select("sid", F.col("best.cell").alias("cell"), (F.col("best.mm") / 1000).alias("distance"))
     )
-    return best, points.join(best, "sid", "left_anti")
+
+
+def _at_level(tiling: G.Tiling, level: int):
+    """The block around a point as (level, ty, tx)."""
+    return tiling.around("lat", "lon", f"'level', {level}, ")
 
 
 def sample_fields(nearest: DataFrame, fields: DataFrame, names: list[str]) -> DataFrame:
