@@ -28,6 +28,11 @@ def land_points(t):
     return points.join(X.sample_static(X.nearest_cell(points, grid), grid, {"lc": "land"}), "sid")
 
 
+def weighted(t):
+    """Points near each node with their correlation."""
+    return I.barnes_weights(land_points(t), t.grid(), counted=t.oi_points())
+
+
 def fields(t):
     """Grid fields in model units with their valid time."""
     valid = F.lit(ANALYSIS).cast("timestamp_ntz") + S.hours("leadtime")
@@ -150,7 +155,7 @@ def missing_fill_output(t):
 @query("zero_background", "select g.cell, g.leadtime, 0e0 as background, 0e0 + d.diff as increment from grid_fc g left join diff1 d on d.cell = g.cell where g.leadtime >= 1", "background increment")
 def zero_background(t):
     """Biases are gridded onto zeros, so the analysis is the increment itself."""
-    diff = I.oi_nearest1(I.barnes_weights(land_points(t), t.grid()))
+    diff = I.oi_nearest1(weighted(t))
     zero = t.grid_fc().where("leadtime >= 1").select("cell", "leadtime", F.lit(0.0).alias("background"))
     return zero.join(diff, "cell", "left").withColumn("increment", F.col("background") + F.col("diff")).drop("diff")
 
@@ -165,24 +170,24 @@ def land_mask(t):
 
 @query("join_neighbours_radius", "select cell, sid, distance / 1e3 as km from near_pairs", "km")
 def join_neighbours_radius(t):
-    near = X.neighbours(land_points(t), t.grid())
+    near = X.neighbours(land_points(t), t.grid(), counted=t.oi_points())
     return near.select("cell", "sid", (F.col("distance") / 1000).alias("km"))
 
 
 @query("barnes_weight", "select cell, sid, rho from near_weighted where rho > 0", "rho")
 def barnes_weight(t):
-    return I.barnes_weights(land_points(t), t.grid()).select("cell", "sid", "rho")
+    return weighted(t).select("cell", "sid", "rho")
 
 
 @query("topk_neighbours", "select cell, sid, rank, rho from near_ranked where rank <= 20", "rho")
 def topk_neighbours(t):
-    top = X.top_neighbours(I.barnes_weights(land_points(t), t.grid()))
+    top = X.top_neighbours(weighted(t))
     return top.select("cell", "sid", F.col("rank").cast("bigint").alias("rank"), "rho")
 
 
 @query("oi_nearest1", "select cell, diff from diff1", "diff")
 def oi_nearest1(t):
-    return I.oi_nearest1(I.barnes_weights(land_points(t), t.grid()))
+    return I.oi_nearest1(weighted(t))
 
 
 _between = barnes_sql(haversine_sql("a.lat", "a.lon", "b.lat", "b.lon"), "a.elev - b.elev", "a.land - b.land")
@@ -194,52 +199,50 @@ select cell, case when rho2 is null then rho1*b1/1.1e0 else ((1.1e0*rho1 - r*rho
  from (select * from near_ranked where rank = 1) a left join (select * from near_ranked where rank = 2) b on a.cell = b.cell) x
 """, "diff")
 def oi_pair2(t):
-    return I.oi_pair2(I.barnes_weights(land_points(t), t.grid()))
+    return I.oi_pair2(weighted(t))
 
 
 @query("oi_weights")
 def oi_weights(t):
     """Weights of up to 20 points per node; checked in the tests against a dense solve."""
-    return I.oi_weights(I.barnes_weights(land_points(t), t.grid()))
+    return I.oi_weights(weighted(t))
 
 
 def lead_biases(t):
     """A bias per point and lead that fades with the lead."""
-    return land_points(t).select("sid", "bias", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("leadtime")).select(
+    return t.oi_points().select("sid", "bias", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("leadtime")).select(
         "sid", "leadtime", (F.col("bias") / F.col("leadtime")).alias("bias")
     )
 
 
 @query("oi_analysis")
 def oi_analysis(t):
-    return I.oi_analysis(land_points(t), lead_biases(t), t.grid())
+    return I.oi_analysis(land_points(t), lead_biases(t), t.grid(), counted=t.oi_points())
 
 
 @query("join_correction", "select g.cell, g.leadtime, g.t2 - 273.15e0 - coalesce(d.diff, 0) as corrected from grid_fc g left join diff1 d on d.cell = g.cell and g.leadtime >= 1", "corrected")
 def join_correction(t):
-    diff = I.oi_nearest1(I.barnes_weights(land_points(t), t.grid()))
+    diff = I.oi_nearest1(weighted(t))
     per_lead = diff.withColumn("leadtime", F.explode(F.sequence(F.lit(1), F.lit(6))))
     return J.join_correction(background(t, "t2"), per_lead).select("cell", "leadtime", "corrected")
 
 
 def _finished_sql(param: str) -> str:
-    p = P.parameter(param)
     value = {"temperature": "t2m", "humidity": "rh2m", "windspeed": "s10m", "gust": "gmax"}[param]
     limit = P.DIFF_LIMITS.get(param)
-    diff = f"greatest(-{limit}e0, least({limit}e0, d.diff / f.leadtime))" if limit else "d.diff / f.leadtime"
-    raw = f"f.{value} - coalesce({diff}, 0)"
+    diff = "coalesce(d.diff / f.leadtime, 0)"
+    raw = f"f.{value} - " + (f"greatest(-{limit}e0, least({limit}e0, {diff}))" if limit else diff)
     if param == "temperature":
         low, high = P.TEMPERATURE_LIMITS[6][1:]
         final = f"greatest({low}e0, least({high}e0, {raw} + 273.15e0))"
     else:
         low, high = P.OUTPUT_LIMITS[param]
         final = f"greatest({low}e0, least({high}e0, {raw}))" + (" / 100e0" if param == "humidity" else "")
-    assert p
     return f"select f.cell, f.leadtime, f.forecasttime, {final} as value from fc_fields f left join diff1 d on d.cell = f.cell where f.leadtime >= 1"
 
 
 def finished(t, param):
-    diff = I.oi_nearest1(I.barnes_weights(land_points(t), t.grid()))
+    diff = I.oi_nearest1(weighted(t))
     leads = diff.withColumn("leadtime", F.explode(F.sequence(F.lit(1), F.lit(6))))
     per_lead = leads.withColumn("diff", F.col("diff") / F.col("leadtime"))
     return C.finish_grid(background(t, P.parameter(param).field).where("leadtime >= 1"), per_lead, param)
@@ -258,7 +261,7 @@ for _param in P.PARAMETERS:
 @query("correct_grid")
 def correct_grid(t):
     """Corrected temperature with the full interpolation."""
-    return C.correct_grid(background(t, "t2"), land_points(t), lead_biases(t), t.grid(), "temperature")
+    return C.correct_grid(background(t, "t2"), land_points(t), lead_biases(t), t.grid(), "temperature", counted=t.oi_points())
 
 
 @query("uncorrected_fallback", f"""

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from .. import params as P
-from ..operators import interpolation as I
 from ..operators import model as M
 from ..operators import prepare as R
 from ..plans import correction as C
@@ -93,7 +92,4 @@ def correct_grid_model(t):
     """The whole operational job: features, predicted biases, interpolation, limits."""
     model = M.train(rows(t), "T2m", small())
     biases = C.predicted_biases(served(t, "temperature"), model, "T2m")
-    points = land_points(t).join(biases.select("sid").distinct(), "sid", "left_semi")
-    return C.finish_grid(background(t, "t2").where("leadtime >= 1"), I.oi_analysis(points, biases, t.grid()), "temperature")
-
-
+    return C.correct_grid(background(t, "t2"), land_points(t), biases, t.grid(), "temperature", counted=t.oi_points())

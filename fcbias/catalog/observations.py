@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import quality as Q
 from ..plans import correction as C
 from ..session import new_folder
-from ..sources.standins import EVENT_SCHEMA, crowd_feed
+from ..sources.standins import SCHEMAS, crowd_feed
 from ..streaming import crowd as SC
 from .registry import query
 from .views import nearest_sql
@@ -215,10 +216,10 @@ where rn = 1 and window_start + interval '10' minute <= (select max(ts) from eve
 """, "latitude longitude value")
 def stream_crowd_window(t):
     """The feed read as a stream until its end; the windows the watermark has closed."""
-    events = t.spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    events = t.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(t.folder)
     out, checkpoint = new_folder(t.spark, "stream-out"), new_folder(t.spark, "stream-checkpoint")
     SC.run_once(SC.first_per_window(crowd_feed(events)), out, checkpoint)
-    schema = SC.first_per_window(t.crowd_events()).schema
-    return t.spark.read.schema(schema).parquet(out)
+    closed = t.spark.read.schema(SC.first_per_window(t.crowd_events()).schema).parquet(out)
+    return closed.withColumns({c: S.instant_to_utc(c) for c in ("window_start", "window_end", "ts")})
 
 

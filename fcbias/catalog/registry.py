@@ -6,7 +6,6 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..sources.standins import StandIns
 from .views import VIEWS
@@ -23,12 +22,12 @@ def six(expression: str) -> str:
 def tidy(df: DataFrame) -> DataFrame:
     """Floating columns to six decimals, as ``six`` does, so that summation order does not show."""
 
-    def column(name: str, kind: str):
+    def column(name: str, kind: str) -> str:
         if kind in ("double", "float"):
-            return (F.floor(F.col(name).cast("double") * 1e6 + 0.501) / 1e6).alias(name)
-        return F.col(name)
+            return f"floor(cast(`{name}` as double) * 1e6D + 0.501D) / 1e6D as `{name}`"
+        return f"`{name}`"
 
-    return df.select(*[column(n, k) for n, k in df.dtypes])
+    return df.selectExpr(*[column(n, k) for n, k in df.dtypes])
 
 
 def with_views(sql: str) -> str:

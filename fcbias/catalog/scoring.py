@@ -33,7 +33,7 @@ def count_rows_stations(t):
 
 @query("rmse_overall", "select sqrt(avg(power(t2m - ta_pt1m_avg, 2))) as rmse_raw, count(*) as n from rows_t2m", "rmse_raw")
 def rmse_overall(t):
-    return A.rmse_overall(T.model_rows(training(t), "T2m"), "T2m").withColumn("rmse_raw", F.round("rmse_raw", 4))
+    return A.rmse_overall(T.model_rows(training(t), "T2m"), "T2m")
 
 
 @query("rmse_by_lead", "select leadtime, sqrt(avg(power(cast(wsero as double), 2))) as rmse_raw, count(*) as n from rows_ws group by leadtime", "rmse_raw")
@@ -57,7 +57,7 @@ def mae_by_fold(t):
 
 
 _BINS = """
-(select *, least(59, cast(floor((x - x0) / (x1 - x0) * 60) as int)) as bx, least(59, cast(floor((y - y0) / (y1 - y0) * 60) as int)) as by_ from (
+(select *, least(59, cast(floor((x - x0) / (x1 - x0) * 60 + 1e-9) as int)) as bx, least(59, cast(floor((y - y0) / (y1 - y0) * 60 + 1e-9) as int)) as by_ from (
  select sid, fcdate, leadtime, x, y, min(x) over () as x0, max(x) over () as x1, min(y) over () as y0, max(y) over () as y1, count(*) over () as total
  from (select sid, fcdate, leadtime, ta_pt1m_avg as x, t2m as y from training where ta_pt1m_avg is not null) p) b)
 """

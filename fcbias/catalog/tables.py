@@ -14,6 +14,7 @@ from ..operators import prepare as R
 from ..operators import quality as Q
 from ..plans import training as T
 from ..sources.standins import ANALYSIS, FOLDS
+from .archive import training_archive
 from .registry import query
 from .views import barnes_sql, haversine_sql, time_sql, training_doubles, training_sql
 
@@ -25,7 +26,8 @@ BIAS0, BIAS1 = "t0bias rh0bias ws0bias wg0bias", "t1bias rh1bias ws1bias wg1bias
 
 
 def training(t):
-    return T.build_training_table(t.fc_narrow(), t.obs())
+    """The stored training table, which its users read as often as they like."""
+    return t.spark.read.parquet(training_archive(t)).drop("period")
 
 
 def errors(t):
@@ -86,7 +88,7 @@ def lead_bias_window(t):
 
 @query("build_training_table", "select * from training", f"{SITE} {WIDE} {OBS} {ERRORS} {BIAS0} {BIAS1}")
 def build_training_table(t):
-    return training(t)
+    return T.build_training_table(t.fc_narrow(), t.obs())
 
 
 @query("dropna_all_subset", "select count(*) as n, count(ta_pt1m_avg) as n_ta, count(wg_pt1h_max) as n_wg from fc_err where coalesce(rh_pt1m_avg, ta_pt1m_avg, ws_pt10m_avg, wg_pt1h_max) is not null")

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -35,16 +33,17 @@ def search_radius(min_rho: float = P.MIN_RHO, scale: float = P.BARNES_H) -> floa
     return scale * math.sqrt(-2 * math.log(min_rho))
 
 
-@dataclass(frozen=True)
 class Tiling:
-    """Cuts the sphere into rows of ``degrees`` latitude and, per row, a whole number of columns.
+    """Cuts the sphere into rows of some degrees of latitude and, per row, a whole number of columns.
 
     The columns of a row are wide enough that everything within ``reach`` metres of a point lies in
-    the 3 x 3 tiles around it, at any latitude and across the date line. Near a pole a row is one tile.
-    Latitude and longitude are given as column names.
+    the 3 x 3 tiles around it, at any latitude and across the date line. Near a pole a row is one
+    tile. ``degrees`` is a number or the name of a column, so that one plan can hold several sizes.
     """
 
-    degrees: float
+    def __init__(self, degrees: float | str):
+        self.degrees = degrees
+        self.height = degrees if isinstance(degrees, str) else f"{degrees}D"
 
     @classmethod
     def for_radius(cls, metres: float) -> Tiling:
@@ -52,12 +51,8 @@ class Tiling:
         need = math.degrees(metres / P.EARTH_RADIUS)
         return cls(1.0 if need <= 1.0 else need)
 
-    @property
-    def reach(self) -> float:
-        return math.radians(self.degrees) * P.EARTH_RADIUS
-
-    def _columns_of(self, row: int) -> float:
-        """Columns of a row before rounding down; the same rule as ``columns``, for planning and tests."""
+    def columns_of(self, row: int) -> float:
+        """Columns of a row before rounding down; the rule of ``_columns`` for planning and tests."""
         farthest = max(abs(row - 1), abs(row + 2)) * self.degrees
         if farthest + 2 * self.degrees >= 90:
             return 1.0
@@ -70,35 +65,40 @@ class Tiling:
     @property
     def max_tiles(self) -> int:
         """Upper bound of the number of tiles; independent of the data."""
-        return sum(math.floor(self._columns_of(r)) for r in self.rows)
+        return sum(math.floor(self.columns_of(r)) for r in self.rows)
 
-    def columns(self, row: str) -> str:
-        """SQL of the number of columns of a row."""
-        size = math.sin(math.radians(self.degrees))
-        farthest = f"greatest(abs({row} - 1), abs({row} + 2)) * {self.degrees}D"
-        return (
-            f"if({farthest} + {2 * self.degrees}D >= 90, 1,"
-            f" cast(floor(360D / degrees(asin({size!r}D / cos(radians({farthest}))))) as int))"
-        )
+    def _row(self, lat: str) -> str:
+        return f"cast(floor({lat} / {self.height}) as int)"
 
-    def row(self, lat: str) -> str:
-        return f"cast(floor({lat} / {self.degrees}D) as int)"
+    def _columns(self, row: str) -> str:
+        farthest = f"greatest(abs({row} - 1), abs({row} + 2)) * {self.height}"
+        width = f"degrees(asin(sin(radians({self.height})) / cos(radians({farthest}))))"
+        return f"if({farthest} + 2 * {self.height} >= 90, 1, cast(floor(360D / {width}) as int))"
 
-    def column(self, lon: str, n: str) -> str:
+    def _column(self, lon: str, n: str) -> str:
         return f"least(cast(floor(pmod({lon}, 360D) / 360D * {n}) as int), {n} - 1)"
 
-    def own(self, lat: str, lon: str) -> list[Column]:
-        """The tile a point lies in, as columns ``ty`` and ``tx``."""
-        row = self.row(lat)
-        return [F.expr(row).alias("ty"), F.expr(self.column(lon, self.columns(row))).alias("tx")]
-
-    def around(self, lat: str, lon: str, extra: str = "") -> Column:
-        """Array of the tiles (ty, tx) in the 3 x 3 block around a point, each once.
-
-        Written as one SQL expression: the nested lambdas are parsed once instead of being put
-        together call by call. ``extra`` is more fields of the tiles, as SQL.
-        """
-        rows = f"transform(array(-1, 0, 1), k -> {self.row(lat)} + k)"
-        counted = f"transform({rows}, ty -> named_struct('ty', ty, 'n', {self.columns('ty')}))"
-        ring = f"array_distinct(transform(array(-1, 0, 1), k -> pmod({self.column(lon, 'r.n')} + k, r.n)))"
-        return F.expr(f"flatten(transform({counted}, r -> transform({ring}, tx -> named_struct({extra}'ty', r.ty, 'tx', tx))))")
+    def own(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
+        """Add the tile (ty, tx) a point lies in."""
+        return (
+            df.withColumn("ty", F.expr(self._row(lat)))
+            .withColumn("_n", F.expr(self._columns("ty")))
+            .withColumn("tx", F.expr(self._column(lon, "_n")))
+            .drop("_n")
+        )
+
+    def around(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
+        """One row per tile (ty, tx) of the 3 x 3 block around a point, each tile once."""
+        return (
+            df.withColumn("_dy", F.expr("explode(array(-1, 0, 1))"))
+            .withColumn("ty", F.expr(f"{self._row(lat)} + _dy"))
+            .withColumn("_n", F.expr(self._columns("ty")))
+            .withColumn("_dx", F.expr("explode(array(-1, 0, 1))"))
+            .where("_dx = 0 or _n > 1")
+            .withColumn("tx", F.expr(f"pmod({self._column(lon, '_n')} + _dx, _n)"))
+            .drop("_dy", "_dx", "_n")
+        )
+
+    @property
+    def reach(self) -> float:
+        return math.radians(self.degrees) * P.EARTH_RADIUS

@@ -94,6 +94,11 @@ def epoch_to_utc(c) -> Column:
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), col(c).cast("decimal(18,6)"))
 
 
+def instant_to_utc(c) -> Column:
+    """An instant as a UTC timestamp without zone."""
+    return epoch_to_utc(F.unix_micros(col(c)) / F.lit(1000000).cast("decimal(10,0)"))
+
+
 def utc_to_epoch(c) -> Column:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_diff("SECOND", epoch, col(c))

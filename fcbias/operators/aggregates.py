@@ -92,7 +92,8 @@ def hist2d_density(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> Da
 def with_bins(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFrame:
     """Points with their bin, the area of a bin and the number of points.
 
-    A range of zero is widened by one half on both sides.
+    A range of zero is widened by one half on both sides. A value on an edge belongs to the bin above,
+    also if the last bits of the arithmetic put it just below.
     """
     points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     edges = points.agg(
@@ -109,7 +110,7 @@ def with_bins(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFra
 
     def bin_of(c: str, lo: str, hi: str) -> Column:
         low, width = low_width(lo, hi)
-        return F.least(F.lit(bins - 1), F.floor((F.col(c) - low) / width * bins).cast("int"))
+        return F.least(F.lit(bins - 1), F.floor((F.col(c) - low) / width * bins + 1e-9).cast("int"))
 
     area = low_width("x0", "x1")[1] / bins * low_width("y0", "y1")[1] / bins
     return (

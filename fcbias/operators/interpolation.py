@@ -22,12 +22,12 @@ WEIGHT_SCHEMA = "cell int, sid array<int>, weight array<double>"
 NODES_PER_BATCH = 512
 
 
-def barnes_weights(points: DataFrame, grid: DataFrame) -> DataFrame:
+def barnes_weights(points: DataFrame, grid: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Points near each node with the correlation ``rho`` of node and point.
 
     Points are rows of (sid, lat, lon, elev, land); points without a bias are to be left out before.
     """
-    near = spatial.neighbours(points, grid)
+    near = spatial.neighbours(points, grid, counted=counted)
     rho = G.barnes(F.col("distance"), F.col("cell_elev") - F.col("elev"), F.col("cell_land") - F.col("land"))
     return near.withColumn("rho", rho).where(F.col("rho") > 0)
 
@@ -128,7 +128,7 @@ def apply_weights(weights: DataFrame, biases: DataFrame) -> DataFrame:
     )
 
 
-def oi_analysis(points: DataFrame, biases: DataFrame, grid: DataFrame, k: int = P.MAX_POINTS) -> DataFrame:
+def oi_analysis(points: DataFrame, biases: DataFrame, grid: DataFrame, k: int = P.MAX_POINTS, counted: DataFrame | None = None) -> DataFrame:
     """Increments (cell, leadtime, diff) on the grid from biases at points; nodes out of reach have no row."""
     usable = points.join(biases.where("leadtime = 1 and bias is not null").select("sid"), "sid", "left_semi")
-    return apply_weights(oi_weights(barnes_weights(usable, grid), k), biases)
+    return apply_weights(oi_weights(barnes_weights(usable, grid, counted), k), biases)

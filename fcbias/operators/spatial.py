@@ -29,23 +29,26 @@ def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> D
     is sure to hold the nearest one, and only its nodes are compared. The search is exact, adapts to
     the density of the grid and joins on tiles throughout.
     """
-    tilings = [G.Tiling(degrees) for degrees in levels]
-    nodes = grid.select("cell", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"))
-    own = F.array(*[F.struct(F.lit(k).alias("level"), *t.own("cell_lat", "cell_lon")) for k, t in enumerate(tilings)])
+    sizes = ", ".join(f"{degrees}D" for degrees in levels)
+    tiling = G.Tiling("degrees")
     tiles = ["level", "ty", "tx"]
-    tiled = nodes.select("*", F.inline(own))
 
-    everywhere = F.flatten(F.array(*[_at_level(t, k) for k, t in enumerate(tilings)]))
-    occupied = (
-        points.select("sid", "lat", "lon", F.inline(everywhere))
-        .join(tiled.select(*tiles).distinct(), tiles, "left_semi")
+    def at_all_levels(df: DataFrame) -> DataFrame:
+        return df.select("*", F.expr(f"posexplode(array({sizes})) as (level, degrees)"))
+
+    nodes = grid.select("cell", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"))
+    tiled = tiling.own(at_all_levels(nodes), "cell_lat", "cell_lon").drop("degrees")
+    inhabited = tiled.select(*tiles).distinct()
+    level = (
+        tiling.around(at_all_levels(points.select("sid", "lat", "lon")), "lat", "lon")
+        .join(inhabited, tiles, "left_semi")
         .groupBy("sid", "lat", "lon")
-        .agg(F.least(F.min("level") + 1, F.lit(len(levels) - 1)).alias("up"))
+        .agg(F.expr(f"least(min(level) + 1, {len(levels) - 1}) as level"))
+        .withColumn("degrees", F.expr(f"element_at(array({sizes}), level + 1)"))
     )
-    block = F.coalesce(*[F.when(F.col("up") == k, _at_level(t, k)) for k, t in enumerate(tilings) if k > 0])
     millimetres = F.floor(G.haversine("lat", "lon", "cell_lat", "cell_lon") * 1000 + 0.5)
     return (
-        occupied.select("sid", "lat", "lon", F.inline(block))
+        tiling.around(level, "lat", "lon")
         .join(tiled.where("level > 0"), tiles)
         .groupBy("sid")
         .agg(F.min(F.struct(millimetres.alias("mm"), "cell")).alias("best"))
@@ -53,11 +56,6 @@ def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> D
     )
 
 
-def _at_level(tiling: G.Tiling, level: int):
-    """The block around a point as (level, ty, tx)."""
-    return tiling.around("lat", "lon", f"'level', {level}, ")
-
-
 def sample_fields(nearest: DataFrame, fields: DataFrame, names: list[str]) -> DataFrame:
     """Fields at the nearest node of every point for all leads, one row per (sid, leadtime)."""
     return nearest.select("sid", "cell").join(fields.select("cell", "leadtime", *names), "cell").drop("cell")
@@ -107,25 +105,21 @@ def bilinear(points: DataFrame, raster: DataFrame, dx: float, dy: float, x0: flo
     return weighed.select("sid", F.when(F.col("n_missing") == 0, F.col("total")).alias("elevation"))
 
 
-def neighbours(points: DataFrame, grid: DataFrame, radius: float | None = None) -> DataFrame:
+def neighbours(points: DataFrame, grid: DataFrame, radius: float | None = None, counted: DataFrame | None = None) -> DataFrame:
     """All points within a radius of each node, with the distance in metres.
 
     Tiles are counted first. A tile with many points or nodes is cut into parts by hash, every part
     of its points meeting every part of its nodes in a task of its own, so that a crowded place is
-    joined by many tasks. The tile table has at most as many rows as the sphere has tiles.
+    joined by many tasks. The tile table has at most as many rows as the sphere has tiles. Where
+    ``points`` is itself costly, ``counted`` may be any cheaper table of the same positions; it only
+    decides into how many parts the work is cut.
     """
     radius = G.search_radius() if radius is None else radius
     tiling = G.Tiling.for_radius(radius)
-    left = points.select("*", F.inline(tiling.around("lat", "lon")))
-    right = grid.select(
-        "cell",
-        *tiling.own("lat", "lon"),
-        F.col("lat").alias("cell_lat"),
-        F.col("lon").alias("cell_lon"),
-        F.col("topo").alias("cell_elev"),
-        F.col("lc").alias("cell_land"),
-    )
-    tiles = _tile_parts(left, right)
+    left = tiling.around(points, "lat", "lon")
+    nodes = grid.selectExpr("cell", "lat as cell_lat", "lon as cell_lon", "topo as cell_elev", "lc as cell_land")
+    right = tiling.own(nodes, "cell_lat", "cell_lon")
+    tiles = _tile_parts(tiling.around((points if counted is None else counted).select("lat", "lon"), "lat", "lon"), right)
     if tiling.max_tiles <= BROADCAST_TILES:
         tiles = F.broadcast(tiles)
     key = ["ty", "tx", "point_part", "node_part"]
@@ -146,12 +140,13 @@ def neighbours(points: DataFrame, grid: DataFrame, radius: float | None = None)
 
 
 def _tile_parts(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Tiles that hold both points and nodes, and into how many parts each side is cut."""
+    """Tiles that hold nodes, and into how many parts each side is cut; one part without points."""
 
     def parts(df: DataFrame, per_task: int, name: str) -> DataFrame:
         return df.groupBy("ty", "tx").agg(F.ceil(F.count(F.lit(1)) / per_task).cast("int").alias(name))
 
-    return parts(left, TASK_POINTS, "point_parts").join(parts(right, TASK_NODES, "node_parts"), ["ty", "tx"])
+    both = parts(right, TASK_NODES, "node_parts").join(parts(left, TASK_POINTS, "point_parts"), ["ty", "tx"], "left")
+    return both.withColumn("point_parts", F.coalesce("point_parts", F.lit(1)))
 
 
 def top_neighbours(weighted: DataFrame, k: int = P.MAX_POINTS) -> DataFrame:

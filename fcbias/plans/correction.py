@@ -103,9 +103,10 @@ def finish_grid(background: DataFrame, diff: DataFrame, param: str) -> DataFrame
     return corrected.select("cell", "leadtime", "forecasttime", S.fill_missing(final).alias("value"))
 
 
-def correct_grid(background: DataFrame, points: DataFrame, biases: DataFrame, grid: DataFrame, param: str) -> DataFrame:
+def correct_grid(background: DataFrame, points: DataFrame, biases: DataFrame, grid: DataFrame, param: str,
+                 counted: DataFrame | None = None) -> DataFrame:
     """Corrected grids for leads from 1 on, from biases at points."""
-    diff = I.oi_analysis(points, biases, grid)
+    diff = I.oi_analysis(points, biases, grid, counted=counted)
     return finish_grid(background.where("leadtime >= 1"), diff, param)
 
 

@@ -18,6 +18,7 @@ def build_session(name: str = "fcbias", cores: int | str = "*", partitions: int
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
     }

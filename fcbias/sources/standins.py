@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 
@@ -21,10 +20,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def shifted_quarter(date) -> F.Column:
-    """Start of the quarter of a date, moved by the station's run offset."""
-    start = F.trunc(F.col(date).cast("date"), "quarter").cast("timestamp_ntz")
-    return start + F.make_dt_interval(F.col("day_off"), F.col("hour_off"))
+def shifted_quarter(date: str) -> str:
+    """SQL of the start of the quarter of a date, moved by the station's run offset."""
+    return f"(cast(trunc(cast({date} as date), 'quarter') as timestamp_ntz) + make_dt_interval(day_off, hour_off))"
+
+
+# columns of the test tables that the stand-ins read
+SCHEMAS = {
+    "supplier": "s_suppkey bigint",
+    "lineitem": "l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_discount double,"
+    " l_tax double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "region": "r_name string",
+}
 
 
 class StandIns:
@@ -35,128 +46,109 @@ class StandIns:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # --- stations and point forecasts ----------------------------------------------------------------
 
     def stations(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        return self.table("supplier").select(
-            k.cast("int").alias("sid"),
-            (54 + (k * 977 % 1750) / F.lit(100.0)).alias("obs_lat"),
-            (4 + (k * 1499 % 2800) / F.lit(100.0)).alias("obs_lon"),
-            (k * 29 % 400).cast("double").alias("obs_elevation"),
-            (k * 31 % 400).cast("double").alias("model_elevation"),
-            (k * 7 % 31).cast("int").alias("day_off"),
-            (k * 5 % 24).cast("int").alias("hour_off"),
+        return self.table("supplier").selectExpr(
+            "cast(s_suppkey as int) as sid",
+            "54 + (s_suppkey * 977 % 1750) / 100D as obs_lat",
+            "4 + (s_suppkey * 1499 % 2800) / 100D as obs_lon",
+            "cast(s_suppkey * 29 % 400 as double) as obs_elevation",
+            "cast(s_suppkey * 31 % 400 as double) as model_elevation",
+            "cast(s_suppkey * 7 % 31 as int) as day_off",
+            "cast(s_suppkey * 5 % 24 as int) as hour_off",
         )
 
     def fc_cell(self) -> DataFrame:
-        lead = F.col("l_linenumber") - 1
-        run = shifted_quarter("l_shipdate")
-        lines = spread(
-            self.table("lineitem").select(
-                F.col("l_suppkey").cast("int").alias("sid"), "l_shipdate", "l_linenumber",
-                "l_quantity", "l_discount", "l_tax", "l_partkey",
-            )
+        lines = self.table("lineitem").selectExpr(
+            "cast(l_suppkey as int) as sid", "l_shipdate", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_partkey"
         )
-        return lines.join(self.stations(), "sid").select(
+        run = shifted_quarter("l_shipdate")
+        return spread(lines).join(self.stations(), "sid").selectExpr(
             "sid",
-            F.col("obs_lat").alias("lat"),
-            F.col("obs_lon").alias("lon"),
+            "obs_lat as lat",
+            "obs_lon as lon",
             "model_elevation",
-            run.alias("fcdate"),
-            (run + F.make_dt_interval(F.lit(0), lead)).alias("validdate"),
-            lead.alias("leadtime"),
-            F.col("l_quantity").alias("q"),
-            F.col("l_discount").alias("d"),
-            F.col("l_tax").alias("x"),
-            F.col("l_partkey").alias("p"),
+            f"{run} as fcdate",
+            f"{run} + make_dt_interval(0, l_linenumber - 1) as validdate",
+            "l_linenumber - 1 as leadtime",
+            "l_quantity as q",
+            "l_discount as d",
+            "l_tax as x",
+            "l_partkey as p",
         )
 
     def fc_narrow(self) -> DataFrame:
         """Narrow archive: one row per run, lead, station and parameter, from one scan."""
-        q, d, x, p = (F.col(c) for c in "qdxp")
-        values = {
-            "T2m": q + 243.15,
-            "S10m": d * 150.0,
-            "D10m": (p % 360).cast("double"),
-            "RH2m": q * 2.0,
-            "Pmsl": x * 500.0 + 980.0,
-            "Q2m": x / 10.0,
-            "CClow": (p % 9).cast("double"),
-            "Gmax": d * 150.0 + x * 100.0,
-        }
-        pairs = [v for name, value in values.items() for v in (F.lit(name), value)]
-        keys = ["sid", "lat", "lon", "model_elevation", "fcdate", "validdate", "leadtime"]
-        return self.fc_cell().select(*keys, F.stack(F.lit(len(values)), *pairs).alias("parameter", "value"))
+        return self.fc_cell().selectExpr(
+            "sid", "lat", "lon", "model_elevation", "fcdate", "validdate", "leadtime",
+            """stack(8,
+                'T2m', 243.15D + q,
+                'S10m', d * 150D,
+                'D10m', cast(p % 360 as double),
+                'RH2m', 2D * q,
+                'Pmsl', 980D + x * 500D,
+                'Q2m', x / 10D,
+                'CClow', cast(p % 9 as double),
+                'Gmax', d * 150D + x * 100D
+            ) as (parameter, value)""",
+        )
 
     # --- observations ------------------------------------------------------------------------------------
 
     def obs_raw(self) -> DataFrame:
         """Observations of both producers; a station may report an hour more than once."""
         n_stations = self.table("supplier").agg(F.count(F.lit(1))).scalar()
-        orders = spread(self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
-        joined = (
-            orders.withColumn("sid", (F.col("o_custkey") % n_stations).cast("int"))
-            .join(self.stations(), "sid")
-        )
-        key, price = F.col("o_orderkey"), F.col("o_totalprice")
-        foreign = key % 3 == 0
-        silent = key % 11 == 0
-        report = F.make_dt_interval(F.lit(0), (key % 7).cast("int"))
-        return joined.select(
+        orders = spread(self.table("orders"))
+        located = orders.withColumn("sid", (F.col("o_custkey") % n_stations).cast("int")).join(self.stations(), "sid")
+        silent, foreign = "o_orderkey % 11 = 0", "o_orderkey % 3 = 0"
+        return located.selectExpr(
             "sid",
-            F.when(foreign, F.lit("foreign")).otherwise(F.lit("national")).alias("producer"),
+            f"if({foreign}, 'foreign', 'national') as producer",
             "obs_lat",
             "obs_lon",
             "obs_elevation",
-            (shifted_quarter("o_orderdate") + report).alias("validdate"),
-            F.when(~(silent | (F.col("o_orderstatus") == "P")), price / 10000.0 - 25.0).alias("ta"),
-            F.when(~silent, (F.col("o_custkey") % 70).cast("double") + 30.0).alias("rh"),
-            F.when(~silent & ~foreign, price / 50000.0).alias("wsp"),
-            F.when(~silent & foreign, price / 50000.0).alias("ws"),
-            F.when(~(silent | (F.col("o_orderstatus") == "O")), price / 9000.0).alias("wg"),
+            f"{shifted_quarter('o_orderdate')} + make_dt_interval(0, cast(o_orderkey % 7 as int)) as validdate",
+            f"if({silent} or o_orderstatus = 'P', null, o_totalprice / 10000D - 25D) as ta",
+            f"if({silent}, null, 30D + cast(o_custkey % 70 as double)) as rh",
+            f"if({silent} or {foreign}, null, o_totalprice / 50000D) as wsp",
+            f"if({silent} or not {foreign}, null, o_totalprice / 50000D) as ws",
+            f"if({silent} or o_orderstatus = 'O', null, o_totalprice / 9000D) as wg",
         )
 
     def obs(self) -> DataFrame:
         """One observation per station and hour."""
-        return (
-            self.obs_raw()
-            .groupBy("sid", "validdate")
-            .agg(
-                F.max("obs_elevation").alias("obs_elevation"),
-                F.max("obs_lat").alias("obs_lat"),
-                F.max("obs_lon").alias("obs_lon"),
-                F.avg("rh").alias("rh_pt1m_avg"),
-                F.avg("ta").alias("ta_pt1m_avg"),
-                F.avg(F.coalesce("wsp", "ws")).alias("ws_pt10m_avg"),
-                F.max("wg").alias("wg_pt1h_max"),
-            )
-        )
+        aggregated = {
+            "obs_elevation": "max(obs_elevation)",
+            "obs_lat": "max(obs_lat)",
+            "obs_lon": "max(obs_lon)",
+            "rh_pt1m_avg": "avg(rh)",
+            "ta_pt1m_avg": "avg(ta)",
+            "ws_pt10m_avg": "avg(coalesce(wsp, ws))",
+            "wg_pt1h_max": "max(wg)",
+        }
+        return self.obs_raw().groupBy("sid", "validdate").agg(*[F.expr(f"{e} as {n}") for n, e in aggregated.items()])
 
     def obs_crowd(self) -> DataFrame:
-        k = F.col("c_custkey")
-        return self.table("customer").select(
-            k.cast("int").alias("station_id"),
-            (54 + (k * 71 % 175) / F.lit(10.0)).alias("latitude"),
-            (4 + (k * 91 % 280) / F.lit(10.0)).alias("longitude"),
-            (F.col("c_acctbal") / 400.0 - 10.0).alias("ta_pt1m_avg"),
-            k.alias("arrival"),
+        return self.table("customer").selectExpr(
+            "cast(c_custkey as int) as station_id",
+            "54 + (c_custkey * 71 % 175) / 10D as latitude",
+            "4 + (c_custkey * 91 % 280) / 10D as longitude",
+            "c_acctbal / 400D - 10D as ta_pt1m_avg",
+            "c_custkey as arrival",
         )
 
     def obs_qc(self) -> DataFrame:
         """Dense observations with outliers in both tails and some missing values."""
-        event, value = F.col("event_id"), F.col("value")
-        start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-        month = F.make_ym_interval(F.lit(0), (F.col("user_id") % 12).cast("int"))
-        hour = F.make_dt_interval(F.lit(0), (event % 4 * 6).cast("int"))
-        low = F.col("event_type").isin("click", "view")
-        return self.table("events").select(
+        return self.table("events").selectExpr(
             "event_id",
-            F.col("user_id").cast("int").alias("sid"),
-            (start + month + hour).alias("validdate"),
-            F.when(event % 53 != 0, F.when(low, 20.0 - value / 10.0).otherwise(value / 20.0 + 20.0)).alias("ta"),
+            "cast(user_id as int) as sid",
+            "timestamp_ntz '2024-01-01 00:00:00' + make_ym_interval(0, cast(user_id % 12 as int))"
+            " + make_dt_interval(0, cast(6 * (event_id % 4) as int)) as validdate",
+            "case when event_id % 53 = 0 then null when event_type in ('click', 'view') then 20D - value / 10D"
+            " else 20D + value / 20D end as ta",
         )
 
     def crowd_events(self) -> DataFrame:
@@ -165,45 +157,52 @@ class StandIns:
     # --- grid -----------------------------------------------------------------------------------------------
 
     def grid(self) -> DataFrame:
-        k = F.col("p_partkey")
-        n_rows = self.table("part").agg(F.ceil(F.count(F.lit(1)) / F.lit(50.0))).scalar()
-        j = F.floor(k / 50)
-        return self.table("part").select(
-            k.cast("int").alias("cell"),
-            j.cast("int").alias("j"),
-            (k % 50).cast("int").alias("i"),
-            (54 + j * 17.5 / n_rows).alias("lat"),
-            (4 + (k % 50) * 0.56).alias("lon"),
-            (k * 17 % 400).cast("double").alias("topo"),
-            F.when(F.col("p_size") > 25, 1.0).otherwise(0.0).alias("lc"),
+        n_rows = self.table("part").agg(F.expr("ceil(count(1) / 50D)")).scalar()
+        return (
+            self.table("part")
+            .withColumn("n_rows", n_rows)
+            .selectExpr(
+                "cast(p_partkey as int) as cell",
+                "cast(floor(p_partkey / 50) as int) as j",
+                "cast(p_partkey % 50 as int) as i",
+                "54 + 17.5D * floor(p_partkey / 50) / n_rows as lat",
+                "4 + 0.56D * (p_partkey % 50) as lon",
+                "cast(p_partkey * 17 % 400 as double) as topo",
+                "if(p_size > 25, 1D, 0D) as lc",
+            )
         )
 
     def grid_fc(self) -> DataFrame:
         """Grid fields in source units for leads 0..6, one column per field."""
-        leads = F.array(*[F.lit(i) for i in range(7)])
-        c, t = F.col("cell"), F.col("leadtime")
         return (
-            self.grid()
-            .select("cell", "j", "i", F.explode(leads).alias("leadtime"))
-            .select(
-                "cell", "j", "i", "leadtime",
-                (243.15 + (c * 13 + t * 7) % 500 / 10.0).alias("t2"),
-                ((c * 11 + t * 5) % 200 / 10.0).alias("ws"),
-                ((c * 19 + t * 3) % 300 / 10.0).alias("wg"),
-                ((c * 7 + t) % 101 / 100.0).alias("rh"),
-                ((c * 23 + t) % 360).cast("double").alias("wd"),
-                ((c * 3 + t) % 17 / 16.0).alias("nl"),
-                (98000.0 + (c * 29 + t) % 6000).alias("ppa"),
-                ((c * 5 + t) % 100 / 10000.0).alias("q2"),
+            self.table("part")
+            .selectExpr(
+                "cast(p_partkey as int) as cell",
+                "cast(floor(p_partkey / 50) as int) as j",
+                "cast(p_partkey % 50 as int) as i",
+                "explode(sequence(0, 6)) as leadtime",
+            )
+            .selectExpr(
+                "cell",
+                "j",
+                "i",
+                "leadtime",
+                "243.15D + ((cell * 13 + leadtime * 7) % 500) / 10D as t2",
+                "((cell * 11 + leadtime * 5) % 200) / 10D as ws",
+                "((cell * 19 + leadtime * 3) % 300) / 10D as wg",
+                "((cell * 7 + leadtime) % 101) / 100D as rh",
+                "cast((cell * 23 + leadtime) % 360 as double) as wd",
+                "((cell * 3 + leadtime) % 17) / 16D as nl",
+                "98000D + ((cell * 29 + leadtime) % 6000) as ppa",
+                "((cell * 5 + leadtime) % 100) / 10000D as q2",
             )
         )
 
     def dem(self) -> DataFrame:
-        k = F.col("p_partkey")
-        return self.table("part").select(
-            (k % 50).cast("int").alias("ix"),
-            F.floor(k / 50).cast("int").alias("iy"),
-            (k * 41 % 600).cast("double").alias("z"),
+        return self.table("part").selectExpr(
+            "cast(p_partkey % 50 as int) as ix",
+            "cast(floor(p_partkey / 50) as int) as iy",
+            "cast(p_partkey * 41 % 600 as double) as z",
         )
 
     def oi_points(self) -> DataFrame:
@@ -232,24 +231,13 @@ class StandIns:
         )
 
 
-EVENT_SCHEMA = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-    ]
-)
-
-
 def crowd_feed(events: DataFrame) -> DataFrame:
-    u = F.col("user_id")
-    return events.select(
+    """Crowd reports of a table or stream of events; the time is a UTC instant, as streams need one."""
+    return events.selectExpr(
         "event_id",
-        "ts",
-        (54 + (u * 71 % 175) / F.lit(10.0)).alias("latitude"),
-        (4 + (u * 91 % 280) / F.lit(10.0)).alias("longitude"),
+        "timestamp_micros(timestampdiff(microsecond, timestamp_ntz '1970-01-01 00:00:00', ts)) as ts",
+        "54 + (user_id * 71 % 175) / 10D as latitude",
+        "4 + (user_id * 91 % 280) / 10D as longitude",
         "value",
     )
 
