@@ -32,8 +32,12 @@ def narrow_archive(t: StandIns) -> str:
     return written(t, "narrow", lambda path: sinks.write_narrow(t.fc_narrow(), path))
 
 
+def training_table(t: StandIns) -> DataFrame:
+    return T.build_training_table(t.fc_narrow(), t.obs(), one_obs_per_hour=True)
+
+
 def training_archive(t: StandIns) -> str:
-    return written(t, "periods", lambda path: sinks.write_periods(T.build_training_table(t.fc_narrow(), t.obs()), path))
+    return written(t, "periods", lambda path: sinks.write_periods(training_table(t), path))
 
 
 # --- narrow archive -----------------------------------------------------------------------------------------
@@ -136,7 +140,7 @@ def scan_periods(t):
     "tero t1bias wgero elevd",
 )
 def sink_training(t):
-    path = written(t, "training", lambda path: sinks.write_training(T.build_training_table(t.fc_narrow(), t.obs()), path))
+    path = written(t, "training", lambda path: sinks.write_training(training_table(t), path))
     return training_summary(t.spark.read.parquet(path), "year", "half")
 
 

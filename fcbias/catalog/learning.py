@@ -10,7 +10,7 @@ from ..operators import model as M
 from ..operators import prepare as R
 from ..plans import correction as C
 from ..plans import training as T
-from ..session import new_folder
+from ..session import new_folder, stored
 from ..sources.standins import FOLDS
 from .gridding import background, land_points, served
 from .registry import query
@@ -91,5 +91,5 @@ def hp_search(t):
 def correct_grid_model(t):
     """The whole operational job: features, predicted biases, interpolation, limits."""
     model = M.train(rows(t), "T2m", small())
-    biases = C.predicted_biases(served(t, "temperature"), model, "T2m")
+    biases = stored(C.predicted_biases(served(t, "temperature"), model, "T2m"), "biases")
     return C.correct_grid(background(t, "t2"), land_points(t), biases, t.grid(), "temperature", counted=t.oi_points())

@@ -81,14 +81,26 @@ def join_lead1_bias(t):
 
 @query("lead_bias_window", "select sid, fcdate, leadtime, t0bias, rh0bias, ws0bias, wg0bias, t1bias, rh1bias, ws1bias, wg1bias from training", f"{BIAS0} {BIAS1}")
 def lead_bias_window(t):
-    """The training table's biases with one shuffle; the check uses the joins."""
-    table = T.build_training_table(t.fc_narrow(), t.obs(), one_obs_per_hour=True)
+    """Both lead biases with one shuffle; the check uses the joins."""
+    table = R.with_any(J.lead_bias_window(errors(t)))
     return table.select("sid", "fcdate", "leadtime", *BIAS0.split(), *BIAS1.split())
 
 
 @query("build_training_table", "select * from training", f"{SITE} {WIDE} {OBS} {ERRORS} {BIAS0} {BIAS1}")
 def build_training_table(t):
-    return T.build_training_table(t.fc_narrow(), t.obs())
+    """The stand-in observations are one per station and hour, so the lead biases take one shuffle."""
+    return T.build_training_table(t.fc_narrow(), t.obs(), one_obs_per_hour=True)
+
+
+REPEATED = f"sid, fcdate, leadtime, validdate, t2m, ta_pt1m_avg, {ERRORS}, {BIAS0}, {BIAS1}".replace(" ", ", ").replace(",,", ",")
+
+
+@query("build_training_table_repeated", f"select {REPEATED} from training_repeated", f"t2m ta_pt1m_avg {ERRORS} {BIAS0} {BIAS1}")
+def build_training_table_repeated(t):
+    """Observations that repeat multiply the rows, by themselves and as lead biases."""
+    renamed = {"rh": "rh_pt1m_avg", "ta": "ta_pt1m_avg", "wg": "wg_pt1h_max", "wsp": "ws_pt10m_avg"}
+    obs = Q.coalesce_wind(t.obs_raw()).drop("ws", "producer").withColumnsRenamed(renamed)
+    return T.build_training_table(t.fc_narrow(), obs).select(*REPEATED.split(", "))
 
 
 @query("dropna_all_subset", "select count(*) as n, count(ta_pt1m_avg) as n_ta, count(wg_pt1h_max) as n_wg from fc_err where coalesce(rh_pt1m_avg, ta_pt1m_avg, ws_pt10m_avg, wg_pt1h_max) is not null")

@@ -121,6 +121,13 @@ left join (select * from fc_err where leadtime = 1) b on e.sid = b.sid and e.fcd
 where coalesce(e.rh_pt1m_avg, e.ta_pt1m_avg, e.ws_pt10m_avg, e.wg_pt1h_max) is not null
 """
 
+VIEWS["obs_repeated"] = """
+select sid, validdate, obs_elevation, obs_lat, obs_lon, rh as rh_pt1m_avg, ta as ta_pt1m_avg,
+ coalesce(wsp, ws) as ws_pt10m_avg, wg as wg_pt1h_max from obs_raw
+"""
+VIEWS["err_repeated"] = VIEWS["fc_err"].replace("join obs o", "join obs_repeated o")
+VIEWS["training_repeated"] = VIEWS["training"].replace("fc_err", "err_repeated")
+
 _TIME = {
     "month_sin": "sin(2*pi()*month({t})/12)",
     "month_cos": "cos(2*pi()*month({t})/12)",
@@ -177,9 +184,9 @@ def nearest_sql(points: str) -> str:
     """Nearest node by brute force."""
     distance = haversine_sql("p.lat", "p.lon", "g.lat", "g.lon")
     return f"""
-select sid, cell, mm / 1e3 as distance, lc, topo from (
- select sid, cell, mm, lc, topo, row_number() over (partition by sid order by mm, cell) as rn from (
-  select p.sid, g.cell, floor({distance} * 1000 + 0.5) as mm, g.lc, g.topo from ({points}) p cross join grid g
+select sid, cell, cm / 1e2 as distance, lc, topo from (
+ select sid, cell, cm, lc, topo, row_number() over (partition by sid order by cm, cell) as rn from (
+  select p.sid, g.cell, floor({distance} * 100 + 0.5) as cm, g.lc, g.topo from ({points}) p cross join grid g
  ) x1
 ) x2 where rn = 1
 """

@@ -1,7 +1,7 @@
 """Nearest nodes, neighbours within a radius and interpolation from a raster.
 
-Points are rows of (sid, lat, lon, ...), nodes are rows of (cell, lat, lon, ...). Distance joins are
-equi-joins on tiles with the distance as a residual filter.
+Points are rows of (sid, lat, lon, ...), nodes are rows of (cell, lat, lon, ...) with ``cell`` a number
+of 32 bits from zero on. Distance joins are equi-joins on tiles with the distance as a residual filter.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import geo as G
 
-# Tile sizes in degrees for the search of the nearest node, each ten times the one before. At the last
-# one the block around a point is the whole sphere.
-NEAREST_LEVELS = (0.02, 0.2, 2.0, 20.0, 200.0)
+# Tile sizes in degrees for the search of the nearest node, each at least five times the one before. At
+# the last one the block around a point is the whole sphere.
+NEAREST_LEVELS = (0.02, 0.1, 0.5, 2.5, 12.5, 62.5, 200.0)
 # A tile table up to this many rows is small enough to broadcast (24 bytes a row).
 BROADCAST_TILES = 200_000
 # Points and nodes of one tile that one task joins.
@@ -22,12 +22,12 @@ TASK_POINTS, TASK_NODES = 4096, 16384
 
 
 def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> DataFrame:
-    """Nearest node of every point: (sid, cell, distance); equal millimetres go to the lowest cell.
+    """Nearest node of every point: (sid, cell, distance); equal centimetres go to the lowest cell.
 
     First the smallest tiles are found at which the 3 x 3 block around a point holds any node. That
-    node is at most nine tile heights away, so one level up, with tiles ten times as high, the block
-    is sure to hold the nearest one, and only its nodes are compared. The search is exact, adapts to
-    the density of the grid and joins on tiles throughout.
+    node is less than five tile heights away, so one level up the block is sure to hold the nearest
+    one, and only its nodes are compared. Where tiles span a whole row, near the poles, the search
+    goes two levels up. It is exact, adapts to the density of the grid and joins on tiles throughout.
     """
     sizes = ", ".join(f"{degrees}D" for degrees in levels)
     tiling = G.Tiling("degrees")
@@ -43,16 +43,24 @@ def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> D
         tiling.around(at_all_levels(points.select("sid", "lat", "lon")), "lat", "lon")
         .join(inhabited, tiles, "left_semi")
         .groupBy("sid", "lat", "lon")
-        .agg(F.expr(f"least(min(level) + 1, {len(levels) - 1}) as level"))
+        .agg(F.min("level").alias("smallest"))
+        .withColumn("polar", F.expr(f"abs(lat) >= 90 - 6 * element_at(array({sizes}), smallest + 1)"))
+        .withColumn("level", F.expr(f"least(smallest + if(polar, 2, 1), {len(levels) - 1})"))
         .withColumn("degrees", F.expr(f"element_at(array({sizes}), level + 1)"))
     )
-    millimetres = F.floor(G.haversine("lat", "lon", "cell_lat", "cell_lon") * 1000 + 0.5)
+    centimetres = F.floor(G.haversine("lat", "lon", "cell_lat", "cell_lon") * 100 + 0.5)
+    # distance and node in one number: its minimum is aggregated by hash, where a struct would be sorted
+    packed = F.shiftleft(centimetres, 32) + F.col("cell")
     return (
-        tiling.around(level, "lat", "lon")
+        tiling.around(level.select("sid", "lat", "lon", "level", "degrees"), "lat", "lon")
         .join(tiled.where("level > 0"), tiles)
         .groupBy("sid")
-        .agg(F.min(F.struct(millimetres.alias("mm"), "cell")).alias("best"))
-        .select("sid", F.col("best.cell").alias("cell"), (F.col("best.mm") / 1000).alias("distance"))
+        .agg(F.min(packed).alias("best"))
+        .select(
+            "sid",
+            F.expr("cast(best & 4294967295 as int)").alias("cell"),
+            (F.shiftright("best", 32) / 100).alias("distance"),
+        )
     )
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(name: str = "fcbias", cores: int | str = "*", partitions: int = 8, **conf) -> SparkSession:
@@ -44,3 +44,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other call gets."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared folder and read it back, which cuts its lineage.
+
+    For results that several later steps read, such as predictions of a model: the steps then plan
+    and recover from a table and not from everything before it.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
