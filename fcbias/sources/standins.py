@@ -6,6 +6,8 @@ SQL. Timestamps are without time zone, so nothing depends on the session's zone.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,15 @@ class StandIns:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def n_stations(self) -> int:
+        return self.table("supplier").count()
+
+    @cached_property
+    def n_rows(self) -> int:
+        """Rows of the grid, which has 50 columns."""
+        return -(-self.table("part").count() // 50)
+
     # --- stations and point forecasts ----------------------------------------------------------------
 
     def stations(self) -> DataFrame:
@@ -100,9 +111,8 @@ class StandIns:
 
     def obs_raw(self) -> DataFrame:
         """Observations of both producers; a station may report an hour more than once."""
-        n_stations = self.table("supplier").agg(F.count(F.lit(1))).scalar()
         orders = spread(self.table("orders"))
-        located = orders.withColumn("sid", (F.col("o_custkey") % n_stations).cast("int")).join(self.stations(), "sid")
+        located = orders.withColumn("sid", (F.col("o_custkey") % self.n_stations).cast("int")).join(self.stations(), "sid")
         silent, foreign = "o_orderkey % 11 = 0", "o_orderkey % 3 = 0"
         return located.selectExpr(
             "sid",
@@ -157,19 +167,14 @@ class StandIns:
     # --- grid -----------------------------------------------------------------------------------------------
 
     def grid(self) -> DataFrame:
-        n_rows = self.table("part").agg(F.expr("ceil(count(1) / 50D)")).scalar()
-        return (
-            self.table("part")
-            .withColumn("n_rows", n_rows)
-            .selectExpr(
-                "cast(p_partkey as int) as cell",
-                "cast(floor(p_partkey / 50) as int) as j",
-                "cast(p_partkey % 50 as int) as i",
-                "54 + 17.5D * floor(p_partkey / 50) / n_rows as lat",
-                "4 + 0.56D * (p_partkey % 50) as lon",
-                "cast(p_partkey * 17 % 400 as double) as topo",
-                "if(p_size > 25, 1D, 0D) as lc",
-            )
+        return self.table("part").selectExpr(
+            "cast(p_partkey as int) as cell",
+            "cast(floor(p_partkey / 50) as int) as j",
+            "cast(p_partkey % 50 as int) as i",
+            f"54 + 17.5D * floor(p_partkey / 50) / {self.n_rows} as lat",
+            "4 + 0.56D * (p_partkey % 50) as lon",
+            "cast(p_partkey * 17 % 400 as double) as topo",
+            "if(p_size > 25, 1D, 0D) as lc",
         )
 
     def grid_fc(self) -> DataFrame:
