@@ -86,9 +86,6 @@ def density_at_points(t):
 
 @query("sort_by_density", f"select row_number() over (order by floor(density*1e9 + 0.5), sid, fcdate, leadtime) as place, sid, fcdate, leadtime, density from ({DENSITY_SQL}) d", "density")
 def sort_by_density(t):
-    """Densest points last, with the place of each.
-
-    The rank is taken per sorted partition plus the rows before it, not over one single partition.
-    """
+    """Densest points last, with the place of each."""
     points = A.density_at_points(observed_and_forecast(t), "x", "y").withColumn("key", F.floor(F.col("density") * 1e9 + 0.5))
     return A.with_place(points, ["key", "sid", "fcdate", "leadtime"]).select("place", "sid", "fcdate", "leadtime", "density")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import scalar as S
+from ..session import stored
 
 
 def mean_std(df: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
@@ -135,23 +136,63 @@ def density_at_points(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) ->
     return joined.withColumn("density", F.coalesce("density", F.lit(0.0)))
 
 
-def box_summary(df: DataFrame, value: str, group: list[str], accuracy: int | None = None) -> DataFrame:
-    """Quartiles and extremes per group; with ``accuracy`` the quartiles are approximate.
+def box_summary(df: DataFrame, value: str, group: list[str]) -> DataFrame:
+    """Quartiles and extremes per group, as ``quantiles`` finds them."""
+    present = df.where(F.col(value).isNotNull())
+    extremes = present.groupBy(*group).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n"))
+    quartiles = quantiles(present, value, group, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return quartiles.join(extremes, group)
 
-    The exact quartiles count every distinct value of a group; the approximate ones keep a sketch of
-    fixed size and are the choice for large tables of continuous values.
+
+def quantiles(df: DataFrame, value: str, group: list[str], shares: dict[str, float], accuracy: int = 10000) -> DataFrame:
+    """Exact quantiles per group with linear interpolation, for groups of any size.
+
+    A sketch of fixed size gives, for each share, two values between which the wanted ranks lie. A
+    second pass counts the rows below and collapses the few rows in between to distinct values with
+    their counts; only those are ranked. In a small group the sketch may be one rank off, so the
+    neighbours on both sides are kept too.
     """
-    shares = [0.25, 0.5, 0.75]
-    if accuracy:
-        quartiles = F.percentile_approx(value, shares, accuracy)
-    else:
-        quartiles = F.percentile(value, F.array(*[F.lit(s) for s in shares]))
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*group)
-        .agg(quartiles.alias("q"), F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n"))
-        .select(*group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "low", "high", "n")
+    margin = 2 / accuracy
+    names = list(shares)
+    edges = [max(0.0, shares[n] - margin) for n in names] + [min(1.0, shares[n] + margin) for n in names]
+    sketch = df.groupBy(*group).agg(F.percentile_approx(value, edges, accuracy).alias("edges"), F.count(value).alias("total"))
+    brackets = sketch.select(
+        *group,
+        "total",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(n).alias("name"), F.lit(shares[n]).alias("share"),
+                        F.col("edges")[i].alias("lo"), F.col("edges")[i + len(names)].alias("hi"),
+                    )
+                    for i, n in enumerate(names)
+                ]
+            )
+        ),
     )
+    v = F.col(value)
+    # every row meets the three brackets of its group; values outside collapse to one row per side
+    side = F.when(v < F.col("lo"), -1).when(v > F.col("hi"), 1).otherwise(0)
+    inside = F.when(side == 0, v)
+    counted = (
+        df.join(brackets, group)
+        .groupBy(*group, "name", "share", "total", side.alias("side"), inside.alias("inside"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max(v).alias("top"), F.min(v).alias("bottom"))
+    )
+    ordered = Window.partitionBy(*group, "name").orderBy("side", "inside").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("upto", F.sum("n").over(ordered))
+    rank = F.col("share") * (F.col("total") - 1) + 1
+
+    def at(r):
+        # below the bracket only its largest row is known, above it only the smallest
+        found = (F.col("upto") >= r) & (F.col("upto") - F.col("n") < r)
+        return F.max(F.when(found, F.when(F.col("side") < 0, F.col("top")).otherwise(F.col("bottom"))))
+
+    part = F.max(rank - F.floor(rank))
+    low, high = at(F.floor(rank)), at(F.ceil(rank))
+    picked = ranked.groupBy(*group, "name").agg((low + (high - low) * part).alias("value"))
+    return picked.groupBy(*group).agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
 
 
 def sorted_leads(df: DataFrame) -> DataFrame:
@@ -173,14 +214,17 @@ def by_lead(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_place(df: DataFrame, order: list[str]) -> DataFrame:
-    """Place of every row in a total order, without putting all rows into one task.
+    """Place of every row in a total order, without putting equal or all rows into one task.
 
-    Rows are counted per value of the first sort column; the place is the number of rows with a
-    smaller value plus the rank among equals.
+    The rows are sorted by range over all tasks and stored with their number within their part; the
+    rows of the parts before are then added. The stored table fixes the parts, so that a lost and
+    repeated task cannot number rows differently.
     """
-    first, rest = order[0], order[1:]
-    counts = df.groupBy(first).agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(first, F.coalesce(before, F.lit(0)).alias("offset"))
-    among = F.row_number().over(Window.partitionBy(first).orderBy(*rest))
-    return df.withColumn("among", among).join(offsets, first).withColumn("place", F.col("offset") + F.col("among")).drop("offset", "among")
+    number = F.monotonically_increasing_id()
+    parts = {"part": F.shiftright(number, 33), "within": number.bitwiseAND(F.lit((1 << 33) - 1))}
+    sorted_rows = stored(df.orderBy(*order).withColumns(parts), "sorted")
+    counts = sorted_rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per task
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    placed = sorted_rows.join(F.broadcast(offsets), "part")
+    return placed.withColumn("place", F.col("offset") + F.col("within") + 1).drop("part", "within", "offset")

@@ -206,6 +206,21 @@ def test_histogram_is_a_density(spark):
     assert flat.agg(F.sum("n")).first()[0] == 1000
 
 
+@pytest.mark.parametrize("n, distinct", [(1, 5), (2, 5), (3, 5), (4, 5), (5, 50), (10, 50), (11, 50), (1000, 7), (30000, 10**6)])
+def test_quantiles_are_exact(spark, n, distinct):
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    data = {g: rng.integers(0, distinct, n) / 7 for g in ("a", "b")}
+    # a third of the rows of one group share one value
+    data["b"][: n // 3] = data["b"][0]
+    df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs], "g string, v double").repartition(6)
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    for r in A.quantiles(df, "v", ["g"], shares, 1000).collect():
+        want = np.quantile(data[r["g"]], list(shares.values()))
+        assert [r[k] for k in shares] == pytest.approx(list(want), abs=1e-12)
+
+
 def test_places_number_all_rows(spark):
     df = spark.range(0, 500).selectExpr("id % 7 as k", "id")
     placed = [r["place"] for r in A.with_place(df, ["k", "id"]).orderBy("k", "id").collect()]
