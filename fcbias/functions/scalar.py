@@ -85,13 +85,13 @@ def time_features(ts) -> dict[str, Column]:
 
 
 def hours(c) -> Column:
-    return F.make_dt_interval(F.lit(0), col(c).cast("int"))
+    return F.expr("interval '1' hour") * col(c).cast("int")
 
 
 def epoch_to_utc(c) -> Column:
     """Unix seconds to a UTC timestamp, whatever the session time zone is."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), col(c).cast("decimal(18,6)"))
+    return epoch + F.expr("interval '1' second") * col(c)
 
 
 def instant_to_utc(c) -> Column:

@@ -13,18 +13,19 @@ from pyspark.sql import functions as F
 
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a scan that comes in fewer splits than there are cores one partition per core.
 
-    A large table has more splits than cores and passes unchanged.
+    A large table has more splits than cores and passes unchanged. Hashing a key that hardly repeats
+    is cheaper than dealing rows out in turn, for which Spark sorts them first.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def shifted_quarter(date: str) -> str:
     """SQL of the start of the quarter of a date, moved by the station's run offset."""
-    return f"(cast(trunc(cast({date} as date), 'quarter') as timestamp_ntz) + make_dt_interval(day_off, hour_off))"
+    return f"(cast(trunc(cast({date} as date), 'quarter') as timestamp_ntz) + interval '1' hour * (24 * day_off + hour_off))"
 
 
 # columns of the test tables that the stand-ins read
@@ -77,13 +78,13 @@ class StandIns:
             "cast(l_suppkey as int) as sid", "l_shipdate", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_partkey"
         )
         run = shifted_quarter("l_shipdate")
-        return spread(lines).join(self.stations(), "sid").selectExpr(
+        return spread(lines, "l_partkey").join(self.stations(), "sid").selectExpr(
             "sid",
             "obs_lat as lat",
             "obs_lon as lon",
             "model_elevation",
             f"{run} as fcdate",
-            f"{run} + make_dt_interval(0, l_linenumber - 1) as validdate",
+            f"{run} + interval '1' hour * (l_linenumber - 1) as validdate",
             "l_linenumber - 1 as leadtime",
             "l_quantity as q",
             "l_discount as d",
@@ -111,7 +112,7 @@ class StandIns:
 
     def obs_raw(self) -> DataFrame:
         """Observations of both producers; a station may report an hour more than once."""
-        orders = spread(self.table("orders"))
+        orders = spread(self.table("orders"), "o_orderkey")
         located = orders.withColumn("sid", (F.col("o_custkey") % self.n_stations).cast("int")).join(self.stations(), "sid")
         silent, foreign = "o_orderkey % 11 = 0", "o_orderkey % 3 = 0"
         return located.selectExpr(
@@ -120,7 +121,7 @@ class StandIns:
             "obs_lat",
             "obs_lon",
             "obs_elevation",
-            f"{shifted_quarter('o_orderdate')} + make_dt_interval(0, cast(o_orderkey % 7 as int)) as validdate",
+            f"{shifted_quarter('o_orderdate')} + interval '1' hour * cast(o_orderkey % 7 as int) as validdate",
             f"if({silent} or o_orderstatus = 'P', null, o_totalprice / 10000D - 25D) as ta",
             f"if({silent}, null, 30D + cast(o_custkey % 70 as double)) as rh",
             f"if({silent} or {foreign}, null, o_totalprice / 50000D) as wsp",
@@ -156,7 +157,7 @@ class StandIns:
             "event_id",
             "cast(user_id as int) as sid",
             "timestamp_ntz '2024-01-01 00:00:00' + make_ym_interval(0, cast(user_id % 12 as int))"
-            " + make_dt_interval(0, cast(6 * (event_id % 4) as int)) as validdate",
+            " + interval '1' hour * cast(6 * (event_id % 4) as int) as validdate",
             "case when event_id % 53 = 0 then null when event_type in ('click', 'view') then 20D - value / 10D"
             " else 20D + value / 20D end as ta",
         )
