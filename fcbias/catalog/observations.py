@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import params as P
 from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import quality as Q
@@ -39,14 +38,8 @@ union all select 'crowd', count(*), avg(value) from crowd_events
 def filter_time_slice(t):
     """One hour of conventional observations, and the last ten minutes of the crowd feed."""
     one_hour = Q.at_time(t.obs_qc(), "validdate", "2024-07-01 06:00:00").select("ta")
-    end = t.table("events").agg(F.max("ts")).scalar()
     feed = t.crowd_events()
-    start = end - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(P.CROWD_MINUTES))
-    crowd = feed.where(
-        F.col("ts").between(start, end)
-        & F.col("longitude").between(*P.CROWD_BOX["lon"])
-        & F.col("latitude").between(*P.CROWD_BOX["lat"])
-    )
+    crowd = Q.in_crowd_window(feed, feed.agg(F.max("ts")).scalar())
 
     def summary(df, kind, value):
         return df.agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean")).withColumn("kind", F.lit(kind))

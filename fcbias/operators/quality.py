@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -33,12 +33,11 @@ def at_time(df: DataFrame, time: str, when: str) -> DataFrame:
     return df.where(F.col(time) == F.lit(when).cast("timestamp_ntz"))
 
 
-def in_crowd_window(df: DataFrame, end: str, minutes: int = P.CROWD_MINUTES) -> DataFrame:
+def in_crowd_window(df: DataFrame, end: Column, minutes: int = P.CROWD_MINUTES) -> DataFrame:
     """Crowd reports of the last minutes up to a time, inside the domain's box."""
-    stop = F.lit(end).cast("timestamp_ntz")
-    start = stop - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    start = end - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     return df.where(
-        F.col("ts").between(start, stop)
+        F.col("ts").between(start, end)
         & F.col("longitude").between(*P.CROWD_BOX["lon"])
         & F.col("latitude").between(*P.CROWD_BOX["lat"])
     )
