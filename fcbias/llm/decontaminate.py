@@ -39,7 +39,7 @@ def _rarest(windows: DataFrame, tokens: DataFrame, few: bool) -> DataFrame:
     vocabulary = windows.select(F.explode("words").alias("word")).distinct()
     counts = tokens.join(F.broadcast(vocabulary) if few else vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
     spread = windows.withColumn("id", F.xxhash64("words")).select("id", "words", "items", F.posexplode("words").alias("place", "word"))
-    best = spread.join(counts, "word", "left").groupBy("words").agg(
+    best = spread.join(F.broadcast(counts) if few else counts, "word", "left").groupBy("words").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")).alias("best"), F.first("items").alias("items"))
     return best.filter("best.n > 0").select(F.col("best.word").alias("rare"), F.col("best.place").alias("place"), F.col("words").alias("window"), "items")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, quality, shared, tokens, toxicity, urls
+from . import decontaminate, mixing, pii, quality, shared, substrings, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,6 +75,23 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(docs, pii.fit_field(docs))
 
 
+@query("op6_substring_dedup", r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+w as (select doc_id, s, words[s : s + 19] as win from (select doc_id, words, unnest(range(1, len(words) - 18)) as s from d) x),
+later as (
+    select doc_id, s from (select doc_id, s, row_number() over (partition by win order by doc_id, s) as n from w) x where n > 1
+),
+gone as (select distinct doc_id, unnest(range(s, s + 20)) as place from later),
+lists as (select doc_id, list(place) as places from gone group by doc_id)
+select d.doc_id, len(words) as n_words, coalesce(len(places), 0) as n_removed,
+    sha256(coalesce(array_to_string(list_filter(words, lambda w, i: not list_contains(coalesce(places, []), i)), ' '), '')) as kept_sha256
+from d left join lists using (doc_id)
+""")
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.without_repeats(shared.table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_source_mix")
 def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     per_document, _ = mixing.mix(shared.table(spark, folder, "documents"))
