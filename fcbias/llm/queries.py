@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, quality, shared, substrings, tokens, toxicity, urls
+from . import decontaminate, jaccard, mixing, pii, quality, shared, substrings, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,30 @@ def held_out(modulus: int, part: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == part, F.lit(False))
 
 
+@query("op1_ngram_jaccard", r"""
+with recursive d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+    from documents
+),
+s as (
+    select distinct doc_id, hash(words[i : i + 4]) as h
+    from (select doc_id, words, unnest(range(1, greatest(1, len(words) - 4) + 1)) as i from d where len(words) > 0) x
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.h = b.h and a.doc_id <> b.doc_id group by all),
+link as (
+    select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)
+),
+reach(doc_id, other) as (
+    select doc_id, doc_id from d union select r.doc_id, l.b from reach r join link l on l.a = r.other
+)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, min(other) as component_id
+from d left join n using (doc_id) join reach r on r.doc_id = d.doc_id group by all
+""")
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components(shared.table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op2_url_filters")
 def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(shared.table(spark, folder, "pages"))
