@@ -8,7 +8,7 @@ occurrence are marked. Longer repeats are runs of marked suffixes.
 
 Each task first joins equal suffixes of its own block of texts and sends one of them, so no passage, however frequent,
 sends more suffixes to its group than there are blocks. Suffixes travel as packed arrays of about ten bytes each; texts
-are shuffled once, to meet their marks.
+are shuffled once, compressed, to meet their marks in buckets of bounded size.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +27,15 @@ from . import text as T
 
 #: Suffixes of one block of a map task, and of one group.
 BLOCK = 1 << 20
-GROUP = 1 << 20
+GROUP = 1 << 21
+#: Bytes of texts that meet their marks in one task at a time.
+BUCKET_BYTES = 16 << 20
 SHORT_PREFIX = 2
 PREFIX_BITS = 12
 LAST_ID = (1 << 63) - 1
-EMITTED = "group int, hashes binary, docs binary, counts binary, low binary, middle binary, high binary"
+PACKED = "docs binary, counts binary, low binary, middle binary, high binary"
+MARKED = f"bucket int, {PACKED}"
+EMITTED = f"group int, hashes binary, {MARKED}"
 
 
 def _suffixes(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,22 +51,23 @@ def _suffixes(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray
     return row[whole], place[whole], bucket[whole], deep[whole]
 
 
-def prefix_counts(docs: DataFrame, window: int) -> np.ndarray:
-    """How many suffixes of all documents begin with each hashed short prefix: a table of fixed size."""
+def prefix_counts(docs: DataFrame, window: int) -> tuple[np.ndarray, int]:
+    """How many suffixes of all documents begin with each hashed short prefix (a table of fixed size); bytes of texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(1 << PREFIX_BITS, np.int64)
+        n = np.zeros((1 << PREFIX_BITS) + 1, np.int64)
         for batch in batches:
             for part in T.pieces(batch):
-                n += np.bincount(_suffixes(part, window)[2], minlength=len(n))
+                n[:-1] += np.bincount(_suffixes(part, window)[2], minlength=len(n) - 1)
+                n[-1] += part.column("text").nbytes
         used = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(n[used], pa.int64())], ["bucket", "n"])
 
     rows = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(1 << PREFIX_BITS, np.int64)
+    out = np.zeros((1 << PREFIX_BITS) + 1, np.int64)
     for r in rows:
         out[r.bucket] = r.n
-    return out
+    return out[:-1], int(out[-1])
 
 
 def groups(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -100,112 +107,158 @@ def _firsts(deep: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.nd
     return np.flatnonzero(~many), later
 
 
-def _marks(doc: np.ndarray, place: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """One row per document: id and the places, packed."""
-    order = np.lexsort((place, doc))
-    doc, place = doc[order], place[order].astype(np.uint32)
-    cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]])) if len(doc) else np.zeros(1, np.int64)
-    return pa.array(doc[cuts[:-1]], pa.int64()), T.binaries(place, cuts)
+def _packed(key: np.ndarray, doc: np.ndarray, place: np.ndarray, hashes: np.ndarray | None = None) -> list[pa.Array]:
+    """One row per key, which must come in runs: key, hashes if any, documents with their counts, places by byte."""
+    new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    cuts = np.append(np.flatnonzero(new), len(key))
+    runs = np.append(np.flatnonzero(new | np.concatenate([[True], doc[1:] != doc[:-1]]) if len(key) else new), len(key))
+    run_cuts = np.searchsorted(runs, cuts)
+    place = place.astype(np.uint32)
+    return [
+        pa.array(key[cuts[:-1]], pa.int32()),
+        *([] if hashes is None else [T.binaries(hashes, cuts)]),
+        T.binaries(doc[runs[:-1]].astype(np.int64), run_cuts),
+        T.binaries(np.diff(runs).astype(np.uint32), run_cuts),
+        T.binaries(place.astype(np.uint8), cuts),
+        T.binaries((place >> np.uint32(8)).astype(np.uint8), cuts),
+        T.binaries((place >> np.uint32(16)).astype(np.uint16), cuts),
+    ]
 
 
-def repeated_starts(docs: DataFrame, window: int, group: int = GROUP) -> DataFrame:
-    """Marks of suffixes that begin earlier too: (doc_id, starts), a document's in several rows. Null ids count as last."""
-    first, splits, number = groups(prefix_counts(docs, window), group)
+def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and places of all rows."""
+    place = _joined(table, "low", np.uint8).astype(np.int32)
+    place |= _joined(table, "middle", np.uint8).astype(np.int32) << 8
+    place |= _joined(table, "high", np.uint16).astype(np.int32) << 16
+    return np.repeat(_joined(table, "docs", np.int64), _joined(table, "counts", np.uint32)), place
+
+
+def _bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return (T.mix(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _marks(doc: np.ndarray, place: np.ndarray, buckets: int) -> list[pa.Array]:
+    bucket = _bucket(doc, buckets)
+    order = np.lexsort((place, doc, bucket))
+    return _packed(bucket[order], doc[order], place[order])
+
+
+def repeated_starts(docs: DataFrame, window: int, counts: np.ndarray, buckets: int, group: int = GROUP) -> DataFrame:
+    """Marks of suffixes that begin earlier too, packed by bucket of their documents. Null ids count as last."""
+    first, splits, number = groups(counts, group)
+    names = [f.split()[0] for f in EMITTED.split(", ")]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            doc, place, bucket, deep = (np.concatenate(x) for x in zip(*held))
+        def flush() -> Iterator[pa.RecordBatch]:
+            doc, place, prefix, deep = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             keep, later = _firsts(deep, doc, place)
-            to = first[bucket[keep]] + (deep[keep] >> np.uint64(8)).astype(np.int64) % splits[bucket[keep]]
-            order = np.lexsort((place[keep], doc[keep], to)) if number > 1 << 16 else np.argsort(to.astype(np.uint16), kind="stable")
+            to = first[prefix[keep]] + (deep[keep] >> np.uint64(8)).astype(np.int64) % splits[prefix[keep]]
+            order = np.argsort(to.astype(np.uint16 if number < 1 << 16 else np.int64), kind="stable")
             to, keep = to[order], keep[order]
-            doc_kept, place_kept = doc[keep], place[keep].astype("<u4")
-            new_group = np.concatenate([[True], to[1:] != to[:-1]]) if len(to) else np.zeros(0, bool)
-            new_run = new_group | np.concatenate([[True], doc_kept[1:] != doc_kept[:-1]]) if len(to) else new_group
-            cuts = np.append(np.flatnonzero(new_group), len(to))
-            runs = np.append(np.flatnonzero(new_run), len(to))
-            run_cuts = np.searchsorted(runs, cuts)
-            planes = place_kept.view(np.uint8).reshape(-1, 4)
-            own, starts = _marks(doc[later], place[later])
-            none = pa.nulls(len(own), pa.binary())
+            group, hashes, *packed = _packed(to, doc[keep], place[keep], deep[keep])
+            yield pa.RecordBatch.from_arrays([group, hashes, pa.nulls(len(group), pa.int32()), *packed], names)
             # marks of this block go along to some group, which hands them on
-            some = pa.array((own.to_numpy() % number).astype(np.int32))
-            columns = [
-                (pa.array(to[cuts[:-1]].astype(np.int32)), some),
-                (T.binaries(deep[keep], cuts), none),
-                (T.binaries(doc_kept[runs[:-1]], run_cuts), T.binaries(own.to_numpy(), np.arange(len(own) + 1))),
-                (T.binaries(np.diff(runs).astype(np.uint32), run_cuts), starts),
-                *((T.binaries(p, cuts), none) for p in (planes[:, 0], planes[:, 1], np.ascontiguousarray(planes[:, 2:]).view(np.uint16)[:, 0])),
-            ]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], [f.split()[0] for f in EMITTED.split(", ")])
+            bucket, *packed = _marks(doc[later], place[later], buckets)
+            some = pa.array(bucket.to_numpy() % number, pa.int32())
+            yield pa.RecordBatch.from_arrays([some, pa.nulls(len(some), pa.binary()), bucket, *packed], names)
 
         for batch in batches:
             for part in T.pieces(batch):
-                row, place, bucket, deep = _suffixes(part, window)
+                row, place, prefix, deep = _suffixes(part, window)
                 if len(row):
-                    held.append((T.longs(part.column("doc_id"), LAST_ID)[row], place.astype(np.int32), bucket.astype(np.int16), deep))
+                    held.append((T.longs(part.column("doc_id"), LAST_ID)[row], place.astype(np.int32), prefix.astype(np.int16), deep))
                     size += len(row)
                 if size >= BLOCK:
-                    yield flush()
+                    yield from flush()
                     size = 0
         if size:
-            yield flush()
+            yield from flush()
 
     def reduce(table: pa.Table) -> pa.Table:
-        packed = table.column("hashes").is_valid().to_numpy()
-        passed = table.filter(pa.array(~packed))
-        table = table.filter(pa.array(packed))
+        packed = table.column("hashes").is_valid()
+        passed = table.filter(pa.compute.invert(packed)).drop_columns(["group", "hashes"])
+        table = table.filter(packed)
+        doc, place = _unpacked(table)
+        _, later = _firsts(_joined(table, "hashes", np.uint64), doc, place)
+        return pa.concat_tables([pa.table(_marks(doc[later], place[later], buckets), passed.schema.names), passed])
 
-        def joined(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    return docs.select("doc_id", "text").mapInArrow(emit, EMITTED).groupBy("group").applyInArrow(reduce, MARKED)
 
-        deep = joined("hashes", np.uint64)
-        doc = np.repeat(joined("docs", np.int64), joined("counts", np.uint32))
-        place = joined("low", np.uint8).astype(np.int64) + joined("middle", np.uint8).astype(np.int64) * 256 + joined("high", np.uint16).astype(np.int64) * 65536
-        _, later = _firsts(deep, doc, place)
-        own, starts = _marks(doc[later], place[later])
-        ids = np.frombuffer(b"".join(passed.column("docs").to_pylist()), np.int64)
-        before = pa.table([pa.array(ids, pa.int64()), passed.column("counts").combine_chunks()], ["doc_id", "starts"])
-        return pa.concat_tables([pa.table([own, starts], ["doc_id", "starts"]), before])
 
-    emitted = docs.select("doc_id", "text").mapInArrow(emit, EMITTED)
-    return emitted.groupBy("group").applyInArrow(reduce, "doc_id long, starts binary")
+def _texts(docs: DataFrame, buckets: int) -> DataFrame:
+    """The documents by bucket, several compressed into one value: (bucket, texts)."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in T.pieces(batch, limit=4 * T.PIECE_BYTES):
+                doc = T.longs(part.column("doc_id"), LAST_ID)
+                bucket = _bucket(doc, buckets)
+                order = np.argsort(bucket, kind="stable")
+                part, doc, bucket = part.take(pa.array(order)), doc[order], bucket[order]
+                data, offsets = T.flat(part.column("text"))
+                empty = part.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+                packed = []
+                for low, high in zip(cuts[:-1], cuts[1:]):
+                    head = np.concatenate([[high - low], doc[low:high], empty[low:high], np.diff(offsets[low : high + 1])]).astype(np.int64)
+                    packed.append(press.compress(head.tobytes() + data[offsets[low] : offsets[high]].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]], pa.int32()), pa.array(packed, pa.binary())], ["bucket", "texts"])
+
+    return docs.select("doc_id", "text").mapInArrow(pack, "bucket int, texts binary")
 
 
 def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """Remove every word that a repeated window covers: doc_id, kept (text), n_words, n_removed.
 
     A window is ``window`` consecutive words of one document; it is repeated if its words also start earlier, in a
-    document of a smaller id or before it in the same one. Ids are integers; null ids count as one last id. Null and
-    empty texts have no words. Repeated rows are one document that is given back once for each row: a window does not
-    start earlier than itself. Kept words are joined by one space; columns other than doc_id and text are ignored.
+    document of a smaller id or before it in the same one. Ids are unique integers; null ids count as one last id. Null
+    and empty texts have no words. An exact repeat of a row is the same document, given back once for each row: a window
+    does not start earlier than itself. Kept words are joined by one space; columns other than doc_id and text are
+    ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marks = repeated_starts(docs, window).groupBy(F.col("doc_id").alias("marked")).agg(F.collect_list("starts").alias("starts"))
-    joined = docs.join(marks, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("marked"), "left").select("doc_id", "text", "starts")
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, sizes, gone = [], [], []
-            for text, starts in zip(batch.column(1), batch.column(2)):
-                words = (text.as_py() or "").encode().split()
+    counts, size = prefix_counts(docs, window)
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    marks = repeated_starts(docs, window, counts, buckets)
+
+    def clean(texts: pa.Table, marks: pa.Table) -> pa.Table:
+        doc, place = _unpacked(marks)
+        order = np.argsort(doc, kind="stable")
+        doc, place = doc[order], place[order]
+        ids, kept, sizes, gone = [], [], [], []
+        for packed in texts.column("texts"):
+            data = zstandard.decompress(packed.as_py())
+            n = int(np.frombuffer(data, np.int64, 1)[0])
+            head = np.frombuffer(data, np.int64, 3 * n, 8).reshape(3, n)
+            at = 8 + 24 * n
+            low, high = np.searchsorted(doc, head[0]), np.searchsorted(doc, head[0], "right")
+            for i in range(n):
+                words = data[at : at + int(head[2, i])].split()
+                at += int(head[2, i])
                 sizes.append(len(words))
                 removed = 0
-                if starts.is_valid:
-                    at = np.frombuffer(b"".join(starts.as_py()), np.uint32).astype(np.int64)
-                    at = at[at + window <= len(words)]
-                    steps = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + window, minlength=len(words) + 1)
+                if low[i] < high[i]:
+                    start = place[low[i] : high[i]]
+                    start = start[start + window <= len(words)]
+                    steps = np.bincount(start, minlength=len(words) + 1) - np.bincount(start + window, minlength=len(words) + 1)
                     stays = np.cumsum(steps[:-1]) == 0
                     removed = len(words) - int(stays.sum())
-                    words = list(compress(words, stays.tolist()))
-                kept.append(b" ".join(words).decode())
+                    words = compress(words, stays.tolist())
+                ids.append(None if head[1, i] else int(head[0, i]))
+                kept.append(b" ".join(words))
                 gone.append(removed)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(kept, pa.string()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64())],
-                ["doc_id", "kept", "n_words", "n_removed"])
+        return pa.table(
+            [pa.array(ids, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64())],
+            ["doc_id", "kept", "n_words", "n_removed"])
 
-    return joined.mapInArrow(clean, "doc_id long, kept string, n_words long, n_removed long")
+    meeting = _texts(docs, buckets).groupBy("bucket").cogroup(marks.groupBy("bucket"))
+    return meeting.applyInArrow(clean, "doc_id long, kept string, n_words long, n_removed long")
