@@ -12,8 +12,9 @@ a set's signatures are hashes of its part of each segment:
 
 Shingle frequencies come from a count sketch over all documents. Equal sets are one class from the start, so copies send
 nothing twice. Signatures travel packed, about ten bytes each. In a bucket of classes that share a signature, first each
-is verified against one centre; further pairs are only formed between classes not yet connected, until none is left
-unverified, so every link that could join two components is looked at. Verification compares the whole sets.
+is verified against one centre. Then every two classes of a bucket that are not yet connected are compared: as pairs in
+small buckets, block by block in large ones. So every link that could join two components is looked at. Verification
+compares the whole sets.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ GROUP = 1 << 20
 BROADCAST_IDS = 1_000_000
 #: Members that are compared with one copy of a centre.
 MEMBERS = 500
+#: Buckets with more classes are compared in blocks of sets instead of as pairs.
+SMALL_BUCKET = 16
+BLOCK_SETS = 512
+COLUMNS = 4096
 
 
 def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -294,19 +299,84 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _renamed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Bucket members with the component they are in, of buckets that still hold two."""
-    if labels is None:
-        return members.select("bucket", "key", F.col("key").alias("part"))
-    named = members.select("bucket", "key").join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("part"))
-    mixed = named.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high").select("bucket")
-    return named.join(mixed, "bucket")
+def _mixed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members (bucket, key, part, size) of buckets that hold classes of several components, with the component."""
+    named = members.select("bucket", "key", F.col("key").alias("part"))
+    if labels is not None:
+        named = members.select("bucket", "key").join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("part"))
+    mixed = named.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
+    return named.join(mixed.filter("low != high").select("bucket", "size"), "bucket")
+
+
+def _pairs(named: DataFrame) -> DataFrame:
+    """Pairs of classes of different components in small buckets."""
+    small = named.filter(F.col("size") <= SMALL_BUCKET)
+    a, b = small.alias("a"), small.alias("b")
+    pairs = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.part") < F.col("b.part")))
+    return pairs.select(F.least("a.key", "b.key").alias("centre"), F.greatest("a.key", "b.key").alias("key")).distinct()
+
+
+def _shared_shingles(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of two blocks, by products of 0/1 matrices over some shingles at a time."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    common = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    for low in range(0, len(common), COLUMNS):
+        columns = common[low : low + COLUMNS]
+        sides = []
+        for sets in (a, b):
+            side = np.zeros((len(sets), len(columns)), np.float32)
+            for i, own in enumerate(sets):
+                at = np.minimum(np.searchsorted(columns, own), len(columns) - 1)
+                side[i, at[columns[at] == own]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _verified_in_blocks(named: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (centre, key) between classes of different components in large buckets.
+
+    Large buckets that share classes make a family. A family's classes are dealt to blocks of about BLOCK_SETS and each
+    two blocks meet in a task, which compares their sets at once; no row is made for a pair. Of several links between the
+    same two components one is given.
+    """
+    large = named.filter(F.col("size") > SMALL_BUCKET)
+    centres = large.groupBy("bucket").agg(F.min("key").alias("centre"))
+    edges = large.join(centres, "bucket").filter("key != centre").select("centre", "key").distinct()
+    family = connected(edges).withColumnRenamed("label", "family")
+    sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("blocks"))
+    parts = large.select("key", "part").distinct()
+    dealt = family.join(sizes, "family").join(parts, "key").withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "key", "part")
+
+    def compare(table: pa.Table) -> pa.Table:
+        keys, parts = table.column("key").to_numpy(), table.column("part").to_numpy()
+        sets: list[np.ndarray] = []
+        for batch in table.combine_chunks().to_batches():
+            for part in T.pieces(batch):
+                token, first = shingle_sets(part.column("text"))
+                sets += [token[low:high].copy() for low, high in zip(first[:-1], first[1:])]
+        size = np.array([len(x) for x in sets])
+        first = table.column("own").to_numpy() == table.column("one")[0].as_py()
+        a = np.flatnonzero(first)
+        b = np.flatnonzero(~first) if table.column("one")[0] != table.column("two")[0] else a
+        links: dict[tuple[int, int], tuple[int, int]] = {}
+        if len(a) and len(b):
+            both = _shared_shingles([sets[i] for i in a], [sets[i] for i in b])
+            linked = (100 * both >= PERCENT * (size[a][:, None] + size[b] - both)) & (parts[a][:, None] != parts[b])
+            for i, j in zip(*np.nonzero(linked)):
+                i, j = sorted((a[i], b[j]), key=lambda x: parts[x])
+                links.setdefault((parts[i], parts[j]), (keys[i], keys[j]))
+        return pa.table([pa.array([x[k] for x in links.values()], pa.int64()) for k in (0, 1)], ["centre", "key"])
+
+    return dealt.join(texts, "key").groupBy("family", "one", "two").applyInArrow(compare, "centre long, key long")
 
 
 def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, shingles: int) -> DataFrame | None:
     """Components (key, label) of the classes that are linked with another one; None if there are none."""
     signs = max(1, int(0.6 * shingles))
-    members = kept(_buckets(docs, sketch, -(-signs // GROUP)), "jaccard-buckets")
+    members = kept(_buckets(docs, sketch, -(-signs // GROUP)).distinct(), "jaccard-buckets")
     wanted = members.select("key").distinct().join(classes.groupBy("key").agg(F.min_by(F.struct("doc_id", "digest"), F.struct("doc_id", "digest")).alias("doc")), "key")
     wanted = kept(wanted.select("key", F.col("doc.doc_id").alias("want_id"), F.col("doc.digest").alias("want_digest")), "jaccard-wanted")
     number = wanted.count()
@@ -316,33 +386,14 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, shingles: int
     same = docs["doc_id"].eqNullSafe(near["want_id"]) & (docs["digest"] == near["want_digest"])
     texts = kept(docs.join(near, same).select("key", "text").dropDuplicates(["key"]), "jaccard-texts")
 
-    tried = kept(members.filter("key != centre").select("centre", "key").distinct(), "jaccard-pairs")
-    edges = kept(_verified(tried, texts), "jaccard-links")
+    stars = members.filter("key != centre").select("centre", "key").distinct()
+    edges = kept(_verified(stars, texts), "jaccard-links")
     labels = None if edges.isEmpty() else connected(edges)
-    rounds = 0
-    while True:
-        # pairs between components: first between one class of each, then all that are left
-        named = _renamed(members, labels)
-        if rounds < 2:
-            ends = named.groupBy("bucket", "part").agg(F.min("key").alias("key"))
-            low = ends.groupBy("bucket").agg(F.min("key").alias("centre"))
-            pairs = ends.join(low, "bucket").filter("key != centre").select("centre", "key")
-        else:
-            a, b = named.alias("a"), named.alias("b")
-            pairs = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.part") < F.col("b.part")))
-            pairs = pairs.select(F.least("a.key", "b.key").alias("centre"), F.greatest("a.key", "b.key").alias("key"))
-        pairs = kept(pairs.distinct().join(tried, ["centre", "key"], "left_anti"), "jaccard-pairs")
-        if not pairs.isEmpty():
-            tried = tried.unionAll(pairs)
-            new = kept(_verified(pairs, texts), "jaccard-links")
-            if not new.isEmpty():
-                edges = edges.unionAll(new)
-                labels = connected(edges)
-                rounds = min(rounds + 1, 2)
-                continue
-        if rounds == 2:
-            return labels
-        rounds = 2
+    named = kept(_mixed(members, labels), "jaccard-mixed")
+    if named.isEmpty():
+        return labels
+    more = kept(_verified(_pairs(named).join(stars, ["centre", "key"], "left_anti"), texts).unionAll(_verified_in_blocks(named, texts)), "jaccard-links")
+    return labels if more.isEmpty() else connected(edges.unionAll(more))
 
 
 def components(docs: DataFrame) -> DataFrame:
