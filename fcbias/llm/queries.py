@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, pii, quality, shared, substrings, tokens, toxicity, urls
+from . import decontaminate, jaccard, mixing, neighbours, pii, quality, shared, substrings, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,12 @@ def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(shared.table(spark, folder, "pages"))
 
 
+@query("op3_nearest_vectors")
+def op3_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = shared.table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
+
+
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
