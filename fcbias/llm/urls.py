@@ -14,7 +14,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Suffixes whose statistics are sent to every scan at most; with more, pages are shuffled by suffix.
+BROADCAST_SUFFIXES = 100_000
 FEATURES = ["url_length", "host_length", "path_length", "labels", "depth", "digit_ratio", "entropy", "parameters", "hyphens", "suffix_rate", "suffix_known"]
 
 
@@ -82,8 +86,8 @@ def lexical(pages: DataFrame) -> DataFrame:
     })
 
 
-def with_suffix_rates(pages: DataFrame, rates: DataFrame) -> DataFrame:
-    joined = pages.join(rates, "suffix", "left")
+def with_suffix_rates(pages: DataFrame, rates: DataFrame, few: bool) -> DataFrame:
+    joined = pages.join(F.broadcast(rates) if few else rates, "suffix", "left")
     return joined.withColumns({"suffix_known": F.coalesce("suffix_known", F.lit(0.0)), "suffix_rate": F.coalesce("suffix_rate", F.lit(0.5))})
 
 
@@ -99,6 +103,8 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
     known = judged.filter("verdict is not null").withColumn("label", (F.col("verdict") == "block").cast("double"))
     rates = known.groupBy("suffix").agg(
         ((F.sum("label") + 1) / (F.count("*") + 2)).alias("suffix_rate"), F.log1p(F.count("*")).alias("suffix_known"))
+    rates = kept(rates, "url-suffixes")
+    few = rates.count() <= BROADCAST_SUFFIXES
     order = [F.xxhash64("url"), F.col("url")]
     sample = [known.filter(F.col("label") == y).orderBy(*order).limit(sample_rows) for y in (0.0, 1.0)]
     there = [bool(s.take(1)) for s in sample]
@@ -107,9 +113,9 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
         only = "block" if there[1] else "allow"
         return judged.select(*result, F.coalesce("verdict", F.lit(only)).alias("verdict"), F.lit(float(there[1])).alias("score"))
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = assemble.transform(with_suffix_rates(sample[0].unionAll(sample[1]), rates)).select("features", "label")
+    train = assemble.transform(with_suffix_rates(sample[0].unionAll(sample[1]), rates, few)).select("features", "label")
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, cacheNodeIds=False, maxMemoryInMB=64).fit(train)
-    scored = model.transform(assemble.transform(with_suffix_rates(judged, rates)))
+    scored = model.transform(assemble.transform(with_suffix_rates(judged, rates, few)))
     score = vector_to_array("probability")[1]
     verdict = F.coalesce("verdict", F.when(score >= 0.5, "block").otherwise("allow"))
     return scored.select(*result, verdict.alias("verdict"), score.alias("score"))
