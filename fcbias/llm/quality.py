@@ -96,15 +96,16 @@ def fit(texts: list[str], labels: list[int], buckets: int = 1 << 18, width: int
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.5
         return SubwordModel(np.zeros(buckets, np.float32), float(np.log((share + 0.01) / (1.01 - share))))
-    features, first = subwords(pa.array(texts, pa.string()), buckets)
     rng = np.random.default_rng(seed)
     vectors = (rng.random((buckets, width)) - 0.5) / width
     output, bias = rng.normal(0, 0.1, (2, width)), np.zeros(2)
     weight = len(y) / (2 * np.bincount(y, minlength=2))
     bags = []
-    for i in range(len(y)):
-        own, n = np.unique(features[first[i] : first[i + 1]], return_counts=True)
-        bags.append((own, (n / max(1, n.sum()))[:, None]))
+    for low in range(0, len(y), 64):  # the features of a few texts at a time, else the sample's would fill the driver
+        features, first = subwords(pa.array(texts[low : low + 64], pa.string()), buckets)
+        for i in range(len(first) - 1):
+            own, n = np.unique(features[first[i] : first[i + 1]], return_counts=True)
+            bags.append((own, (n / max(1, n.sum())).astype(np.float32)[:, None]))
     steps = epochs * len(y)
     for step, i in enumerate(np.concatenate([rng.permutation(len(y)) for _ in range(epochs)])):
         own, share = bags[i]
