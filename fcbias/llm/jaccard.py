@@ -285,18 +285,24 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def connected(edges: DataFrame) -> DataFrame:
     """(key, label) of all ends of the edges (centre, key): the smallest key that can be reached.
 
-    Labels pass along edges and then jump to their label's label; each round is written, and the last changed nothing.
+    Every key takes its smallest neighbour's name, or its own, and the edges are drawn again between names, until none
+    is left between two of them; then the names are followed back. As keys are hashes, each round leaves a fraction of
+    the edges of the one before.
     """
-    both = kept(edges.select(F.col("centre").alias("a"), F.col("key").alias("b")).unionAll(edges.select("key", "centre")), "jaccard-edges")
-    labels = kept(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "jaccard-labels")
-    while True:
-        passed = both.join(labels, both["b"] == labels["key"]).groupBy("a").agg(F.min("label").alias("near"))
-        met = labels.join(passed, labels["key"] == passed["a"]).select("key", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        root = labels.select(F.col("key").alias("at"), F.col("label").alias("root"))
-        jumped = kept(met.join(root, met["label"] == root["at"]).select("key", "old", F.least("label", "root").alias("label")), "jaccard-labels")
-        labels = jumped.select("key", "label")
-        if jumped.filter("old != label").isEmpty():
-            return labels
+    both = edges.select(F.col("centre").alias("a"), F.col("key").alias("b")).unionAll(edges.select("key", "centre"))
+    both = kept(both.distinct(), "jaccard-edges")
+    levels = []
+    while not levels or not both.isEmpty():
+        named = kept(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "jaccard-labels")
+        levels.append(named)
+        one, two = named.select(F.col("key").alias("a"), F.col("label").alias("x")), named.select(F.col("key").alias("b"), F.col("label").alias("y"))
+        drawn = both.join(one, "a").join(two, "b").filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        both = kept(drawn.distinct(), "jaccard-edges")
+    labels = levels.pop()
+    while levels:
+        named, last = levels.pop(), labels.select(F.col("key").alias("at"), F.col("label").alias("root"))
+        labels = named.join(last, named["label"] == last["at"], "left").select("key", F.coalesce("root", "label").alias("label"))
+    return kept(labels, "jaccard-labels")
 
 
 def _mixed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
