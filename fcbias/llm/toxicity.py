@@ -205,7 +205,7 @@ def fit(texts: list[str], labels: list[int], passes: int = 10, batch: int = 32,
     memory = {k: np.full_like(v, 1e-4) for k, v in model.p.items()}
     column = pa.array(texts, pa.string())
     lengths = np.array([len(t) for t in texts])
-    epochs = max(passes, min(40, 12_000 // len(y)))
+    epochs = max(passes, min(40, 24_000 // len(y)))
     for epoch in range(epochs):
         pace = rate * (1 - 0.9 * epoch / epochs)
         # short texts first: there the label says most about its windows
