@@ -205,14 +205,17 @@ def observation_qc(t):
 select window_start, window_start + interval '10' minute as window_end, latitude, longitude, ts, event_id, value from (
  select *, row_number() over (partition by window_start, latitude, longitude order by ts, event_id) as rn from (
   select *, time_bucket(interval '10' minute, ts, timestamp '1970-01-01 00:00:00') as window_start from crowd_events) w) x
-where rn = 1 and window_start + interval '10' minute <= (select max(ts) from events) - interval '10' minute
+where rn = 1
 """, "latitude longitude value")
 def stream_crowd_window(t):
-    """The feed read as a stream until its end; the windows the watermark has closed."""
+    """The feed read as a stream until its end: the windows the watermark has closed, and from the table those still open."""
     events = t.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(t.folder)
     out, checkpoint = new_folder(t.spark, "stream-out"), new_folder(t.spark, "stream-checkpoint")
     SC.run_once(SC.first_per_window(crowd_feed(events)), out, checkpoint)
-    closed = t.spark.read.schema(SC.first_per_window(t.crowd_events()).schema).parquet(out)
-    return closed.withColumns({c: S.instant_to_utc(c) for c in ("window_start", "window_end", "ts")})
+    table = SC.first_per_window(t.crowd_events())
+    closed = t.spark.read.schema(table.schema).parquet(out)
+    place = ["window_start", "latitude", "longitude"]
+    whole = closed.unionByName(table.join(closed.select(*place), place, "left_anti"))
+    return whole.withColumns({c: S.instant_to_utc(c) for c in ("window_start", "window_end", "ts")})
 
 

@@ -1,7 +1,8 @@
 """Optimal interpolation of biases from points to nodes (Gandin 1963, Barnes 1964, Daley 1991).
 
 The background is zero and the error variance ratio a constant, so the weights depend only on which
-points there are and not on the lead: they are solved once per node and applied to all leads.
+points have a bias: they are solved once per node and set of points, and applied to all leads of all runs
+with that set. With complete data that is one set.
 """
 
 from __future__ import annotations
@@ -58,19 +59,20 @@ def oi_pair2(weighted: DataFrame) -> DataFrame:
 
 
 def oi_weights(weighted: DataFrame, k: int = P.MAX_POINTS) -> DataFrame:
-    """Weight of each of at most k points at each node: (cell, sid, weight).
+    """Weight of each of at most k points at each node: (cell, sid, weight), by ``set`` too if there is one.
 
     The points of a node are packed into one row, at most k of them, so the solver sees batches of
     nodes and no group can outgrow a task.
     """
+    node = [c for c in ("set", "cell") if c in weighted.columns]
     packed = (
-        spatial.top_neighbours(weighted, k)
-        .groupBy("cell")
+        spatial.top_neighbours(weighted, k, tuple(node))
+        .groupBy(*node)
         .agg(F.array_sort(F.collect_list(F.struct("rank", "sid", "rho", "lat", "lon", "elev", "land"))).alias("points"))
-        .select("cell", *[F.col(f"points.{c}").alias(c) for c in ("sid", "rho", "lat", "lon", "elev", "land")])
+        .select(*node, *[F.col(f"points.{c}").alias(c) for c in ("sid", "rho", "lat", "lon", "elev", "land")])
     )
-    solved = packed.mapInPandas(_solve_batches, WEIGHT_SCHEMA)
-    return solved.select("cell", F.inline(F.arrays_zip("sid", "weight")))
+    solved = packed.mapInPandas(_solve_batches, "set long, " * ("set" in node) + WEIGHT_SCHEMA)
+    return solved.select(*node, F.inline(F.arrays_zip("sid", "weight")))
 
 
 def _solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,28 +109,50 @@ def _solve(nodes: pd.DataFrame) -> pd.DataFrame:
     weights = np.linalg.solve(covariance, padded("rho")[:, :, None])[:, :, 0]
     return pd.DataFrame(
         {
-            "cell": nodes["cell"].to_numpy(),
+            **{c: nodes[c].to_numpy() for c in ("set", "cell") if c in nodes},
             "sid": nodes["sid"].to_numpy(),
             "weight": [w[:n] for w, n in zip(weights, sizes)],
         }
     )
 
 
+def _scene(biases: DataFrame) -> list[str]:
+    """What tells fields of biases apart: the lead, and the run where there are several."""
+    return [c for c in ("analysistime", "leadtime") if c in biases.columns]
+
+
 def apply_weights(weights: DataFrame, biases: DataFrame) -> DataFrame:
-    """Increment per node and lead: the weighted sum of the biases (sid, leadtime, bias).
+    """Increment per node and lead (and run): the weighted sum of the biases (sid, leadtime, bias).
 
     The leads of a point travel as one array, so the weights are shuffled once and not once per lead.
     """
-    per_point = biases.groupBy("sid").agg(F.collect_list(F.struct("leadtime", "bias")).alias("by_lead"))
+    scene, point = _scene(biases), [c for c in ("set", "sid") if c in weights.columns]
+    per_point = biases.groupBy(*point).agg(F.collect_list(F.struct(*scene, "bias")).alias("by_lead"))
     return (
-        weights.join(per_point, "sid")
+        weights.join(per_point, point)
         .select("cell", "weight", F.inline("by_lead"))
-        .groupBy("cell", "leadtime")
+        .groupBy("cell", *scene)
         .agg(F.sum(F.col("weight") * F.col("bias")).alias("diff"))
     )
 
 
+def with_sets(biases: DataFrame) -> DataFrame:
+    """Known biases with a number for the set of points that have one at the same lead of the same run."""
+    known = biases.where(F.col("bias").isNotNull() & ~F.isnan("bias"))
+    scene = _scene(biases)
+    sets = known.groupBy(*scene).agg(
+        F.xxhash64(F.bit_xor(F.xxhash64("sid")), F.sum(F.pmod(F.xxhash64("sid", F.lit(1)), F.lit(1 << 31))), F.count("*")).alias("set")
+    )
+    return known.join(sets, scene)
+
+
 def oi_analysis(points: DataFrame, biases: DataFrame, grid: DataFrame, k: int = P.MAX_POINTS, counted: DataFrame | None = None) -> DataFrame:
-    """Increments (cell, leadtime, diff) on the grid from biases at points; nodes out of reach have no row."""
-    usable = points.join(biases.where("leadtime = 1 and bias is not null").select("sid"), "sid", "left_semi")
-    return apply_weights(oi_weights(barnes_weights(usable, grid, counted), k), biases)
+    """Increments (cell, leadtime, diff) on the grid from biases at points; nodes out of reach have no row.
+
+    Every lead uses the points that have a bias then, and no others. With a column ``analysistime`` the biases are of
+    several runs, and so are the increments.
+    """
+    known = with_sets(biases)
+    members = known.select("set", "sid").distinct()
+    near = barnes_weights(points.join(members.select("sid").distinct(), "sid", "left_semi"), grid, counted)
+    return apply_weights(oi_weights(near.join(members, "sid"), k), known)

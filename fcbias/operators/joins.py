@@ -77,18 +77,19 @@ def product_metadata(spark: SparkSession) -> DataFrame:
 
 
 def join_month_limits(df: DataFrame, time: str, model: str) -> DataFrame:
-    """Attach the z-score limits of the month."""
+    """Attach the z-score limits of the month; rows without a time have none."""
     limits = zscore_limits(df.sparkSession).where(F.col("model") == model).drop("model")
-    return df.withColumn("month", F.month(time)).join(F.broadcast(limits), "month")
+    return df.withColumn("month", F.month(time)).join(F.broadcast(limits), "month", "left")
 
 
 def join_parameters(df: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(parameter_table(df.sparkSession)), "param")
+    return df.join(F.broadcast(parameter_table(df.sparkSession)), "param", "left")
 
 
 def join_correction(background: DataFrame, diff: DataFrame, value: str = "value") -> DataFrame:
-    """Background minus increment per node and lead; nodes without an increment stay as they are."""
-    joined = background.join(diff.select("cell", "leadtime", "diff"), ["cell", "leadtime"], "left")
+    """Background minus increment per node and lead, and run if both have one; without an increment it stays as it is."""
+    keys = ["cell", "leadtime", *(c for c in ("analysistime",) if c in background.columns and c in diff.columns)]
+    joined = background.join(diff.select(*keys, "diff"), keys, "left")
     return joined.withColumn("corrected", F.col(value) - F.coalesce("diff", F.lit(0.0)))
 
 
@@ -98,6 +99,6 @@ def product_table(df: DataFrame) -> DataFrame:
     The gust product is the maximum of the hour that starts at its step.
     """
     step = S.step_hours("forecasttime", "analysistime")
-    return df.join(F.broadcast(product_metadata(df.sparkSession)), "param").withColumn(
+    return df.join(F.broadcast(product_metadata(df.sparkSession)), "param", "left").withColumn(
         "step", F.when(F.col("param") == "gust", step - 1).otherwise(step)
     )

@@ -13,7 +13,7 @@ def pivot_avg(narrow: DataFrame, value: str = "value") -> DataFrame:
     """Narrow to wide: the mean per parameter and the number of narrow rows, in one aggregation."""
     wanted = narrow.where(F.col("parameter").isin(list(P.NARROW_TO_WIDE)))
     means = [
-        F.avg(F.when(F.col("parameter") == name, F.col(value))).alias(wide)
+        F.avg(F.when(F.col("parameter") == name, S.nan_to_null(value))).alias(wide)
         for name, wide in P.NARROW_TO_WIDE.items()
     ]
     return wanted.groupBy(*P.NARROW_KEYS).agg(*means, F.count(F.lit(1)).alias("rows_n"))

@@ -157,11 +157,11 @@ def _tile_parts(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.withColumn("point_parts", F.coalesce("point_parts", F.lit(1)))
 
 
-def top_neighbours(weighted: DataFrame, k: int = P.MAX_POINTS) -> DataFrame:
+def top_neighbours(weighted: DataFrame, k: int = P.MAX_POINTS, node: tuple[str, ...] = ("cell",)) -> DataFrame:
     """At most k points per node by descending weight ``rho``, then by id, with their ``rank``.
 
     Weights that agree to nine digits count as equal, so that the last bits of the arithmetic do not
     decide. Spark limits every task to k rows per node before the shuffle.
     """
-    order = Window.partitionBy("cell").orderBy(F.floor(F.col("rho") * 1e9 + 0.5).desc(), "sid")
+    order = Window.partitionBy(*node).orderBy(F.floor(F.col("rho") * 1e9 + 0.5).desc(), "sid")
     return weighted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

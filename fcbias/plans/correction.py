@@ -30,14 +30,16 @@ def observation_qc(conventional: DataFrame, crowd: DataFrame | None, dem: DataFr
     obs = conventional.select(*columns)
     if crowd is not None and p.crowd:
         first = Q.keep_first(crowd, ["obstime", "lat", "lon"], ["arrival"])
-        # sites are few compared with their reports, so heights are looked up once per site
-        sites = first.select("sid", "x", "y").distinct()
-        heights = X.bilinear(sites, dem, *dem_step).withColumnRenamed("elevation", "elev")
-        obs = Q.union_crowd(obs, first.join(heights, "sid", "left").select(*columns), param)
+        # places are few compared with reports, so heights are looked up once per place; a site may move
+        first = first.withColumn("place", F.xxhash64("x", "y"))
+        places = first.select(F.col("place").alias("sid"), "x", "y").distinct()
+        heights = X.bilinear(places, dem, *dem_step).select(F.col("sid").alias("place"), F.col("elevation").alias("elev"))
+        obs = Q.union_crowd(obs, first.join(heights, "place", "left").select(*columns), param)
     checked = Q.zscore(obs, "value", ["obstime"], "obstime", p.model).where(~F.col("is_outlier")).select(*columns)
-    sites = checked.groupBy("sid").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
-    land = X.sample_static(X.nearest_cell(sites, grid), grid, {"lc": "land"})
-    return checked.join(land, "sid", "left")
+    checked = checked.withColumn("place", F.xxhash64("lat", "lon"))
+    places = checked.select(F.col("place").alias("sid"), "lat", "lon").distinct()
+    land = X.sample_static(X.nearest_cell(places, grid), grid, {"lc": "land"}).select(F.col("sid").alias("place"), "land")
+    return checked.join(land, "place", "left").drop("place")
 
 
 def model_units(fields: DataFrame) -> DataFrame:
@@ -96,11 +98,12 @@ def finish_grid(background: DataFrame, diff: DataFrame, param: str) -> DataFrame
     corrected = J.join_correction(background, limited)
     if param == "temperature":
         limits = J.temperature_limits(background.sparkSession)
-        corrected = corrected.withColumn("month", F.month("forecasttime")).join(F.broadcast(limits), "month")
+        corrected = corrected.withColumn("month", F.month("forecasttime")).join(F.broadcast(limits), "month", "left")
         final = apply_limits(param, F.col("corrected"), F.col("low"), F.col("high"))
     else:
         final = apply_limits(param, F.col("corrected"))
-    return corrected.select("cell", "leadtime", "forecasttime", S.fill_missing(final).alias("value"))
+    run = [c for c in ("analysistime",) if c in background.columns]
+    return corrected.select("cell", *run, "leadtime", "forecasttime", S.fill_missing(final).alias("value"))
 
 
 def correct_grid(background: DataFrame, points: DataFrame, biases: DataFrame, grid: DataFrame, param: str,

@@ -90,9 +90,14 @@ GRID_SCHEMA = T.StructType(
 )
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """Missing numbers are null from the source on."""
+    return df.withColumns({c: S.nan_to_null(c) for c, kind in df.dtypes if kind in ("double", "float")})
+
+
 def read_narrow(spark: SparkSession, path: str, columns: list[str] | None = None, parameters=tuple(P.NARROW_TO_WIDE)) -> DataFrame:
     """Narrow archive with only the named parameters; filter and columns reach the scan."""
-    wanted = spark.read.parquet(path).where(F.col("parameter").isin(list(parameters)))
+    wanted = without_nan(spark.read.parquet(path).where(F.col("parameter").isin(list(parameters))))
     return wanted.select(*columns) if columns else wanted
 
 
@@ -103,17 +108,17 @@ def read_periods(spark: SparkSession, path: str, periods: list[str]) -> DataFram
 
 def merge_files(spark: SparkSession, *paths: str, schema: T.StructType = NARROW_SCHEMA) -> DataFrame:
     """All files of the given folders; files that cannot be read are skipped."""
-    return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths)
+    return without_nan(spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths))
 
 
 def read_obs_csv(spark: SparkSession, *paths: str) -> DataFrame:
     """Headerless text observations; several producers are simply several paths."""
-    return spark.read.schema(OBS_CSV_SCHEMA).csv(list(paths))
+    return without_nan(spark.read.schema(OBS_CSV_SCHEMA).csv(list(paths)))
 
 
 def read_obs_json(spark: SparkSession, path: str, value: str, one_list_per_file: bool = False) -> DataFrame:
     """Observation records, one per line or, as a service answers, one list per file."""
-    return spark.read.schema(obs_json_schema(value)).option("multiLine", one_list_per_file).json(path)
+    return without_nan(spark.read.schema(obs_json_schema(value)).option("multiLine", one_list_per_file).json(path))
 
 
 def flatten_features(documents: DataFrame, body: str = "body", value: str = "result") -> DataFrame:

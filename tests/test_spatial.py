@@ -194,3 +194,24 @@ def test_bilinear(spark):
     got = {r["sid"]: r["elevation"] for r in X.bilinear(spark.createDataFrame(rows, "sid int, x double, y double"), raster, 1000.0, 1000.0).collect()}
     assert got[1] == pytest.approx(15.5) and got[2] == pytest.approx(43.0) and got[5] == pytest.approx(0.0)
     assert got[3] is None and got[4] is None
+
+
+def test_leads_with_different_points_and_runs(spark):
+    g = spark.createDataFrame([(0, 60.0, 20.0, 0.0, 1.0)], "cell int, lat double, lon double, topo double, lc double")
+    points = [(1, 60.0, 20.02, 0.0, 1.0), (2, 60.02, 20.0, 0.0, 1.0)]
+    p = spark.createDataFrame(points, "sid int, lat double, lon double, elev double, land double")
+    rows = [("a", 1, 1, 2.0), ("a", 2, 1, 1.0), ("a", 1, 2, 2.0), ("a", 1, 3, 2.0), ("a", 2, 3, None), ("b", 2, 1, 4.0), ("b", 2, 2, float("nan"))]
+    biases = spark.createDataFrame(rows, "analysistime string, sid int, leadtime int, bias double")
+
+    def increments(df):
+        return {(r.analysistime, r.leadtime): r["diff"] for r in I.oi_analysis(p, df, g).collect()}
+
+    both = increments(biases)
+    alone = I.oi_analysis(p.where("sid = 1"), biases.where("analysistime = 'a' and sid = 1").drop("analysistime"), g).collect()
+    lone = {r.leadtime: r["diff"] for r in alone}
+    assert both["a", 2] == pytest.approx(lone[2]) and both["a", 3] == pytest.approx(lone[3])
+    assert both["a", 1] != pytest.approx(lone[1])
+    assert ("b", 2) not in both
+    for run in "ab":
+        one = increments(biases.where(f"analysistime = '{run}'"))
+        assert one == pytest.approx({k: v for k, v in both.items() if k[0] == run})
