@@ -33,7 +33,7 @@ def narrow_archive(t: StandIns) -> str:
 
 
 def training_table(t: StandIns) -> DataFrame:
-    return T.build_training_table(t.fc_narrow(), t.obs(), one_obs_per_hour=True)
+    return T.build_training_table(t.fc_narrow(), t.obs())
 
 
 def training_archive(t: StandIns) -> str:
@@ -67,13 +67,18 @@ def scan_narrow_filtered(t):
 
 @query("scan_merge_files", BY_PARAMETER.format(source="fc_narrow"), "mean")
 def scan_merge_files(t):
-    """Every readable file; the folder of text files has no row that is Parquet."""
+    """Files with 32 and 64 bit numbers, with timestamps and seconds; the folder of text files is left out."""
     damaged = written(
         t, "damaged",
         lambda path: t.table("region").select(F.col("r_name").alias("value")).write.option("compression", "none").text(path),
     )
-    months = written(t, "flat", lambda path: t.fc_narrow().write.parquet(path))
-    return by_parameter(tables.merge_files(t.spark, months, damaged))
+    lead = F.col("leadtime")
+    plain = written(t, "flat", lambda path: t.fc_narrow().where(lead < 2).write.parquet(path))
+    long = {c: F.col(c).cast("bigint") for c in ("sid", "leadtime")}
+    wide = written(t, "wide", lambda path: t.fc_narrow().where(lead.between(2, 3)).withColumns(long).write.parquet(path))
+    seconds = {c: S.utc_to_epoch(c) for c in ("fcdate", "validdate")}
+    old = written(t, "seconds", lambda path: t.fc_narrow().where(lead > 3).withColumns(seconds).write.parquet(path))
+    return by_parameter(tables.merge_files(t.spark, plain, wide, old, damaged))
 
 
 @query("sink_merged_narrow", BY_PARAMETER.format(source="fc_narrow"), "mean")

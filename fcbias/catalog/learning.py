@@ -10,9 +10,11 @@ from ..operators import model as M
 from ..operators import prepare as R
 from ..plans import correction as C
 from ..plans import training as T
-from ..session import new_folder, stored
+from ..plans.operational import by_model
+from ..session import new_folder
 from ..sources.standins import FOLDS
-from .gridding import background, land_points, served
+from . import operational
+from .gridding import served
 from .registry import query
 from .tables import training
 
@@ -89,7 +91,6 @@ def hp_search(t):
 
 @query("correct_grid_model")
 def correct_grid_model(t):
-    """The whole operational job: features, predicted biases, interpolation, limits."""
+    """The whole operational job: quality control, features, predicted biases, interpolation, limits, products."""
     model = M.train(rows(t), "T2m", small())
-    biases = stored(C.predicted_biases(served(t, "temperature"), model, "T2m"), "biases")
-    return C.correct_grid(background(t, "t2"), land_points(t), biases, t.grid(), "temperature", counted=t.oi_points())
+    return operational.run(t, "temperature", by_model(model, "T2m"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -48,6 +48,27 @@ def lead_bias_window(df: DataFrame) -> DataFrame:
     )
 
 
+def lead_biases_of_run(df: DataFrame, keep: Column | None = None) -> DataFrame:
+    """Both lead biases with one shuffle, also where rows repeat: they multiply as with ``join_lead_bias``.
+
+    The rows of lead 0 and of lead 1 become two lists beside the rows of their run and are opened out again. A list is as
+    long as a station has observations of one hour. ``keep`` says which rows are wanted; all of them still give biases.
+    """
+    run = Window.partitionBy("sid", "fcdate")
+
+    def rows_at(lead: int):
+        names = [F.col(p.error).alias(p.bias0 if lead == 0 else p.bias1) for p in P.PARAMETERS.values()]
+        return F.collect_list(F.when(F.col("leadtime") == lead, F.struct(*names))).over(run)
+
+    listed = df.withColumns({"_lead0": rows_at(0), "_lead1": rows_at(1)})
+    if keep is not None:
+        listed = listed.where(keep)
+    columns = [F.col(c) for c in df.columns]
+    first = listed.select(*columns, "_lead1", F.inline_outer("_lead0"))
+    names = [p.bias0 for p in P.PARAMETERS.values()]
+    return first.select(*columns, *names, F.inline_outer("_lead1"))
+
+
 # --- tables of fixed size -------------------------------------------------------------------------------
 
 

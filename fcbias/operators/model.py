@@ -35,11 +35,15 @@ def train(df: DataFrame, param: str, settings: P.TreeSettings | None = None, min
         subsamplingRate=s.row_share,
         featureSubsetStrategy=str(s.column_share),
         minInstancesPerNode=min_child,
+        maxBins=s.bins,
         maxMemoryInMB=512,
         checkpointInterval=10,
         seed=seed,
     )
-    return Pipeline(stages=[assemble, trees]).fit(df.select(p.error, *inputs))
+    fitted = Pipeline(stages=[assemble, trees]).fit(df.select(p.error, *inputs))
+    # only complete rows are trained on; a row to predict may lack a feature
+    fitted.stages[0].setHandleInvalid("keep")
+    return fitted
 
 
 def predict(df: DataFrame, model: PipelineModel, name: str = "prediction") -> DataFrame:

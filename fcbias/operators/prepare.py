@@ -84,6 +84,10 @@ def complete_rows(df: DataFrame) -> DataFrame:
     return df.dropna("any")
 
 
+def any_of(columns) -> Column:
+    return F.coalesce(*columns).isNotNull()
+
+
 def with_any(df: DataFrame, columns=tuple(P.OBS_COLUMNS)) -> DataFrame:
     """Keep rows with at least one of the observations."""
     return df.dropna("all", subset=list(columns))

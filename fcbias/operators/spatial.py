@@ -15,21 +15,24 @@ from ..functions import geo as G
 # Tile sizes in degrees for the search of the nearest node, each at least five times the one before. At
 # the last one the block around a point is the whole sphere.
 NEAREST_LEVELS = (0.02, 0.1, 0.5, 2.5, 12.5, 62.5, 200.0)
-# A tile table up to this many rows is small enough to broadcast (24 bytes a row).
-BROADCAST_TILES = 200_000
+# Place among them from which on a point counts as far from the grid: no node within half a degree at least.
+FAR = 3
+# Sizes in degrees of the boxes in which far points look for their node.
+BOXES = (2.5, 0.5, 0.1, 0.02)
 # Points and nodes of one tile that one task joins.
 TASK_POINTS, TASK_NODES = 4096, 16384
 
 
-def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> DataFrame:
+def nearest_cell(points: DataFrame, grid: DataFrame) -> DataFrame:
     """Nearest node of every point: (sid, cell, distance); equal centimetres go to the lowest cell.
 
     First the smallest tiles are found at which the 3 x 3 block around a point holds any node. That
     node is less than five tile heights away, so one level up the block is sure to hold the nearest
     one, and only its nodes are compared. Where tiles span a whole row, near the poles, the search
-    goes two levels up. It is exact, adapts to the density of the grid and joins on tiles throughout.
+    goes two levels up. Points far from all nodes would meet whole grids in this way; they narrow the
+    block down by boxes instead (``_far_candidates``). It is exact and joins on tiles throughout.
     """
-    sizes = ", ".join(f"{degrees}D" for degrees in levels)
+    sizes = ", ".join(f"{degrees}D" for degrees in NEAREST_LEVELS)
     tiling = G.Tiling("degrees")
     tiles = ["level", "ty", "tx"]
 
@@ -45,15 +48,23 @@ def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> D
         .groupBy("sid", "lat", "lon")
         .agg(F.min("level").alias("smallest"))
         .withColumn("polar", F.expr(f"abs(lat) >= 90 - 6 * element_at(array({sizes}), smallest + 1)"))
-        .withColumn("level", F.expr(f"least(smallest + if(polar, 2, 1), {len(levels) - 1})"))
+        .withColumn("level", F.expr(f"least(smallest + if(polar, 2, 1), {len(NEAREST_LEVELS) - 1})"))
         .withColumn("degrees", F.expr(f"element_at(array({sizes}), level + 1)"))
     )
     centimetres = F.floor(G.haversine("lat", "lon", "cell_lat", "cell_lon") * 100 + 0.5)
     # distance and node in one number: its minimum is aggregated by hash, where a struct would be sorted
     packed = F.shiftleft(centimetres, 32) + F.col("cell")
+    place = ["sid", "lat", "lon"]
+
+    def block(of: DataFrame) -> DataFrame:
+        return tiling.around(of.select(*place, "level", "degrees"), "lat", "lon")
+
+    near = block(level.where(F.col("smallest") < FAR)).join(tiled.where(f"level between 1 and {FAR + 1}"), tiles)
+    far = _far_candidates(block(level.where(F.col("smallest") >= FAR)), tiled.where(F.col("level") > FAR), nodes)
+    columns = [*place, "cell", "cell_lat", "cell_lon"]
     return (
-        tiling.around(level.select("sid", "lat", "lon", "level", "degrees"), "lat", "lon")
-        .join(tiled.where("level > 0"), tiles)
+        near.select(*columns)
+        .unionByName(far.select(*columns))
         .groupBy("sid")
         .agg(F.min(packed).alias("best"))
         .select(
@@ -64,6 +75,43 @@ def nearest_cell(points: DataFrame, grid: DataFrame, levels=NEAREST_LEVELS) -> D
     )
 
 
+def _far_candidates(block: DataFrame, tiled: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Nodes that can be nearest to points far from the grid, among those of the tiles of ``block``.
+
+    The nodes are gathered in nested boxes of 2.5 degrees and less. The distance to a box's centre and its radius
+    bound the distance to its nodes from both sides, so at each size only boxes that may hold the nearest node are
+    opened: how many depends on the distance, hardly on how dense the grid is.
+    """
+    place, tiles = ["sid", "lat", "lon"], ["level", "ty", "tx"]
+
+    def boxed(df: DataFrame, degrees: float, name: str) -> DataFrame:
+        return df.withColumns({f"{name}{axis}": F.floor(F.col(f"cell_{c}") / degrees).cast("int") for axis, c in (("y", "lat"), ("x", "lon"))})
+
+    def bounds(df: DataFrame, keys: list[str]) -> DataFrame:
+        edges = df.groupBy(*keys).agg(*[f(f"cell_{c}").alias(f"{c}{n}") for c in ("lat", "lon") for n, f in ((0, F.min), (1, F.max))])
+        half = (F.radians(F.col("lat1") - F.col("lat0")) + F.radians(F.col("lon1") - F.col("lon0"))) / 2
+        return edges.select(
+            *keys, ((F.col("lat0") + F.col("lat1")) / 2).alias("mid_lat"), ((F.col("lon0") + F.col("lon1")) / 2).alias("mid_lon"),
+            # a metre more than needed, for the rounding of distances
+            (half * P.EARTH_RADIUS + 1.0).alias("reach"),
+        )
+
+    def possible(candidates: DataFrame) -> DataFrame:
+        measured = candidates.withColumn("middle", G.haversine("lat", "lon", "mid_lat", "mid_lon"))
+        # a window holds the boxes of one point, at most as many as the sphere has at the first size
+        surest = F.min(F.col("middle") + F.col("reach")).over(Window.partitionBy("sid"))
+        kept = measured.withColumn("surest", surest).where(F.col("middle") - F.col("reach") <= F.col("surest"))
+        return kept.select(*place, "by", "bx").distinct()
+
+    # at most four tiles a box, three levels and 10,368 boxes: 124,416 rows of 48 bytes
+    widest = bounds(boxed(tiled, BOXES[0], "b"), [*tiles, "by", "bx"])
+    found = possible(block.join(F.broadcast(widest), tiles))
+    for outer, inner in zip(BOXES, BOXES[1:]):
+        opened = bounds(boxed(boxed(nodes, outer, "o"), inner, "b"), ["oy", "ox", "by", "bx"])
+        found = possible(found.withColumnsRenamed({"by": "oy", "bx": "ox"}).join(opened, ["oy", "ox"]))
+    return found.join(boxed(nodes, BOXES[-1], "b"), ["by", "bx"])
+
+
 def sample_fields(nearest: DataFrame, fields: DataFrame, names: list[str]) -> DataFrame:
     """Fields at the nearest node of every point for all leads, one row per (sid, leadtime)."""
     return nearest.select("sid", "cell").join(fields.select("cell", "leadtime", *names), "cell").drop("cell")
@@ -128,8 +176,8 @@ def neighbours(points: DataFrame, grid: DataFrame, radius: float | None = None,
     nodes = grid.selectExpr("cell", "lat as cell_lat", "lon as cell_lon", "topo as cell_elev", "lc as cell_land")
     right = tiling.own(nodes, "cell_lat", "cell_lon")
     tiles = _tile_parts(tiling.around((points if counted is None else counted).select("lat", "lon"), "lat", "lon"), right)
-    if tiling.max_tiles <= BROADCAST_TILES:
-        tiles = F.broadcast(tiles)
+    # tiles are one degree or more, so there are 40,051 of them at most, of 24 bytes each
+    tiles = F.broadcast(tiles)
     key = ["ty", "tx", "point_part", "node_part"]
     left = (
         left.join(tiles, ["ty", "tx"])

@@ -184,6 +184,7 @@ class TreeSettings:
     trees: int
     l1: float  # has no counterpart in Spark ML; kept for the record
     row_share: float
+    bins: int = 256  # of the histogram of a feature
 
 
 # fixed values

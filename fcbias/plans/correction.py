@@ -42,10 +42,10 @@ def observation_qc(conventional: DataFrame, crowd: DataFrame | None, dem: DataFr
     return checked.join(land, "place", "left").drop("place")
 
 
-def model_units(fields: DataFrame) -> DataFrame:
-    """All grid fields in the units of the models."""
+def model_units(fields: DataFrame, checked=tuple(P.GRID_FIELDS)) -> DataFrame:
+    """All grid fields in the units of the models. The missing sentinel in a checked field fails the job."""
     converted = {n: S.to_model_units(n, n) for n in P.GRID_FIELDS}
-    return fields.withColumns(converted)
+    return Q.require_no_sentinel(fields, checked).withColumns(converted)
 
 
 def feature_table_serve(points: DataFrame, nearest: DataFrame, fields: DataFrame, grid: DataFrame, param: str, names=None) -> DataFrame:
@@ -77,9 +77,9 @@ def feature_table_serve(points: DataFrame, nearest: DataFrame, fields: DataFrame
 
 
 def predicted_biases(features: DataFrame, model: PipelineModel, param: str) -> DataFrame:
-    """(sid, leadtime, bias) of all points with complete features."""
-    usable = features.dropna("any")
-    return M.predict_bias(usable, model, param).select("sid", "leadtime", "bias")
+    """(sid, leadtime, bias) of all points. Missing features take the trees' other branch; without an observed bias
+    lead 1 has none, and the interpolation leaves it out."""
+    return M.predict_bias(features, model, param).select("sid", "leadtime", "bias")
 
 
 def apply_limits(param: str, value, low=None, high=None):
@@ -107,9 +107,9 @@ def finish_grid(background: DataFrame, diff: DataFrame, param: str) -> DataFrame
 
 
 def correct_grid(background: DataFrame, points: DataFrame, biases: DataFrame, grid: DataFrame, param: str,
-                 counted: DataFrame | None = None) -> DataFrame:
-    """Corrected grids for leads from 1 on, from biases at points."""
-    diff = I.oi_analysis(points, biases, grid, counted=counted)
+                 counted: DataFrame | None = None, k: int = P.MAX_POINTS) -> DataFrame:
+    """Corrected grids for leads from 1 on, from biases at points, at most ``k`` of them a node."""
+    diff = I.oi_analysis(points, biases, grid, k, counted)
     return finish_grid(background.where("leadtime >= 1"), diff, param)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import params as P
 from ..functions import scalar as S
 from ..operators import joins as J
 from ..operators import prepare as R
@@ -20,18 +21,13 @@ def forecast_errors(narrow: DataFrame, obs: DataFrame) -> DataFrame:
     return J.with_errors(J.join_obs(forecast_wide(narrow), obs))
 
 
-def build_training_table(narrow: DataFrame, obs: DataFrame, one_obs_per_hour: bool = False) -> DataFrame:
+def build_training_table(narrow: DataFrame, obs: DataFrame) -> DataFrame:
     """Narrow forecasts and observations to the training table.
 
-    With ``one_obs_per_hour`` the caller states that a station has one observation an hour; both lead
-    biases then take a single shuffle. Without it they are joined and repeated observations multiply.
+    Each input is read once. Repeated observations of an hour multiply the rows, by themselves and as lead biases.
     """
     errors = R.without_helpers(forecast_errors(narrow, obs))
-    if one_obs_per_hour:
-        biased = J.lead_bias_window(errors)
-    else:
-        biased = J.join_lead_bias(J.join_lead_bias(errors, 0), 1, source=errors)
-    return R.with_any(biased)
+    return J.lead_biases_of_run(errors, keep=R.any_of(P.OBS_COLUMNS))
 
 
 def feature_table_train(training: DataFrame, param: str, keep=()) -> DataFrame:

@@ -106,9 +106,41 @@ def read_periods(spark: SparkSession, path: str, periods: list[str]) -> DataFram
     return spark.read.parquet(path).where(F.col("period").isin(periods))
 
 
+def _files_with(spark: SparkSession, paths, schema: T.StructType, names=()) -> DataFrame:
+    """Files that are Parquet and whose named columns have the schema's types; without names only footers are read."""
+    scan = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths)
+    # the largest value is not wanted for itself: it makes the scan decode the column
+    return scan.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in names])
+
+
 def merge_files(spark: SparkSession, *paths: str, schema: T.StructType = NARROW_SCHEMA) -> DataFrame:
-    """All files of the given folders; files that cannot be read are skipped."""
-    return without_nan(spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths))
+    """All rows of the Parquet files of the given folders; files that are not Parquet are skipped.
+
+    From file to file, whole numbers may have 32 or 64 bits, and times may be timestamps or seconds since 1970. Any other
+    type, or a file damaged behind its footer, fails the job rather than losing rows. ``skipped_files`` lists what is
+    left out.
+    """
+    times = [f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)]
+    readable = {r["file"] for r in _files_with(spark, paths, schema).collect()}
+    stamped = {r["file"] for r in _files_with(spark, paths, schema, times).collect()} if times else readable
+    wide = {T.IntegerType(): T.LongType()}
+
+    def read(files: set[str], kinds: dict) -> DataFrame:
+        stored_as = T.StructType([T.StructField(f.name, kinds.get(f.dataType, f.dataType)) for f in schema])
+        rows = spark.read.schema(stored_as).parquet(*sorted(files)) if files else spark.createDataFrame([], stored_as)
+        seconds = {c: S.epoch_to_utc(c) for c in times if kinds.get(T.TimestampNTZType())}
+        return rows.withColumns(seconds).select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+    rows = read(stamped, wide)
+    if readable - stamped:
+        rows = rows.unionByName(read(readable - stamped, {**wide, T.TimestampNTZType(): T.LongType()}))
+    return without_nan(rows)
+
+
+def skipped_files(spark: SparkSession, *paths: str, schema: T.StructType = NARROW_SCHEMA) -> DataFrame:
+    """Files of the given folders that ``merge_files`` takes no row from: (file, bytes)."""
+    files = spark.read.format("binaryFile").load(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+    return files.join(_files_with(spark, paths, schema), "file", "left_anti")
 
 
 def read_obs_csv(spark: SparkSession, *paths: str) -> DataFrame:

@@ -104,7 +104,7 @@ def test_tile_counts_are_not_on_an_edge(degrees):
 
 
 def test_tile_table_is_bounded():
-    assert Tiling.for_radius(search_radius()).max_tiles <= X.BROADCAST_TILES
+    assert Tiling.for_radius(search_radius()).max_tiles <= 40_051
 
 
 @pytest.fixture(scope="module")
@@ -215,3 +215,21 @@ def test_leads_with_different_points_and_runs(spark):
     for run in "ab":
         one = increments(biases.where(f"analysistime = '{run}'"))
         assert one == pytest.approx({k: v for k, v in both.items() if k[0] == run})
+
+
+def test_far_points_do_not_meet_whole_grids(spark):
+    """Four times the nodes, about the same number of candidates, and still the nearest one."""
+    rng = np.random.default_rng(7)
+    points = frame(rng, 20, (28, 30), (0, 30), "sid")
+    candidates = []
+    for side in (100, 200):
+        lat, lon = np.meshgrid(np.linspace(55, 65, side), np.linspace(10, 20, side))
+        nodes = pd.DataFrame({"cell": np.arange(side * side), "lat": lat.ravel(), "lon": lon.ravel()})
+        distance = great_circle(points.lat.values[:, None], points.lon.values[:, None], nodes.lat.values, nodes.lon.values)
+        p, n = spark.createDataFrame(points), spark.createDataFrame(nodes)
+        got = X.nearest_cell(p, n).toPandas().set_index("sid")
+        assert np.allclose(got.loc[points.sid, "distance"], distance.min(axis=1), atol=0.02)
+        tiled = n.selectExpr("0 as level", "0 as ty", "0 as tx", "cell", "lat as cell_lat", "lon as cell_lon")
+        block = p.selectExpr("*", "0 as level", "0 as ty", "0 as tx")
+        candidates.append(X._far_candidates(block, tiled, tiled.select("cell", "cell_lat", "cell_lon")).count())
+    assert candidates[1] < 2 * candidates[0] + 20 and max(candidates) < 20 * 100
