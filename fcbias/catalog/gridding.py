@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..functions import geo as G
 from ..functions import scalar as S
 from ..operators import interpolation as I
 from ..operators import joins as J
@@ -94,7 +95,7 @@ def served(t, param, names=None):
     return C.feature_table_serve(points, X.nearest_cell(points, t.grid()), fields(t), t.grid(), param, names)
 
 
-_SERVED = f"""
+SERVED_SQL = f"""
 select sid, cast(leadtime as int) as leadtime, cast(d10m as float) as d10m, cast(t2m as float) as t2m, cast(s10m as float) as s10m, cast(rh2m as float) as rh2m,
  cast(pmsl as float) as pmsl, cast(q2m as float) as q2m, cast(cclow as float) as cclow, cast(gmax as float) as gmax,
  cast(obs_lat as float) as obs_lat, cast(obs_lon as float) as obs_lon, cast(topo - obs_elevation as float) as elevd, cast(obs_elevation as float) as obs_elevation,
@@ -112,7 +113,7 @@ def _serve_queries(param: str) -> None:
     suffix = "" if param == "temperature" else f"_{p.model.lower()}"
     names = P.FEATURES[p.model]
 
-    @query(f"feature_table_serve{suffix}", f"select sid, {', '.join(names)} from ({_SERVED}) s", " ".join(names[1:]))
+    @query(f"feature_table_serve{suffix}", f"select sid, {', '.join(names)} from ({SERVED_SQL}) s", " ".join(names[1:]))
     def feature_table(t):
         return served(t, param)
 
@@ -121,7 +122,7 @@ for _param in P.PARAMETERS:
     _serve_queries(_param)
 
 
-@query("feature_projection_serve", f"select sid, {', '.join(P.SERVED_WIND_FEATURES)} from ({_SERVED}) s", " ".join(P.SERVED_WIND_FEATURES[1:]))
+@query("feature_projection_serve", f"select sid, {', '.join(P.SERVED_WIND_FEATURES)} from ({SERVED_SQL}) s", " ".join(P.SERVED_WIND_FEATURES[1:]))
 def feature_projection_serve(t):
     """Wind-speed features in their older serving order, with humidity and without cloud."""
     return served(t, "windspeed", P.SERVED_WIND_FEATURES)
@@ -208,6 +209,66 @@ def oi_weights(t):
     return I.oi_weights(weighted(t))
 
 
+@query("oi_weights_residual", "select cell, count(*) as n, 0e0 as residual from near_ranked where rank <= 20 group by cell", "residual")
+def oi_weights_residual(t):
+    """Points per node, and how far their weights are from solving the node's equations."""
+    near = weighted(t)
+    known = I.oi_weights(near).join(near.select("cell", "sid", "rho", "lat", "lon", "elev", "land"), ["cell", "sid"])
+    a, b = known.alias("a"), known.alias("b")
+    between = G.barnes(
+        G.haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")),
+        F.col("a.elev") - F.col("b.elev"), F.col("a.land") - F.col("b.land"),
+    )
+    covariance = F.when(F.col("a.sid") == F.col("b.sid"), F.lit(1 + P.VARIANCE_RATIO)).otherwise(between)
+    # at most 20 points a node, so at most 400 pairs
+    rows = a.join(b, F.col("a.cell") == F.col("b.cell")).groupBy(F.col("a.cell").alias("cell"), F.col("a.sid").alias("sid")).agg(
+        F.abs(F.sum(covariance * F.col("b.weight")) - F.max("a.rho")).alias("residual"))
+    return rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("residual").alias("residual"))
+
+
+def ragged(t):
+    """Biases of two runs in which every lead lacks other points."""
+    runs = F.explode(F.array(F.lit(0), F.lit(1)))
+    leads = t.oi_points().select("sid", "bias", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("leadtime"))
+    present = (F.col("sid") + F.col("run")) % 4 != F.col("leadtime") % 4
+    start = F.lit(ANALYSIS).cast("timestamp_ntz") + S.hours(F.col("run") * 12)
+    return leads.withColumn("run", runs).select(
+        start.alias("analysistime"), "sid", "leadtime", F.when(present, F.col("bias") / (F.col("leadtime") + F.col("run"))).alias("bias")
+    )
+
+
+_RAGGED = f"""
+(select analysistime, cell, leadtime, rho * fading / 1.1e0 as diff from (
+ select *, row_number() over (partition by analysistime, cell, leadtime order by floor(rho*1e9 + 0.5) desc, sid) as best from (
+  select w.cell, w.sid, w.rho, l.leadtime, timestamp '{ANALYSIS}' + interval '12' hour * r.run as analysistime, w.bias / (l.leadtime + r.run) as fading
+  from near_weighted w cross join (select leadtime from leads where leadtime >= 1) l cross join (values (0), (1)) r(run)
+  where w.rho > 0 and (w.sid + r.run) % 4 <> l.leadtime % 4
+ ) x
+) y where best = 1)
+"""
+
+
+@query("oi_ragged", f"select * from {_RAGGED} z", "diff")
+def oi_ragged(t):
+    """Every lead of every run uses the points that have a bias then."""
+    return I.oi_analysis(land_points(t), ragged(t), t.grid(), k=1, counted=t.oi_points())
+
+
+@query("correct_grid_runs", f"""
+select f.cell, r.analysistime, f.leadtime, r.analysistime + interval '1' hour * f.leadtime as forecasttime,
+ greatest(259e0, least(317e0, f.t2m - greatest(-10e0, least(10e0, coalesce(d.diff, 0))) + 273.15e0)) as value
+from fc_fields f cross join (values (timestamp '{ANALYSIS}'), (timestamp '{ANALYSIS}' + interval '12' hour)) r(analysistime)
+left join {_RAGGED} d on d.cell = f.cell and d.leadtime = f.leadtime and d.analysistime = r.analysistime where f.leadtime >= 1
+""", "value")
+def correct_grid_runs(t):
+    """Two runs in one plan."""
+    start = F.lit(ANALYSIS).cast("timestamp_ntz")
+    runs = fields(t).select("cell", "leadtime", F.col("t2").alias("value"), F.explode(F.array(F.lit(0), F.lit(12))).alias("hour"))
+    at = start + S.hours("hour")
+    both = runs.select("cell", "leadtime", "value", at.alias("analysistime"), (at + S.hours("leadtime")).alias("forecasttime"))
+    return C.correct_grid(both, land_points(t), ragged(t), t.grid(), "temperature", counted=t.oi_points(), k=1)
+
+
 def lead_biases(t):
     """A bias per point and lead that fades with the lead."""
     return t.oi_points().select("sid", "bias", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("leadtime")).select(

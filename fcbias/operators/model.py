@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -12,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
+from pyspark.util import inheritable_thread_target
 
 from .. import params as P
 from . import aggregates as A
@@ -105,21 +108,25 @@ def draw_trials(n: int = P.SEARCH_TRIALS, space=None, trees: int = 100, seed: in
     return trials
 
 
-def search(df: DataFrame, param: str, trials: list[Trial], folds: list[int]) -> DataFrame:
+def search(df: DataFrame, param: str, trials: list[Trial], folds: list[int], at_once: int = 4) -> DataFrame:
     """Mean absolute error of every trial over the date folds, best first.
 
-    ``df`` has a ``fold`` column; rows of fold -1 belong to no block and are always trained on. Every
-    fit is a distributed job; the scores of all fits are aggregated in one final plan.
+    ``df`` has a ``fold`` column; rows of fold -1 belong to no block and are always trained on. Every fit is a
+    distributed job, ``at_once`` of them run beside each other; a fit leaves one row with its score and no model.
     """
     error = F.col(P.parameter(param).error)
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    scored = []
-    for trial in trials:
-        for fold in folds:
-            model = train(data.where(F.col("fold") != fold), param, trial.settings, trial.min_child)
-            test = predict(data.where(F.col("fold") == fold), model).withColumn("candidate", F.lit(trial.candidate))
-            scored.append(A.mae_by_fold(test, error - F.col("prediction")))
-    by_fold = reduce(DataFrame.unionByName, scored)
+
+    def score(fit: tuple[Trial, int]) -> list[tuple]:
+        trial, fold = fit
+        model = train(data.where(F.col("fold") != fold), param, trial.settings, trial.min_child)
+        test = predict(data.where(F.col("fold") == fold), model).withColumn("candidate", F.lit(trial.candidate))
+        return [tuple(row) for row in A.mae_by_fold(test, error - F.col("prediction")).collect()]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        scores = [row for rows in pool.map(inheritable_thread_target(df.sparkSession)(score), product(trials, folds)) for row in rows]
+    data.unpersist()
+    by_fold = df.sparkSession.createDataFrame(scores, "candidate int, fold int, mae double")
     settings = df.sparkSession.createDataFrame(
         [(t.candidate, t.settings.depth, t.settings.rate, t.settings.column_share, t.settings.row_share, t.min_child) for t in trials],
         "candidate int, depth int, rate double, column_share double, row_share double, min_child int",
