@@ -12,6 +12,7 @@ from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import spatial as X
 from ..plans import correction as C
+from ..session import stored
 from ..sources.standins import ANALYSIS
 from .registry import query
 from .views import barnes_sql, haversine_sql, time_sql
@@ -213,7 +214,8 @@ def oi_weights(t):
 def oi_weights_residual(t):
     """Points per node, and how far their weights are from solving the node's equations."""
     near = weighted(t)
-    known = I.oi_weights(near).join(near.select("cell", "sid", "rho", "lat", "lon", "elev", "land"), ["cell", "sid"])
+    places = near.select("cell", "sid", "rho", "lat", "lon", "elev", "land")
+    known = stored(I.oi_weights(near).join(places, ["cell", "sid"]), "weights")
     a, b = known.alias("a"), known.alias("b")
     between = G.barnes(
         G.haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")),

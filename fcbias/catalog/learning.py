@@ -72,11 +72,6 @@ from rows_{param.lower()} where not {SPLIT} group by 1
         scores = split_scores(t, param, small(param)).where(~F.col("is_validation"))
         return scores.select("is_validation", "n", "rmse_raw", (F.col("rmse_model") < F.col("rmse_raw")).alias("model_beats_raw"))
 
-    @query(f"train_published_{param.lower()}")
-    def train_published(t):
-        """Fit with the published number and depth of trees; RMSE on both shares."""
-        return split_scores(t, param, P.TREES[param])
-
 
 for _param in P.FEATURES:
     _train_queries(_param)
