@@ -38,6 +38,10 @@ SKETCH_BITS = 17
 DELETION_BOUND = 7
 BLOCK = 1 << 19
 GROUP = 1 << 20
+#: Signatures that one task sorts at most; groups with more of them hold a frequent one and are dealt by signature and class.
+TASK_SIGNS = 4 << 20
+#: Numbers of such groups that are sent to every task at most.
+BROADCAST_GROUPS = 100_000
 #: Ids that are sent to every scan of the documents at most; 16 bytes each.
 BROADCAST_IDS = 1_000_000
 #: Members that are compared with one copy of a centre.
@@ -173,8 +177,38 @@ def signatures(token: np.ndarray, first: np.ndarray, band: np.ndarray, sketch: n
     return found, np.concatenate([owner[whole], row[deleted]])
 
 
+MET = "bucket long, centre long, key long"
+
+
+def _unpacked(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Signature and class of each entry of packed rows."""
+
+    def joined(name: str, kind) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+    return joined("signs", np.uint64), np.repeat(joined("keys", np.uint64), joined("counts", np.uint32))
+
+
+def _met_by_rows(signed: DataFrame) -> DataFrame:
+    """Buckets of packed signatures, one row for each signature and class: no task holds all classes of a signature."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sign, key = _unpacked(batch.slice(i, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (sign, key)], ["sign", "key"])
+
+    rows = kept(signed.mapInArrow(unpack, "sign long, key long").distinct(), "jaccard-rows")
+    shared = rows.groupBy("sign").agg(F.min("key").alias("centre"), F.bit_xor(F.xxhash64("key")).alias("bucket"), F.count("*").alias("n"))
+    return rows.join(shared.filter("n > 1"), "sign").select("bucket", "centre", "key")
+
+
 def _buckets(docs: DataFrame, sketch: np.ndarray, groups: int) -> DataFrame:
-    """Classes that share a signature: (bucket, centre, key), where centre is the bucket's smallest key."""
+    """Classes that share a signature: (bucket, centre, key), where centre is one of the bucket's keys.
+
+    Signatures are packed by the range of their hash. Their number in each range is counted before anything is grouped: a
+    range with too many for a task, as a signature of very many classes makes it, is met row by row (``_met_by_rows``).
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -185,13 +219,15 @@ def _buckets(docs: DataFrame, sketch: np.ndarray, groups: int) -> DataFrame:
             to = ((sign >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
             order = np.lexsort((sign, key, to))
             to, key, sign = to[order], key[order], sign[order]
+            fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (sign[1:] != sign[:-1])])
+            to, key, sign = to[fresh], key[fresh], sign[fresh]
             new = np.concatenate([[True], to[1:] != to[:-1]])
             run = new | np.concatenate([[True], key[1:] != key[:-1]])
             cuts, runs = np.append(np.flatnonzero(new), len(to)), np.append(np.flatnonzero(run), len(to))
             run_cuts = np.searchsorted(runs, cuts)
             return pa.RecordBatch.from_arrays(
-                [pa.array(to[cuts[:-1]], pa.int32()), T.binaries(sign, cuts), T.binaries(key[runs[:-1]], run_cuts), T.binaries(np.diff(runs).astype(np.uint32), run_cuts)],
-                ["group", "signs", "keys", "counts"])
+                [pa.array(to[cuts[:-1]], pa.int32()), pa.array(np.diff(cuts), pa.int64()), T.binaries(sign, cuts), T.binaries(key[runs[:-1]], run_cuts), T.binaries(np.diff(runs).astype(np.uint32), run_cuts)],
+                ["group", "number", "signs", "keys", "counts"])
 
         size = 0
         for batch in batches:
@@ -216,10 +252,7 @@ def _buckets(docs: DataFrame, sketch: np.ndarray, groups: int) -> DataFrame:
             yield flush()
 
     def meet(table: pa.Table) -> pa.Table:
-        def joined(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-        sign, key = joined("signs", np.uint64), np.repeat(joined("keys", np.uint64), joined("counts", np.uint32))
+        sign, key = _unpacked(table)
         order = np.argsort(sign)
         same = sign[order[1:]] == sign[order[:-1]]
         many = np.zeros(len(sign), bool)
@@ -243,7 +276,14 @@ def _buckets(docs: DataFrame, sketch: np.ndarray, groups: int) -> DataFrame:
         bucket = np.repeat(lists, size)
         return pa.table([pa.array(x[stay].view(np.int64), pa.int64()) for x in (bucket, centre, key)], ["bucket", "centre", "key"])
 
-    return docs.select("text").mapInArrow(emit, "group int, signs binary, keys binary, counts binary").groupBy("group").applyInArrow(meet, "bucket long, centre long, key long")
+    signed = kept(docs.select("text").mapInArrow(emit, "group int, number long, signs binary, keys binary, counts binary"), "jaccard-signs")
+    crowded = kept(signed.groupBy("group").agg(F.sum("number").alias("number")).filter(F.col("number") > TASK_SIGNS).select("group"), "jaccard-crowded")
+    number = crowded.count()
+    if not number:
+        return signed.groupBy("group").applyInArrow(meet, MET)
+    crowded = F.broadcast(crowded) if number <= BROADCAST_GROUPS else crowded
+    rest = signed.join(crowded, "group", "left_anti").groupBy("group").applyInArrow(meet, MET)
+    return rest.unionByName(_met_by_rows(signed.join(crowded, "group", "left_semi")))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:

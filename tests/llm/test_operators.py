@@ -65,7 +65,9 @@ def test_same_rows_as_sql(spark, folder, name):
     assert got == want
 
 
-def test_components_by_brute_force(docs, nothing):
+@pytest.mark.parametrize("task_signs", [jaccard.TASK_SIGNS, 0])
+def test_components_by_brute_force(docs, nothing, monkeypatch, task_signs):
+    monkeypatch.setattr(jaccard, "TASK_SIGNS", task_signs)
     rows = documents()
     sets = []
     for r in rows:
@@ -108,7 +110,25 @@ def test_every_linked_pair_shares_a_signature():
             assert set(sign[row == 0].tolist()) & set(sign[row == 1].tolist()), size
 
 
-def test_large_buckets_are_compared_in_blocks(spark):
+def test_crowded_signatures_meet_as_others_do(spark, folder, monkeypatch):
+    docs = shared.table(spark, folder, "documents").withColumn("digest", F.xxhash64("text"))
+    sketch = np.zeros(1 << jaccard.SKETCH_BITS, np.int64)
+
+    def groups(task_signs: int, broadcast: int) -> list[tuple[int, ...]]:
+        monkeypatch.setattr(jaccard, "TASK_SIGNS", task_signs)
+        monkeypatch.setattr(jaccard, "BROADCAST_GROUPS", broadcast)
+        met = jaccard._buckets(docs, sketch, 7)
+        assert met.filter("centre = key").select("bucket").distinct().count() == met.select("bucket").distinct().count()
+        return sorted({tuple(sorted(r.members)) for r in met.groupBy("bucket").agg(F.collect_set("key").alias("members")).collect()})
+
+    want = groups(1 << 40, 0)
+    assert want
+    assert groups(0, 100) == groups(0, 0) == want
+
+
+@pytest.mark.parametrize("task_signs", [jaccard.TASK_SIGNS, 0])
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch, task_signs):
+    monkeypatch.setattr(jaccard, "TASK_SIGNS", task_signs)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(90)]
     rows = []
