@@ -136,6 +136,10 @@ def density_at_points(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) ->
     return joined.withColumn("density", F.coalesce("density", F.lit(0.0)))
 
 
+# Equal steps into which the bracket around a quantile is cut.
+STEPS = 1024
+
+
 def box_summary(df: DataFrame, value: str, group: list[str]) -> DataFrame:
     """Quartiles and extremes per group, as ``quantiles`` finds them."""
     present = df.where(F.col(value).isNotNull())
@@ -149,8 +153,10 @@ def quantiles(df: DataFrame, value: str, group: list[str], shares: dict[str, flo
 
     A sketch of fixed size gives, for each share, two values between which the wanted ranks lie. A
     second pass counts the rows below and collapses the few rows in between to distinct values with
-    their counts; only those are ranked. In a small group the sketch may be one rank off, so the
-    neighbours on both sides are kept too.
+    their counts. Those are counted by equal steps of the bracket first, and ranked only within the
+    steps that hold the wanted ranks. In a small group the sketch may be one rank off, so the
+    neighbours on both sides are kept too. The brackets are stored, so that their size is known when
+    the join with the rows is planned.
     """
     margin = 2 / accuracy
     names = list(shares)
@@ -171,26 +177,34 @@ def quantiles(df: DataFrame, value: str, group: list[str], shares: dict[str, flo
             )
         ),
     )
-    v = F.col(value)
+    v, lo, hi = F.col(value), F.col("lo"), F.col("hi")
     # every row meets the three brackets of its group; values outside collapse to one row per side
-    side = F.when(v < F.col("lo"), -1).when(v > F.col("hi"), 1).otherwise(0)
+    side = F.when(v < lo, -1).when(v > hi, 1).otherwise(0)
     inside = F.when(side == 0, v)
+    share = F.nanvl(F.coalesce(F.try_divide((v - lo).cast("double"), (hi - lo).cast("double")), F.lit(0.0)), F.lit(0.0))
+    step = F.when(side < 0, -1).when(side > 0, STEPS).otherwise(F.least(F.lit(STEPS - 1), F.floor(share * STEPS)))
     counted = (
-        df.join(brackets, group)
-        .groupBy(*group, "name", "share", "total", side.alias("side"), inside.alias("inside"))
+        df.join(stored(brackets, "brackets"), group)
+        .groupBy(*group, "name", "share", "total", step.alias("step"), inside.alias("inside"))
         .agg(F.count(F.lit(1)).alias("n"), F.max(v).alias("top"), F.min(v).alias("bottom"))
     )
-    ordered = Window.partitionBy(*group, "name").orderBy("side", "inside").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("upto", F.sum("n").over(ordered))
     rank = F.col("share") * (F.col("total") - 1) + 1
+    first, last = F.floor(rank), F.ceil(rank)
+    # at most STEPS + 2 rows of each group and share
+    by_step = Window.partitionBy(*group, "name").orderBy("step")
+    steps = counted.groupBy(*group, "name", "share", "total", "step").agg(F.sum("n").alias("rows"))
+    steps = steps.withColumn("before", F.sum("rows").over(by_step) - F.col("rows"))
+    wanted = steps.where((F.col("before") < last) & (F.col("before") + F.col("rows") >= first)).select(*group, "name", "step", "before")
+    ordered = Window.partitionBy(*group, "name", "step").orderBy("inside").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.join(wanted, [*group, "name", "step"]).withColumn("upto", F.col("before") + F.sum("n").over(ordered))
 
     def at(r):
         # below the bracket only its largest row is known, above it only the smallest
         found = (F.col("upto") >= r) & (F.col("upto") - F.col("n") < r)
-        return F.max(F.when(found, F.when(F.col("side") < 0, F.col("top")).otherwise(F.col("bottom"))))
+        return F.max(F.when(found, F.when(F.col("step") < 0, F.col("top")).otherwise(F.col("bottom"))))
 
-    part = F.max(rank - F.floor(rank))
-    low, high = at(F.floor(rank)), at(F.ceil(rank))
+    part = F.max(rank - first)
+    low, high = at(first), at(last)
     picked = ranked.groupBy(*group, "name").agg((low + (high - low) * part).alias("value"))
     return picked.groupBy(*group).agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
 
