@@ -147,7 +147,7 @@ def test_gust_step_is_one_less(spark):
 def test_optional_columns(spark, inputs):
     from fcbias.plans import training as T
 
-    table = T.build_training_table(inputs.fc_narrow(), inputs.obs(), True)
+    table = T.build_training_table(inputs.fc_narrow(), inputs.obs())
     plain = R.project_training(table, "T2m").columns
     with_old = R.project_training(table.withColumn("oldb_t", F.lit(0.5)), "T2m").columns
     assert with_old == plain + ["oldb_t"] and plain[12] == "tero"
