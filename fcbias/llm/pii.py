@@ -4,7 +4,8 @@ Base spans come from fixed patterns, each read in one pass so that long texts ta
 spans. It works on islands, runs of blank-free chunks that hold a digit, ``@`` or ``+``; elsewhere no entity can be. An
 island is cut into atoms (letters, digits, single marks), and dynamic programming over spans of at most ``LONGEST``
 atoms chooses boundaries and kinds together. Features see a whole candidate: its shape, digits, check digit, octets and
-neighbours. The field is fitted by likelihood on a bounded sample of islands; its labels are the base spans and variants
+neighbours. Candidates are made for ``BLOCK`` atoms at a time and the program runs on across blocks, so that islands are
+never cut. The field is fitted by likelihood on a bounded sample of islands; its labels are the base spans and variants
 of them (a phone without country code, a card written with dots), which is where it goes beyond the patterns.
 """
 
@@ -15,6 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, pairwise
 from zlib import crc32
 
 import numpy as np
@@ -24,6 +26,7 @@ from pyspark.sql import types as S
 
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24
+BLOCK = 1024
 RUN, SLICE = 256, 4096
 BUCKETS = 1 << 12
 Span = tuple[str, int, int]
@@ -84,23 +87,29 @@ def base_spans(text: str) -> list[Span]:
 
 
 def islands(text: str) -> Iterator[tuple[int, int]]:
-    """Where runs of chunks with a digit, @ or + begin and end; one blank between two chunks does not part them.
-
-    A run ends at the first blank after ``RUN`` characters, and a chunk is taken in slices of ``SLICE``: that bounds the
-    lattice. The base patterns read across both.
-    """
+    """Where runs of chunks with a digit, @ or + begin and end; one blank between two chunks does not part them."""
     begin = end = -1
     for chunk in _CHUNK.finditer(text):
         if not _TRIGGER.search(chunk.group()):
             continue
-        if begin >= 0 and chunk.start() == end + 1 and text[end] == " " and end - begin < RUN:
+        if begin >= 0 and chunk.start() == end + 1 and text[end] == " ":
             end = chunk.end()
             continue
         if begin >= 0:
-            yield from ((i, min(i + SLICE, end)) for i in range(begin, end, SLICE))
+            yield begin, end
         begin, end = chunk.span()
     if begin >= 0:
-        yield from ((i, min(i + SLICE, end)) for i in range(begin, end, SLICE))
+        yield begin, end
+
+
+def short_islands(text: str) -> Iterator[tuple[int, int]]:
+    """Islands for the fit, parted at the first blank after ``RUN`` characters, and chunks in slices of ``SLICE``."""
+    for begin, end in islands(text):
+        while begin < end:
+            stop = text.find(" ", begin + RUN, end)
+            stop = end if stop < 0 else stop
+            yield from ((i, min(i + SLICE, stop)) for i in range(begin, stop, SLICE))
+            begin = stop + 1
 
 
 def _kind_of(char: str) -> str:
@@ -141,28 +150,33 @@ def _features(island: str, begin: int, end: int, atoms: list[str]) -> list[int]:
 class Lattice:
     """Candidate spans of an island: first and last atom, features, and the places of the atoms."""
 
-    places: list[int]
+    places: np.ndarray
     begin: np.ndarray
     end: np.ndarray
     features: np.ndarray
 
     @staticmethod
-    def of(island: str) -> Lattice:
-        atoms = _ATOM.findall(island)
-        places = [0]
-        for a in atoms:
-            places.append(places[-1] + len(a))
+    def places_of(island: str) -> np.ndarray:
+        return np.fromiter(chain([0], (a.end() for a in _ATOM.finditer(island))), np.int64)
+
+    @staticmethod
+    def of(island: str, places: np.ndarray | None = None, low: int = 0, high: int | None = None) -> Lattice:
+        """The candidates that begin at the atoms from ``low`` to before ``high``, in this order."""
+        places = Lattice.places_of(island) if places is None else places
+        high = len(places) - 1 if high is None else high
+        near = places[low : high + LONGEST].tolist()
+        atoms = [island[b:e] for b, e in pairwise(near)]
         begin, end, features = [], [], []
-        for i, first in enumerate(atoms):
+        for i, first in enumerate(atoms[: high - low]):
             if first.isspace():
                 continue
             for j in range(i + 1, min(len(atoms), i + LONGEST) + 1):
-                if atoms[j - 1].isspace() or not _TRIGGER.search(island, places[i], places[j]):
+                if atoms[j - 1].isspace() or not _TRIGGER.search(island, near[i], near[j]):
                     continue
-                begin.append(i)
-                end.append(j)
-                features.append(_features(island, places[i], places[j], atoms[i:j]))
-        return Lattice(places, np.array(begin, int), np.array(end, int), np.array(features, int).reshape(len(begin), -1))
+                begin.append(low + i)
+                end.append(low + j)
+                features.append(_features(island, near[i], near[j], atoms[i:j]))
+        return Lattice(places, np.array(begin, int), np.array(end, int), np.array(features, int).reshape(len(begin), -1 if begin else 0))
 
 
 def _log_sum(x: np.ndarray, axis: int = 0) -> np.ndarray:
@@ -197,32 +211,35 @@ class Field:
         return out
 
     def best(self, island: str) -> list[Span]:
-        lattice = Lattice.of(island)
-        n, kinds = len(lattice.places) - 1, len(KINDS) + 1
-        scores = self.weights[lattice.features].sum(1)
-        value = np.full((n + 1, kinds), -np.inf)
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        order = np.argsort(lattice.end, kind="stable")
-        cuts = np.searchsorted(lattice.end[order], np.arange(n + 2))
-        for place in range(1, n + 1):
-            for k in range(kinds):
-                options = [(place - 1, 0.0)] if not k else [(lattice.begin[s], scores[s, k - 1]) for s in order[cuts[place] : cuts[place + 1]]]
-                for begin, score in options:
-                    if begin == 0:
-                        total, before = score, -1
-                    else:
-                        reach = value[begin] + self.steps[:, k]
-                        before = int(reach.argmax())
-                        total = reach[before] + score
-                    if total > value[place, k]:
-                        value[place, k] = total
-                        back[place, k] = (int(begin), before)
-        found, place, k = [], n, int(value[n].argmax()) if n else 0
+        """Spans of the best segmentation of the whole island, however long it is."""
+        places = Lattice.places_of(island)
+        n, kinds, ring = len(places) - 1, len(KINDS) + 1, LONGEST + 1
+        value = np.full((ring, kinds), -np.inf)
+        length = np.zeros((n + 1, kinds), np.int8)
+        before = np.zeros((n + 1, kinds), np.int8)
+        for low in range(0, n, BLOCK):
+            high = min(n, low + BLOCK)
+            lattice = Lattice.of(island, places, low, high)
+            scores = self.weights[lattice.features].sum(1)
+            cuts = np.searchsorted(lattice.begin, np.arange(low, high + 1))
+            for at in range(low, high):
+                sums = value[at % ring][:, None] + self.steps if at else np.zeros((1, kinds))
+                last, reach = sums.argmax(0), sums.max(0)
+                value[at % ring] = -np.inf
+                value[(at + 1) % ring, 0], length[at + 1, 0], before[at + 1, 0] = reach[0], 1, last[0]
+                own = slice(cuts[at - low], cuts[at - low + 1])
+                ends = lattice.end[own]
+                total = reach[1:] + scores[own]
+                better = total > value[ends % ring, 1:]
+                value[ends % ring, 1:] = np.where(better, total, value[ends % ring, 1:])
+                length[ends, 1:] = np.where(better, (ends - at)[:, None], length[ends, 1:])
+                before[ends, 1:] = np.where(better, last[1:], before[ends, 1:])
+        found, place, k = [], n, int(value[n % ring].argmax())
         while place > 0:
-            begin, before = back[place, k]
+            begin = place - int(length[place, k])
             if k:
-                found.append((KINDS[k - 1], lattice.places[begin], lattice.places[place]))
-            place, k = begin, before
+                found.append((KINDS[k - 1], int(places[begin]), int(places[place])))
+            place, k = begin, int(before[place, k])
         return found[::-1]
 
 
@@ -234,7 +251,7 @@ def fit(examples: list[tuple[str, list[Span]]], epochs: int = 6, rate: float = 0
     prepared = []
     for island, spans in examples:
         lattice = Lattice.of(island)
-        place = {p: i for i, p in enumerate(lattice.places)}
+        place = {p: i for i, p in enumerate(lattice.places.tolist())}
         gold, last, path = {(place[b], place[e]): KINDS.index(k) for k, b, e in spans}, 0, []
         for (b, e), k in sorted(gold.items()):
             path += [0] * (b - last) + [k + 1]
@@ -283,7 +300,7 @@ def examples_of(text: str) -> list[tuple[str, list[Span]]]:
     """Islands with the base spans that lie in them, and for some a variant that the patterns do not read."""
     spans = _without_overlap(base_spans(text))
     out = []
-    for begin, end in islands(text):
+    for begin, end in short_islands(text):
         island = text[begin:end]
         if len(island) > 200:
             continue
@@ -331,24 +348,23 @@ def all_spans(text: str, field: Field, decode=None) -> tuple[list[Span], list[Sp
     if not text or not _TRIGGER.search(text):
         return [], []
     base = base_spans(text)
-    taken = sorted((b, e) for _, b, e in base)
+    taken: list[list[int]] = []
+    for b, e in sorted((b, e) for _, b, e in base):
+        if taken and b < taken[-1][1]:
+            taken[-1][1] = max(e, taken[-1][1])
+        else:
+            taken.append([b, e])
     added = []
     at = 0
     for begin, end in islands(text):
         for kind, b, e in (decode or field.best)(text[begin:end]):
-            while at < len(taken) and taken[at][1] <= begin:
+            while at < len(taken) and taken[at][1] <= begin + b:
                 at += 1
-            if all(begin + e <= x or begin + b >= y for x, y in _from(taken, at, end)):
+            if at == len(taken) or begin + e <= taken[at][0]:
                 added.append((kind, begin + b, begin + e))
     return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
-def _from(taken: list[tuple[int, int]], at: int, end: int) -> Iterator[tuple[int, int]]:
-    while at < len(taken) and taken[at][0] < end:
-        yield taken[at]
-        at += 1
-
-
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{b}:{e}" for k, b, e in spans)
 

@@ -261,6 +261,20 @@ def test_personal_data(spark, folder, docs, nothing):
     assert pii.all_spans("7" * 20_000 + " " + "1.2.3." * 5000, field)[0] == naive_spans("7" * 20_000 + " " + "1.2.3." * 5000)
 
 
+def test_added_spans_of_long_runs(spark, folder, monkeypatch):
+    field = pii.fit_field(shared.table(spark, folder, "documents"), examples=150)
+    rng = random.Random(6)
+    phones = " ".join(f"({rng.randrange(200, 999)}) 555-{rng.randrange(10_000):04d}" for _ in range(150))
+    assert pii.all_spans(phones, field)[1] == [("phone", i, i + 14) for i in range(0, len(phones), 15)]
+    cards = ";".join(["4111.1111.1111.1111"] * 300)
+    assert pii.all_spans(cards, field)[1] == [("card", i, i + 19) for i in range(0, len(cards), 20)]
+    mixed = " ".join(rng.choice(("a@b.cc", "1.2.3.4", "+1 (968) 555-9369", "(968) 555-9369", "x7", "4111.1111.1111.1111")) for _ in range(80))
+    whole = field.best(mixed)
+    for block in (1, 7):
+        monkeypatch.setattr(pii, "BLOCK", block)
+        assert field.best(mixed) == whole
+
+
 def test_substrings_by_brute_force(docs, nothing):
     last = 1 << 63
     rows = documents()
