@@ -19,10 +19,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of linked documents."""
-    found = jaccard.components(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Keep one row of each group of linked documents, the first by id (null last), text digest and other columns.
+
+    Rows without words are in no group and all stay.
+    """
+    found = jaccard.components(docs).filter("component_key is not null")
+    rows = found.groupBy("component_key", "doc_id", "digest").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "n")).alias("first")
+    first = rows.groupBy("component_key").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.digest").alias("kept_digest"), "first.n")
+    first = shared.kept(first, "pipeline-first")
+
+    def those(kept: DataFrame) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_digest"])
+        return docs.join(kept, same, "left_semi")
+
+    out = docs.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).unionAll(those(first.filter("n = 1")))
+    repeated = first.filter("n > 1")
+    if repeated.isEmpty():
+        return out
+    one = those(repeated).groupBy("doc_id", F.xxhash64("text")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return out.unionAll(one.select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -443,13 +443,15 @@ def links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, shingles: int
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """Groups of near-duplicate documents: doc_id, n_shingles, component_id, n_copies; one row per input row.
+    """Groups of near-duplicate documents: doc_id, digest (of the text), n_shingles, component_id, n_copies and
+    component_key; one row per input row.
 
     Two documents are linked when 100 * intersection >= 80 * union of their sets of 5-word shingles; component_id is the
     smallest doc_id that can be reached by links, itself included. Documents of fewer words are one shingle; null and
     empty ones have none and are linked with nothing, not even their like (n_copies 0). n_copies counts the rows with the
-    same set. Null ids take part but never name a component, unless no other id is there. Ids are integers; columns other
-    than doc_id and text are ignored.
+    same set. Null ids take part but never name a component, unless no other id is there. component_key tells components apart
+    also where an id has several texts or is null; it is null without shingles. Ids are integers; columns other than
+    doc_id and text are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
     read = kept(_classes(docs), "jaccard-classes")
@@ -457,10 +459,12 @@ def components(docs: DataFrame) -> DataFrame:
     classes = rows.filter("n > 0").select("doc_id", "digest", "key")
     shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     labels = links(docs, classes, _sketch(read), shingles) if shingles else None
-    firsts = classes.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies"))
+    firsts = classes.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies")).withColumn("label", F.col("key"))
     if labels is not None:
-        group = labels.join(firsts, "key").groupBy("label").agg(F.min("first").alias("component"))
-        named = labels.join(group, "label").select("key", "component")
-        firsts = firsts.join(named, "key", "left").select("key", F.coalesce("component", "first").alias("first"), "n_copies")
+        group = labels.join(firsts.drop("label"), "key").groupBy("label").agg(F.min("first").alias("component"))
+        named = labels.join(group, "label").select("key", "component", F.col("label").alias("name"))
+        firsts = firsts.join(named, "key", "left").select(
+            "key", F.coalesce("component", "first").alias("first"), "n_copies", F.coalesce("name", "label").alias("label"))
     return rows.join(firsts.withColumnRenamed("key", "own"), (rows["key"] == F.col("own")) & (rows["n"] > 0), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("first", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"))
+        "doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("first", "doc_id").alias("component_id"),
+        F.coalesce("n_copies", F.lit(0)).alias("n_copies"), F.col("label").alias("component_key"))
