@@ -43,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that hold no window of a benchmark item."""
-    return decontaminate.without_contaminated(docs, shared.table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_contaminated(docs, shared.table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

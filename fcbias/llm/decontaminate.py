@@ -25,9 +25,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN), "")
 
 
-def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
-    """Distinct windows: (words, items), items as strings. An item shorter than a window is one; one without words none."""
-    items = benchmark.filter("item_id is not null").select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("all"))
+def windows_of(benchmark: DataFrame, window: int, unnamed: bool = False) -> DataFrame:
+    """Distinct windows: (words, items), items as strings. An item shorter than a window is one; one without words none.
+
+    With ``unnamed`` rows without id give windows too, which add no item.
+    """
+    named = benchmark if unnamed else benchmark.filter("item_id is not null")
+    items = named.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("all"))
     items = items.filter(F.size("all") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("all") - window + 1))
     cut = items.select("item", F.explode(starts).alias("start"), "all")
@@ -44,14 +48,15 @@ def _rarest(windows: DataFrame, tokens: DataFrame, few: bool) -> DataFrame:
     return best.filter("best.n > 0").select(F.col("best.word").alias("rare"), F.col("best.place").alias("place"), F.col("words").alias("window"), "items")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, unnamed: bool = False) -> DataFrame:
     """Words of each document inside occurrences of benchmark windows.
 
     Returns doc_id, digest (of the text), n_words, n_hit, items (sorted strings) and contaminated. Null and empty texts
-    have no words. Rows are told apart by id and text: exact repeats of a row give one. Benchmark rows without id or words
-    are passed over, repeated ones count once; without any, nothing is hit. Other columns are ignored.
+    have no words. Rows are told apart by id and text: exact repeats of a row give one. Benchmark rows without words are
+    passed over, repeated ones count once; without any, nothing is hit. Those without id count only with ``unnamed``, and
+    then for n_hit and contaminated, as they have no name for items. Other columns are ignored.
     """
-    windows = windows_of(benchmark, window)
+    windows = windows_of(benchmark, window, unnamed)
     number = windows.count()
     few = number <= BROADCAST_WINDOWS
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), words_of(F.col("text")).alias("words"))
@@ -88,9 +93,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Dat
     return per_doc.select("doc_id", "digest", "n_words", covered.alias("n_hit"), "items", (F.size("hits") > 0).alias("contaminated"))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, least_share: float = 0.0) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, least_share: float = 0.0, unnamed: bool = False) -> DataFrame:
     """The documents that hold no benchmark window, or at most ``least_share`` of whose words lie in windows."""
-    judged = contaminated(docs, benchmark, window).filter("contaminated").filter(F.col("n_hit") > F.col("n_words") * least_share)
+    judged = contaminated(docs, benchmark, window, unnamed).filter("contaminated").filter(F.col("n_hit") > F.col("n_words") * least_share)
     bad = judged.select(F.col("doc_id").alias("b_id"), F.col("digest").alias("b_digest"))
     mine = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["b_id"]) & (mine == bad["b_digest"]), "left_anti")

@@ -93,7 +93,7 @@ select d.doc_id, len(d.words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(
 from d left join covered using (doc_id) left join items using (doc_id)
 """)
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontaminate.contaminated(shared.table(spark, folder, "documents"), shared.table(spark, folder, "benchmark"))
+    found = decontaminate.contaminated(shared.table(spark, folder, "documents"), shared.table(spark, folder, "benchmark"), unnamed=True)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")

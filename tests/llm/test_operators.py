@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fcbias.llm import decontaminate, jaccard, mixing, neighbours, pii, quality, queries, shared, substrings, text, tokens, toxicity, urls
 
 from ..compare import canonical, reference_rows
@@ -225,6 +226,26 @@ def test_decontamination_by_brute_force(spark, docs, nothing, monkeypatch, bound
     assert decontaminate.contaminated(nothing, bench).count() == 0
 
 
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_decontamination_by_items_without_id(spark, monkeypatch, tmp_path, bound):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", bound)
+    rng = random.Random(8)
+    one, two, three = (passage(rng, 15) for _ in range(3))
+    rows = [(1, f"{passage(rng, 5)} {one} end"), (2, f"{two} {three}"), (3, passage(rng, 40)), (4, f"{one} {two}")]
+    items = [(None, one), (6, two), (None, two), (None, three), (7, "nowhere")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r.doc_id: r for r in queries.op4_decontamination(spark, str(tmp_path)).collect()}
+    assert [(found[i].n_hit, found[i].n_items, found[i].contaminated) for i in (1, 2, 3, 4)] == [(15, 0, True), (30, 1, True), (0, 0, False), (30, 1, True)]
+    sql = queries.ORACLES["op4_decontamination"]
+    for table in ("documents", "benchmark"):
+        sql = re.sub(rf"from {table}\b", f"from '{tmp_path}/{table}.parquet/*.parquet'", sql)
+    for r in duckdb.connect().execute(f"select doc_id, n_words, n_hit, items_sha256, contaminated from ({sql})").fetchall():
+        assert r == tuple(found[r[0]][k] for k in ("doc_id", "n_words", "n_hit", "items_sha256", "contaminated"))
+    docs = shared.table(spark, str(tmp_path), "documents")
+    assert [r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def naive_spans(t: str) -> list:
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
