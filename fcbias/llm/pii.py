@@ -13,17 +13,21 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import chain, pairwise
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from .shared import kept
+
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24
 BLOCK = 1024
@@ -315,32 +319,42 @@ def examples_of(text: str) -> list[tuple[str, list[Span]]]:
     return out
 
 
-def fit_field(docs: DataFrame, sample_rows: int = 20_000, examples: int = 600, **settings) -> Field:
-    """Fit on at most ``examples`` distinct islands of each kind and of none, from about ``sample_rows`` documents."""
-    total = docs.count()
-    if not total:
-        return fit([])
+def _first(found: set[tuple[str, int, str, str]], examples: int) -> list[tuple[str, int, str, str]]:
+    """The first ``examples`` of each kind by digest, island and spans."""
+    number: Counter[str] = Counter()
+    out = []
+    for row in sorted(found):
+        number[row[0]] += 1
+        if number[row[0]] <= examples:
+            out.append(row)
+    return out
+
+
+def fit_field(docs: DataFrame, examples: int = 600, **settings) -> Field:
+    """Fit on the first ``examples`` distinct islands of each kind and of none, in the order of a digest of the island.
+
+    All documents are read. A task passes on its own first ones only, so neither partitions nor the order of rows matter.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[tuple[str, int, str, str]] = set()
         for batch in batches:
-            seen: dict[str, str] = {}
             for text in batch.column(0):
                 text = text.as_py()
                 if text and _TRIGGER.search(text):
                     for island, spans in examples_of(text):
-                        seen[island] = ",".join(f"{k}:{b}:{e}" for k, b, e in spans)
-            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.string())], ["island", "spans"])
-
-    rows = docs.select("text").sample(min(1.0, sample_rows / total), seed=3).mapInArrow(read, "island string, spans string").toArrow()
-    groups: dict[str, list[tuple[str, list[Span]]]] = {}
-    found = dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
-    for island in sorted(found, key=lambda x: (crc32(x.encode()), x)):
-        spans = [(k, int(b), int(e)) for k, b, e in (x.split(":") for x in found[island].split(",") if x)]
-        kind = spans[0][0] if spans else ""
-        if len(groups.setdefault(kind, [])) < examples:
-            groups[kind].append((island, spans))
-    chosen = sorted((x for g in groups.values() for x in g), key=lambda x: crc32(x[0].encode()))
-    return fit(chosen, **settings)
+                        found.add((spans[0][0] if spans else "", crc32(island.encode()), island, ",".join(f"{k}:{b}:{e}" for k, b, e in spans)))
+                    if len(found) > 20 * examples:
+                        found = set(_first(found, examples))
+        rows = _first(found, examples)
+        columns = zip(*rows) if rows else ([], [], [], [])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.string()))], ["kind", "digest", "island", "spans"])
+
+    rows = kept(docs.select("text").mapInArrow(read, "kind string, digest long, island string, spans string"), "personal-data-examples").distinct()
+    first = [rows.filter(F.col("kind") == k).orderBy("digest", "island", "spans").limit(examples) for k in ("", *KINDS)]
+    chosen = reduce(DataFrame.unionAll, first).collect()
+    chosen = sorted((r.digest, r.island, r.spans) for r in chosen)
+    return fit([(island, [(k, int(b), int(e)) for k, b, e in (x.split(":") for x in spans.split(",") if x)]) for _, island, spans in chosen], **settings)
 
 
 def all_spans(text: str, field: Field, decode=None) -> tuple[list[Span], list[Span]]:

@@ -296,6 +296,21 @@ def test_added_spans_of_long_runs(spark, folder, monkeypatch):
         assert field.best(mixed) == whole
 
 
+def test_field_sees_rare_kinds_in_any_layout(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, f"in {rng.randrange(10**6)} words") for i in range(60_000)]
+    for i in range(7, 60_000, 6000):
+        rows[i] = (i, f"server {'.'.join(str(rng.randrange(256)) for _ in range(4))} is up")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    seen = []
+    monkeypatch.setattr(pii, "fit", lambda found, **_: seen.append(found))
+    pii.fit_field(docs)
+    pii.fit_field(docs.repartition(3).orderBy(F.desc("doc_id")))
+    assert seen[0] == seen[1]
+    kinds = [spans[0][0] if spans else "" for _, spans in seen[0]]
+    assert kinds.count("ip") == 10 and kinds.count("") == 600
+
+
 def test_substrings_by_brute_force(docs, nothing):
     last = 1 << 63
     rows = documents()
