@@ -94,8 +94,8 @@ def with_suffix_rates(pages: DataFrame, rates: DataFrame, few: bool) -> DataFram
 def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 20_000, trees: int = 10, depth: int = 4, seed: int = 5) -> DataFrame:
     """Judge each URL: page_id, host, path, rule, verdict (allow or block) and score, the model's probability of block.
 
-    The model decides where no rule fits, at 0.5. It is fitted on at most ``sample_rows`` URLs of each verdict that rules
-    gave, in the order of a hash; suffix statistics are over all of them. Where rules gave one verdict only that is
+    The model decides where no rule fits, at 0.5. It is fitted on at most ``sample_rows`` distinct URLs of each verdict
+    that rules gave, in the order of a hash; suffix statistics are over all rows. Where rules gave one verdict only that is
     everyone's, where none then allow. Null and empty URLs have empty host and path; repeated rows are judged each;
     columns other than page_id and url are ignored.
     """
@@ -106,14 +106,16 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
     rates = kept(rates, "url-suffixes")
     few = rates.count() <= BROADCAST_SUFFIXES
     order = [F.xxhash64("url"), F.col("url")]
-    sample = [known.filter(F.col("label") == y).orderBy(*order).limit(sample_rows) for y in (0.0, 1.0)]
-    there = [bool(s.take(1)) for s in sample]
+    distinct = known.select("url", "label").distinct()
+    sample = [distinct.filter(F.col("label") == y).orderBy(*order).limit(sample_rows) for y in (0.0, 1.0)]
+    sample = kept(sample[0].unionAll(sample[1]), "url-sample")
+    there = [bool(sample.filter(F.col("label") == y).take(1)) for y in (0.0, 1.0)]
     result = ["page_id", "host", "path", "rule"]
     if not all(there):
         only = "block" if there[1] else "allow"
         return judged.select(*result, F.coalesce("verdict", F.lit(only)).alias("verdict"), F.lit(float(there[1])).alias("score"))
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = assemble.transform(with_suffix_rates(sample[0].unionAll(sample[1]), rates, few)).select("features", "label")
+    train = assemble.transform(with_suffix_rates(lexical(matched(sample, rules)), rates, few)).select("features", "label")
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, cacheNodeIds=False, maxMemoryInMB=64).fit(train)
     scored = model.transform(assemble.transform(with_suffix_rates(judged, rates, few)))
     score = vector_to_array("probability")[1]

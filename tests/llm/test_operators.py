@@ -161,6 +161,18 @@ def test_urls(spark):
     assert urls.filter_urls(frame.limit(0)).collect() == []
 
 
+def test_url_sample_takes_each_url_once(spark, monkeypatch):
+    sampled = []
+    monkeypatch.setattr(urls, "kept", lambda df, label, *a: sampled.append((label, df)) or shared.kept(df, label, *a))
+    rules = (urls.Rule("bad/", "block"), urls.Rule("good/", "allow"))
+    single = [f"http://h{i}.{'bad' if i % 2 else 'good'}/p{i}" for i in range(200)]
+    first = [r.url for r in spark.createDataFrame([(u,) for u in single], "url string").orderBy(F.xxhash64("url")).limit(4).collect()]
+    pages = spark.createDataFrame(list(enumerate(single + first * 300)), "page_id long, url string").repartition(4)
+    assert urls.filter_urls(pages, rules, sample_rows=50).count() == 1400
+    rows = [tuple(r) for label, df in sampled if label == "url-sample" for r in df.select("url", "label").collect()]
+    assert len(rows) == len(set(rows)) == 100 and sum(label for _, label in rows) == 50
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     vectors = rng.normal(size=(3000, 16)).astype(np.float32)
