@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, neighbours, pii, quality, shared, substrings, tokens, toxicity, urls
+from . import decontaminate, jaccard, mixing, neighbours, pii, quality, shared, simhash, substrings, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +150,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
     counts = tokens.token_counts(shared.table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.components(shared.table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
