@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, neighbours, pii, quality, shared, simhash, substrings, tokens, toxicity, urls
+from . import decontaminate, jaccard, merkle, mixing, neighbours, pii, quality, shared, simhash, substrings, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,6 +152,69 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query("op12_merkle_manifest", r"""
+with recursive fields as (
+    select row_number() over () as id, doc_id, lang, text,
+        concat(coalesce(octet_length(encode(cast(doc_id as varchar))) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+            coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(octet_length(encode(cast(n_chars as varchar))) || ':' || n_chars, '-')) as head,
+        coalesce(octet_length(encode(text)) || ':' || text, '-') as body,
+        coalesce(octet_length(encode(text)) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') as lowered,
+        list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)),
+            lambda crc, byte: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)), 4294967295) as crc
+    from documents
+),
+d as (
+    select id, doc_id, lang, sha256(head || body) as leaf, sha256(head || case when xor(crc, 4294967295) % 3 = 0 then lowered else body end) as doubted from fields
+),
+lower_nodes(lang, level, p, digest, n) as (
+    select lang, 0, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1, leaf, count(*) over (partition by lang) from d
+    union all
+    select lang, level + 1, p // 8, sha256(string_agg(digest, '' order by p)), (any_value(n) + 7) // 8 from lower_nodes where n > 1 group by lang, level, p // 8
+),
+upper_nodes(level, p, digest, n) as (
+    select 0, row_number() over (order by encode(lang) nulls first) - 1, digest, count(*) over () from lower_nodes where n = 1
+    union all
+    select level + 1, p // 8, sha256(string_agg(digest, '' order by p)), (any_value(n) + 7) // 8 from upper_nodes where n > 1 group by level, p // 8
+),
+subroots as (select lang, digest, level as height, row_number() over (order by encode(lang) nulls first) - 1 as tree from lower_nodes where n = 1),
+nodes as (
+    select tree, level, p, l.digest, n > 1 as up from lower_nodes l join subroots s on s.lang is not distinct from l.lang
+    union all select -1, level, p, digest, n > 1 from upper_nodes
+),
+beside as (
+    select a.tree, a.level, a.p, coalesce(string_agg(b.digest, '' order by b.p) filter (b.p < a.p), '') as l, coalesce(string_agg(b.digest, '' order by b.p) filter (b.p > a.p), '') as r
+    from nodes a join nodes b on a.tree = b.tree and a.level = b.level and a.p // 8 = b.p // 8 where a.up group by all
+),
+start as (
+    select id, doc_id, leaf, doubted, lang, tree, height, s.digest as subroot, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as p
+    from d join subroots s using (lang)
+    union all
+    select id, doc_id, leaf, doubted, d.lang, tree, height, s.digest, row_number() over (order by doc_id nulls first, leaf) - 1 from d join subroots s on d.lang is null and s.lang is null
+),
+climb(id, step, own, height, tree, level, p, folded, proof) as (
+    select id, 0, tree, height, if(height = 0, -1, tree), 0, if(height = 0, tree, p), doubted, '' from start
+    union all
+    select id, step + 1, own, height, if(c.tree >= 0 and c.level + 1 = height, -1, c.tree), if(c.tree >= 0 and c.level + 1 = height, 0, c.level + 1), if(c.tree >= 0 and c.level + 1 = height, own, c.p // 8),
+        sha256(l || folded || r), proof || l || r
+    from climb c join beside b on b.tree = c.tree and b.level = c.level and b.p = c.p
+)
+select doc_id, leaf, subroot, u.digest as root, sha256(proof) as proof_sha256, folded as folded_root, folded = u.digest as verified
+from start join (select id, arg_max(folded, step) as folded, arg_max(proof, step) as proof from climb group by id) using (id), (select digest from upper_nodes where n = 1) u
+""")
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = shared.table(spark, folder, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    leaf = merkle.digest_of(*fields, "text")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    doubted = F.when(tampered, merkle.digest_of(*fields, F.translate("text", UPPER, LOWER))).otherwise(leaf)
+    rows = docs.select("doc_id", "lang", leaf.alias("leaf"), doubted.alias("doubted"))
+    found = merkle.audit(merkle.build(rows, "lang", ["doc_id"]), "doubted")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 @query("op13_simhash")
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.components(shared.table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
