@@ -33,8 +33,9 @@ RECURSION_LIMIT = "spark.sql.cteRecursionRowLimit"
 class Manifest:
     """Stored tables of a manifest.
 
-    ``leaves`` has id, tree, position, size (of the tree), leaf (hex) and the columns carried along; ``trees`` has tree,
-    the group, size and subroot; ``nodes`` the rows that the climb meets. ``root`` is None for a table without rows.
+    ``leaves`` has id, tree, position, size (of the tree), leaf (32 bytes) and the columns carried along; ``trees`` has
+    tree, the group, size and subroot (hex); ``nodes`` the rows that the climb meets. ``root`` (hex) is None for a table
+    without rows.
     """
 
     leaves: DataFrame
@@ -119,13 +120,14 @@ def _met(trees: DataFrame, levels: list[DataFrame], upper: list[DataFrame]) -> D
 
 
 def build(rows: DataFrame, group: str, order: list[str]) -> Manifest:
-    """Manifest of rows that have a ``leaf`` (hex), a group and columns that order them within it, null first.
+    """Manifest of rows that have a ``leaf`` (32 bytes), a group and columns that order them within it, null first.
 
     Rows that tie in the order are told apart by their leaf; exact repeats are leaves of their own. Other columns are
     carried along; names that the manifest itself uses (id, tree, position, size) must not be among them.
     """
-    numbered = with_place(rows.withColumn("repeat", F.monotonically_increasing_id()), [group, *order, "leaf", "repeat"])
-    numbered = kept(numbered.drop("repeat").withColumnRenamed("place", "id"), "merkle-numbered")
+    # the digests are stored before the sort, which reads its input twice
+    rows = kept(rows.withColumn("repeat", F.monotonically_increasing_id()), "merkle-rows")
+    numbered = with_place(rows, [group, *order, "leaf", "repeat"]).drop("repeat").withColumnRenamed("place", "id")
     groups = numbered.groupBy(group).agg(F.min("id").alias("first"), F.count("*").alias("size"))
     groups = kept(with_place(groups, [group]).withColumn("tree", F.col("place") - 1).drop("place"), "merkle-groups")
     same = numbered[group].eqNullSafe(groups[group])
@@ -134,7 +136,7 @@ def build(rows: DataFrame, group: str, order: list[str]) -> Manifest:
     sizes = groups.agg(F.max("size").alias("largest"), F.count("*").alias("trees")).first()
     if not sizes.trees:
         return Manifest(leaves, groups.select("tree", group, "size", F.lit("").alias("subroot")), None, None)
-    bottom = leaves.select("tree", "size", F.col("position").alias("place"), F.unhex("leaf").alias("digest"))
+    bottom = leaves.select("tree", "size", F.col("position").alias("place"), F.col("leaf").alias("digest"))
     levels = _levels(bottom, sizes.largest)
     roots = kept(_roots(bottom, levels), "merkle-subroots")
     top = roots.select(F.lit(0).cast("long").alias("tree"), F.lit(sizes.trees).cast("long").alias("size"), F.col("tree").alias("place"), "digest")
@@ -162,32 +164,32 @@ select id, step, folded, siblings from climb
 
 
 def climb(manifest: Manifest, doubted: str = "leaf") -> DataFrame:
-    """(id, proof_sha256, folded_root): the digest of a leaf's siblings up to the root, and the root that its doubted
-    digest (a column of the leaves, hex) leads to with them.
+    """(id, proof, folded), both of 32 bytes: the digest of a leaf's siblings up to the root, and the root that its
+    doubted digest (a column of the leaves) leads to with them.
 
     The recursive query has a row of each leaf and level, so Spark's limit on its rows is lifted while it runs.
     """
     spark = manifest.leaves.sparkSession
     mask = F.lit(BLOCK - 1).cast("long")
     start = manifest.leaves.select(
-        "id", "tree", F.shiftright("position", STEP * INSIDE).alias("block"), F.col("position").bitwiseAND(mask).alias("inside"), F.unhex(doubted).alias("folded"))
+        "id", "tree", F.shiftright("position", STEP * INSIDE).alias("block"), F.col("position").bitwiseAND(mask).alias("inside"), F.col(doubted).alias("folded"))
     if manifest.nodes is None:
-        climbed = start.select("id", F.lit(0).alias("step"), "folded", F.lit(b"").alias("siblings"))
-    else:
-        limit = spark.conf.get(RECURSION_LIMIT)
-        spark.conf.set(RECURSION_LIMIT, "-1")
-        try:
-            climbed = kept(spark.sql(CLIMB, start=start, nodes=manifest.nodes), "merkle-climb")
-        finally:
-            spark.conf.set(RECURSION_LIMIT, limit)
-    steps = F.array_sort(F.collect_list(F.struct("step", "siblings")))
-    path = climbed.groupBy("id").agg(steps.alias("steps"), F.max_by("folded", "step").alias("folded"))
-    proof = F.sha2(F.array_join(F.transform("steps", lambda s: _text(s["siblings"])), ""), 256)
-    return path.select("id", proof.alias("proof_sha256"), _text(F.col("folded")).alias("folded_root"))
+        return start.select("id", F.unhex(F.sha2(F.lit(""), 256)).alias("proof"), "folded")
+    limit = spark.conf.get(RECURSION_LIMIT)
+    spark.conf.set(RECURSION_LIMIT, "-1")
+    try:
+        climbed = spark.sql(CLIMB, start=start, nodes=manifest.nodes)
+        steps = F.array_sort(F.collect_list(F.struct("step", "siblings")))
+        path = climbed.groupBy("id").agg(steps.alias("steps"), F.max_by("folded", "step").alias("folded"))
+        proof = F.sha2(F.array_join(F.transform("steps", lambda s: _text(s["siblings"])), ""), 256)
+        return kept(path.select("id", F.unhex(proof).alias("proof"), "folded"), "merkle-climb")
+    finally:
+        spark.conf.set(RECURSION_LIMIT, limit)
 
 
 def audit(manifest: Manifest, doubted: str = "leaf") -> DataFrame:
-    """The leaves with subroot, root, proof_sha256, folded_root and verified: whether the doubted digest leads to the root."""
-    trees = manifest.trees.select("tree", "subroot")
-    found = manifest.leaves.join(climb(manifest, doubted), "id").join(trees, "tree")
+    """The leaves with subroot, root, proof_sha256, folded_root and verified: whether the doubted digest leads to the
+    root. Digests are hex."""
+    found = manifest.leaves.join(climb(manifest, doubted), "id").join(manifest.trees.select("tree", "subroot"), "tree")
+    found = found.withColumns({"leaf": _text(F.col("leaf")), "proof_sha256": _text(F.col("proof")), "folded_root": _text(F.col("folded"))}).drop("proof", "folded")
     return found.withColumn("root", F.lit(manifest.root).cast("string")).withColumn("verified", F.col("folded_root") == F.col("root"))

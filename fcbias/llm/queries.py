@@ -210,7 +210,7 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     leaf = merkle.digest_of(*fields, "text")
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
     doubted = F.when(tampered, merkle.digest_of(*fields, F.translate("text", UPPER, LOWER))).otherwise(leaf)
-    rows = docs.select("doc_id", "lang", leaf.alias("leaf"), doubted.alias("doubted"))
+    rows = docs.select("doc_id", "lang", F.unhex(leaf).alias("leaf"), F.unhex(doubted).alias("doubted"))
     found = merkle.audit(merkle.build(rows, "lang", ["doc_id"]), "doubted")
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from fcbias.llm import merkle, queries
 
@@ -56,7 +57,7 @@ def expected(rows: list[tuple]) -> list[tuple]:
 
 
 def audited(spark, rows: list[tuple], parts: int = 5) -> list[tuple]:
-    df = spark.createDataFrame(rows, "lang string, doc_id long, leaf string, doubted string, digest int").repartition(parts)
+    df = spark.createDataFrame(rows, "lang string, doc_id long, leaf string, doubted string, digest int").repartition(parts).withColumns({c: F.unhex(c) for c in ("leaf", "doubted")})
     found = merkle.audit(merkle.build(df, "lang", ["doc_id"]), "doubted")
     return sorted(map(tuple, found.select("leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()))
 
