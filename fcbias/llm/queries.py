@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, merkle, mixing, neighbours, pii, quality, shared, simhash, substrings, tokens, toxicity, urls
+from . import decontaminate, jaccard, lexical, merkle, mixing, neighbours, pii, quality, shared, simhash, substrings, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,6 +152,31 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query("op11_ranked_search", r"""
+with d as (
+    select row_number() over () as id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents
+),
+b as (
+    select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select distinct item_id, text from benchmark) x
+),
+q as (select item_id, term, count(*) as times from b group by all),
+t as (select count(*) as n_docs, sum(len(terms))::bigint as n_terms from d where len(terms) > 0),
+tf as (select id, term, count(*) as tf from (select id, unnest(terms) as term from d) x group by all),
+w as (select term, cast(floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w from tf, t group by term, n_docs),
+m as (select id, doc_id, 100 - 25 + (25 * len(terms) * n_docs) // n_terms as m from d, t where len(terms) > 0),
+s as (
+    select item_id, id, any_value(doc_id) as doc_id, cast(sum(times * (w * ((1000000000 * tf) // (1000 * tf + 12 * m)))) as bigint) as score
+    from q join tf using (term) join w using (term) join m using (id) group by item_id, id
+)
+select item_id, rank, doc_id, score
+from (select *, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as int) as rank from s where score > 0) x where rank <= 20
+""")
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(shared.table(spark, folder, "documents"), shared.table(spark, folder, "benchmark"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
