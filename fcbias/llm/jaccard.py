@@ -272,6 +272,7 @@ def _buckets(docs: DataFrame, sketch: np.ndarray, groups: int) -> DataFrame:
         take[np.unique(lists, return_index=True)[1]] = True
         take &= size > 1
         stay = np.repeat(take, size)
+        T.give_back()
         centre = np.repeat(key[cuts], size) if len(cuts) else key
         bucket = np.repeat(lists, size)
         return pa.table([pa.array(x[stay].view(np.int64), pa.int64()) for x in (bucket, centre, key)], ["bucket", "centre", "key"])

@@ -8,10 +8,24 @@ from pyspark.sql import functions as F
 from ..session import new_folder
 
 
+#: Bytes of an Arrow batch: a task holds several copies of one, in the JVM and in Python.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder. For the session, Arrow batches are limited to BATCH_BYTES, as whole texts go to Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, with underscores behind it as long as a column has it already."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def kept(df: DataFrame, label: str, schema=None) -> DataFrame:
     """Write to the folder that all executors share and read again: later jobs then start from files."""
     path = new_folder(df.sparkSession, label)

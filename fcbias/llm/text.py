@@ -7,6 +7,7 @@ a single longer text makes a longer piece.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 2 << 20
+#: Bytes whose words are hashed at a time: the powers kept for that have this length.
+WORD_BYTES = 1 << 18
 
 #: Bytes between words: space, and tab to carriage return.
 BLANKS = np.zeros(256, bool)
@@ -32,13 +35,16 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _powers(n: int) -> list[np.ndarray]:
     """Powers of the step and of its inverse modulo 2^64, at least n of each."""
-    if len(_POWERS[0]) < n:
-        n = max(n, 1 << 16)
-        for i, base in enumerate((_STEP, pow(_STEP, -1, 1 << 64))):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _POWERS[i] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS
+    if len(_POWERS[0]) >= n:
+        return _POWERS
+    found = []
+    for base in (_STEP, pow(_STEP, -1, 1 << 64)):
+        steps = np.full(max(n, 1 << 16), base, np.uint64)
+        steps[0] = 1
+        found.append(np.cumprod(steps, dtype=np.uint64))
+    if n <= WORD_BYTES + 1:  # those of one very long word are not kept
+        _POWERS[:] = found
+    return found
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -62,8 +68,18 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the C allocator hold without use: Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts have about ``limit`` bytes."""
+    """The batch in runs of rows whose texts have about ``limit`` bytes; behind the last one memory is given back."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -73,6 +89,7 @@ def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = PIECE_BYTES)
     for high in [*cuts.tolist(), batch.num_rows]:
         yield batch.slice(low, high - low)
         low = high
+    give_back()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, blanks: np.ndarray = BLANKS):
@@ -97,7 +114,7 @@ def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray, code: np.nd
     out = np.empty(len(start), np.uint64)
     i = 0
     while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + PIECE_BYTES, "right")))
+        j = max(i + 1, int(np.searchsorted(end, start[i] + WORD_BYTES, "right")))
         base = start[i]
         part = data[base : end[j - 1]]
         power, inverse = _powers(len(part) + 1)
