@@ -189,7 +189,7 @@ class ToxicityModel:
         return g
 
 
-def fit(texts: list[str], labels: list[int], passes: int = 10, batch: int = 32, rate: float = 0.08, **settings) -> ToxicityModel:
+def fit(texts: list[str], labels: list[int], passes: int = 18, batch: int = 32, rate: float = 0.08, **settings) -> ToxicityModel:
     """Adagrad over batches of texts, each standing for its highest window; small samples are passed over more often.
 
     With texts of one class only, or none, the model always answers that class, or 0.
@@ -205,9 +205,8 @@ def fit(texts: list[str], labels: list[int], passes: int = 10, batch: int = 32,
     memory = {k: np.full_like(v, 1e-4) for k, v in model.p.items()}
     column = pa.array(texts, pa.string())
     lengths = np.array([len(t) for t in texts])
-    epochs = max(passes, min(40, 24_000 // len(y)))
-    for epoch in range(epochs):
-        pace = rate * (1 - 0.9 * epoch / epochs)
+    for epoch in range(passes):
+        pace = rate * (1 - 0.9 * epoch / passes)
         # short texts first: there the label says most about its windows
         order = np.argsort(lengths + (rng.random(len(y)) * 800 if not epoch else 0), kind="stable") if epoch < 1 else rng.permutation(len(y))
         for i in range(0, len(y), batch):
