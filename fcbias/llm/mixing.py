@@ -102,12 +102,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     """Mix sources: (per document: doc_id, source, size, source_size, target, taken; schedule: slot, source, rank, block).
 
     Sizes are in words. A null text has size 0 and a null source is a source of its own, the last. Documents of size 0
-    take 0. Rows that repeat a doc_id are told apart by a digest of their text; exact repeats of a row make one row whose
-    size counts all of them. An empty table gives empty results.
+    take 0. Rows that repeat a doc_id are told apart by a digest of their text; exact repeats of a row are documents of
+    their own, with a row each. An empty table gives empty results. Other columns are ignored.
     """
     sized = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), n_words(F.col("text")).alias("size"))
     # read the texts once: all that follows needs their sizes only
-    sized = kept(sized.groupBy("doc_id", "source", "digest").agg(F.sum("size").alias("size")), "mix-sizes")
+    sized = sized.groupBy("doc_id", "source", "digest", "size").agg(F.count("*").alias("copies"))
+    sized = sized.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    sized = kept(sized.select("doc_id", "source", F.xxhash64("digest", "copy").alias("digest"), "size"), "mix-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     totals = sources.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
     plan = targets(sources.select("source", "source_size"), weights, share, most)
