@@ -23,7 +23,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import with_place
 from . import text as T
+from .shared import kept
 
 #: Suffixes of one block of a map task, and of one group.
 BLOCK = 1 << 20
@@ -220,12 +222,32 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """Remove every word that a repeated window covers: doc_id, kept (text), n_words, n_removed.
 
     A window is ``window`` consecutive words of one document; it is repeated if its words also start earlier, in a
-    document of a smaller id or before it in the same one. Ids are unique integers; null ids count as one last id. Null
-    and empty texts have no words. An exact repeat of a row is the same document, given back once for each row: a window
-    does not start earlier than itself. Kept words are joined by one space; columns other than doc_id and text are
-    ignored.
+    document of a smaller id or before it in the same one. Ids are integers, null the last; rows of one id (or of none)
+    with different texts are documents of their own, in the order of a digest of their texts. Null and empty texts have
+    no words. An exact repeat of a row is the same document, given back once for each row: a window does not start
+    earlier than itself. Kept words are joined by one space; columns other than doc_id and text are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = _numbered(docs)
+    if named is None:
+        return _without_repeats(docs, window)
+    same = docs["doc_id"].eqNullSafe(named["doc_id"]) & (F.xxhash64(docs["text"]) == named["digest"])
+    docs = kept(docs.join(named, same).select(F.col("place").alias("doc_id"), "text"), "substring-numbered")
+    found = _without_repeats(docs, window).withColumnRenamed("doc_id", "place")
+    return found.join(named, "place").select("doc_id", "kept", "n_words", "n_removed")
+
+
+def _numbered(docs: DataFrame) -> DataFrame | None:
+    """(doc_id, digest, place) of each document in order, where an id, or no id, stands for several texts; else None."""
+    known = docs.select("doc_id", F.xxhash64("text").alias("digest"))
+    if known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low != high").isEmpty():
+        return None
+    known = known.distinct().withColumn("last", F.col("doc_id").isNull())
+    return kept(with_place(known, ["last", "doc_id", "digest"]).drop("last"), "substring-places")
+
+
+def _without_repeats(docs: DataFrame, window: int) -> DataFrame:
+    """``without_repeats`` of documents whose ids tell their texts apart."""
     counts, size = prefix_counts(docs, window)
     buckets = max(1, -(-size // BUCKET_BYTES))
     marks = repeated_starts(docs, window, counts, buckets)

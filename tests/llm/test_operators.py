@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -152,7 +153,7 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch, task_signs):
 def test_urls(spark):
     rows = [(1, "HTTP://A.B.Net/x?q=1"), (2, "http://example.net/en/1"), (3, "http://m.example.com/de/"), (4, "http://x.org/fr/a#b"), (5, "http://xnet/"),
             (6, "http://a.net"), (7, None), (8, ""), (9, "a.net/"), (10, "http://net/"), (10, "http://net/"), (11, "http://example.net/en"), (12, "x://h?p=/y")]
-    frame = spark.createDataFrame([(*r, "h", "z") for r in rows], "page_id long, url string, html string, suffix string").repartition(3) if False else spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, suffix string")
+    frame = spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, suffix string")
     got = sorted((r.page_id, r.host, r.path, r.rule) for r in urls.filter_urls(frame, sample_rows=50).collect())
     assert got == sorted([(1, "a.b.net", "/x", "net/"), (2, "example.net", "/en/1", "example.net/en/"), (3, "m.example.com", "/de/", "example.com/de/"), (4, "x.org", "/fr/a", "org/fr/"),
                           (5, "xnet", "/", None), (6, "a.net", "", None), (7, "", "", None), (8, "", "", None), (9, "", "", None), (10, "net", "/", "net/"), (10, "net", "/", "net/"),
@@ -323,27 +324,46 @@ def test_field_sees_rare_kinds_in_any_layout(spark, monkeypatch):
     assert kinds.count("ip") == 10 and kinds.count("") == 600
 
 
-def test_substrings_by_brute_force(docs, nothing):
-    last = 1 << 63
-    rows = documents()
+def digest(value: str | None) -> int:
+    """xxhash64 of a column of one text."""
+    return 42 if value is None else int(np.array(xxhash.xxh64_intdigest(value.encode(), 42), np.uint64).view(np.int64))
+
+
+def without_repeats(rows: list[tuple]) -> list[tuple]:
+    """Of rows (doc_id, text): doc_id as text, kept, n_words, n_removed."""
+    place = {r[:2]: (r[0] is None, r[0] or 0, digest(r[1])) for r in rows}
     first: dict[tuple, tuple] = {}
-    order = sorted(rows, key=lambda r: last if r[0] is None else r[0])
-    for r in order:
+    for r in sorted(place, key=place.get):
         w = split(r[1])
         for i in range(len(w) - 19):
-            first.setdefault(tuple(w[i : i + 20]), (last if r[0] is None else r[0], i))
+            first.setdefault(tuple(w[i : i + 20]), (place[r], i))
     want = []
     for r in rows:
         w, gone = split(r[1]), set()
         for i in range(len(w) - 19):
-            if first[tuple(w[i : i + 20])] != (last if r[0] is None else r[0], i):
+            if first[tuple(w[i : i + 20])] != (place[r[:2]], i):
                 gone.update(range(i, i + 20))
         want.append((str(r[0]), " ".join(x for i, x in enumerate(w) if i not in gone), len(w), len(gone)))
+    return sorted(want)
+
+
+def test_substrings_by_brute_force(docs, nothing):
     got = [(str(r.doc_id), r.kept, r.n_words, r.n_removed) for r in substrings.without_repeats(docs).collect()]
-    assert sorted(got) == sorted(want)
+    assert sorted(got) == without_repeats(documents())
     assert substrings.without_repeats(nothing).collect() == []
 
 
+def test_substrings_without_ids_and_of_shared_ids(spark):
+    """Texts without an id, or under one, are documents of their own: what one repeats is not removed from another."""
+    rng = random.Random(8)
+    p, u, v = passage(rng, 25), passage(rng, 40), passage(rng, 30)
+    rows = [(1, p), (None, p + " tail"), (None, u), (None, None), (2, u + " more"), (2, v), (2, v), (None, v + " " + p), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(str(r.doc_id), r.kept, r.n_words, r.n_removed) for r in substrings.without_repeats(docs).collect()]
+    assert sorted(got) == without_repeats(rows)
+    assert ("None", u, 40, 0) not in got and ("2", u + " more", 41, 0) in got
+
+
 def test_prefix_groups_are_bounded():
     counts = np.array([5, 0, 1000, 7, 90, 20, 350])
     first, splits, number = substrings.groups(counts, 100)
@@ -358,9 +378,8 @@ def test_mix(spark, docs, nothing):
     per_document, slots = mixing.mix(docs, block=16)
     rows = per_document.collect()
     sizes: dict = {}
-    for r in {tuple(d) for d in documents()}:
-        copies = sum(tuple(d) == r for d in documents())
-        sizes[r[3]] = sizes.get(r[3], 0) + len(split(r[1])) * copies
+    for r in documents():
+        sizes[r[3]] = sizes.get(r[3], 0) + len(split(r[1]))
     names = sorted((s for s in sizes if s is not None)) + [None]
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
     target, left, open_ = {}, 1.5 * sum(sizes.values()), set(names)
@@ -382,6 +401,7 @@ def test_mix(spark, docs, nothing):
     again, _ = mixing.mix(docs.repartition(3), block=16)
     assert sorted(map(str, again.collect())) == sorted(map(str, rows))
     assert slots.groupBy("source", "rank").count().filter("count > 1").count() == 0
+    assert sorted(str((r.doc_id, r.source, r["size"])) for r in rows) == sorted(str((d[0], d[3], len(split(d[1])))) for d in documents())
     assert mixing.mix(nothing)[0].count() == 0
 
 
