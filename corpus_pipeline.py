@@ -12,10 +12,15 @@ TOXIC = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose toxicity is below the limit; the network learns from labelled ones among them."""
+    """Keep documents whose toxicity is below the limit; the network learns from labelled ones among them.
+
+    Null and empty texts have the score of no words and stay. Repeated rows are judged each, rows without id as others
+    (they have no label). Any other columns are kept, whatever their names. An empty table stays empty.
+    """
     sample = shared.bounded_sample(docs, shared.table(spark, sf_dir, "labels"), "toxic", 1500, 3, 1)
-    scored = quality.score(docs, toxicity.fit_toxicity(sample), "toxic_score")
-    return scored.filter(F.col("toxic_score") < TOXIC).select(docs.columns)
+    column = shared.free_name(docs, "toxic_score")
+    scored = quality.score(docs, toxicity.fit_toxicity(sample), column)
+    return scored.filter(F.col(column) < TOXIC).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,17 +47,28 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that hold no window of a benchmark item."""
+    """Keep documents that hold no window of a benchmark item.
+
+    Null and empty texts hold none and stay, as do all rows without id that hold none; repeated rows are judged each.
+    Other columns are kept. Without documents or items nothing changes.
+    """
     return decontaminate.without_contaminated(docs, shared.table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data in the texts by its kind."""
+    """Replace personal data in the texts by its kind.
+
+    Null and empty texts stay as they are; every row stays, repeated ones too, and so do the other columns.
+    """
     return pii.redact(docs, pii.fit_field(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes, repeats counted."""
+    """How many words of each document the mix takes, repeats counted.
+
+    A row for each document, also for null and empty texts (size 0), rows without id and exact repeats; a null source is
+    one of its own. Other columns are left out.
+    """
     per_document, _ = mixing.mix(docs)
     return per_document
 
