@@ -90,13 +90,6 @@ def parameter_table(spark: SparkSession) -> DataFrame:
     )
 
 
-def product_metadata(spark: SparkSession) -> DataFrame:
-    """4 rows."""
-    return spark.createDataFrame(
-        P.PRODUCTS, "param string, category int, number int, level int, template int, statistic int"
-    )
-
-
 def join_month_limits(df: DataFrame, time: str, model: str) -> DataFrame:
     """Attach the z-score limits of the month; rows without a time have none."""
     limits = zscore_limits(df.sparkSession).where(F.col("model") == model).drop("model")
@@ -117,9 +110,16 @@ def join_correction(background: DataFrame, diff: DataFrame, value: str = "value"
 def product_table(df: DataFrame) -> DataFrame:
     """Attach product metadata and the step to rows of (param, analysistime, forecasttime).
 
+    The metadata are a choice by the parameter, no join: with one parameter as a literal a join would have no key left.
     The gust product is the maximum of the hour that starts at its step.
     """
     step = S.step_hours("forecasttime", "analysistime")
-    return df.join(F.broadcast(product_metadata(df.sparkSession)), "param", "left").withColumn(
-        "step", F.when(F.col("param") == "gust", step - 1).otherwise(step)
-    )
+
+    def of(place: int) -> Column:
+        chosen = F.lit(None).cast("int")
+        for product in P.PRODUCTS:
+            chosen = F.when(F.col("param") == product[0], F.lit(product[place]).cast("int")).otherwise(chosen)
+        return chosen
+
+    found = {name: of(i) for i, name in enumerate(["category", "number", "level", "template", "statistic"], 1)}
+    return df.withColumns({**found, "step": F.when(F.col("param") == "gust", step - 1).otherwise(step)})

@@ -82,12 +82,12 @@ def producer_availability(df: DataFrame, value: str) -> DataFrame:
     )
 
 
-def observations_usable(df: DataFrame, value: str, producers: list[str]) -> DataFrame:
-    """One row: does every producer deliver at least one value?"""
+def observations_usable(df: DataFrame, value: str, producers: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (of each run, if ``by`` names it): does every producer deliver at least one value?"""
     delivered = [
         F.coalesce(F.count(F.when(F.col("producer") == p, S.nan_to_null(value))) > 0, F.lit(False)) for p in producers
     ]
-    return df.agg(reduce(lambda a, b: a & b, delivered).alias("ok"))
+    return df.groupBy(*by).agg(reduce(lambda a, b: a & b, delivered).alias("ok"))
 
 
 def sentinel_report(fields: DataFrame, names=tuple(P.GRID_FIELDS)) -> DataFrame:

@@ -21,27 +21,35 @@ def observation_qc(conventional: DataFrame, crowd: DataFrame | None, dem: DataFr
     """Observations of any number of times, checked, with height and land fraction.
 
     ``conventional`` has (sid, obstime, lat, lon, elev, wsp and ws or value); ``crowd`` has
-    (sid, obstime, arrival, lat, lon, x, y, value), x and y in the raster's projection.
+    (sid, obstime, arrival, lat, lon, x, y, value), x and y in the raster's projection. With ``analysistime`` in both
+    they are of several runs, each checked by itself.
     """
-    p = P.parameter(param)
+    p, run = P.parameter(param), runs_of(conventional)
     if param == "windspeed":
         conventional = Q.coalesce_wind(conventional).withColumnRenamed("wsp", "value").drop("ws")
-    columns = ["sid", "obstime", "lat", "lon", "elev", "value"]
+    columns = [*run, "sid", "obstime", "lat", "lon", "elev", "value"]
     obs = conventional.select(*columns)
     if crowd is not None and p.crowd:
-        first = Q.keep_first(crowd, ["obstime", "lat", "lon"], ["arrival"])
+        first = Q.keep_first(crowd, [*run, "obstime", "lat", "lon"], ["arrival"])
         # places are few compared with reports, so heights are looked up once per place; a site may move
         first = first.withColumn("place", F.xxhash64("x", "y"))
         places = first.select(F.col("place").alias("sid"), "x", "y").distinct()
         heights = X.bilinear(places, dem, *dem_step).select(F.col("sid").alias("place"), F.col("elevation").alias("elev"))
         obs = Q.union_crowd(obs, first.join(heights, "place", "left").select(*columns), param)
-    checked = Q.zscore(obs, "value", ["obstime"], "obstime", p.model).where(~F.col("is_outlier")).select(*columns)
-    checked = checked.withColumn("place", F.xxhash64("lat", "lon"))
-    places = checked.select(F.col("place").alias("sid"), "lat", "lon").distinct()
+    checked = Q.zscore(obs, "value", [*run, "obstime"], "obstime", p.model).where(~F.col("is_outlier")).select(*columns)
+    place = F.xxhash64("lat", "lon")
+    checked = checked.withColumn("place", place)
+    # the places of all observations, so that the check is not planned twice
+    places = obs.select(place.alias("sid"), "lat", "lon").distinct()
     land = X.sample_static(X.nearest_cell(places, grid), grid, {"lc": "land"}).select(F.col("sid").alias("place"), "land")
     return checked.join(land, "place", "left").drop("place")
 
 
+def runs_of(*frames: DataFrame) -> list[str]:
+    """The column that tells runs apart, if all frames have it."""
+    return [c for c in ("analysistime",) if all(c in df.columns for df in frames)]
+
+
 def model_units(fields: DataFrame, checked=tuple(P.GRID_FIELDS)) -> DataFrame:
     """All grid fields in the units of the models. The missing sentinel in a checked field fails the job."""
     converted = {n: S.to_model_units(n, n) for n in P.GRID_FIELDS}
@@ -49,37 +57,38 @@ def model_units(fields: DataFrame, checked=tuple(P.GRID_FIELDS)) -> DataFrame:
 
 
 def feature_table_serve(points: DataFrame, nearest: DataFrame, fields: DataFrame, grid: DataFrame, param: str, names=None) -> DataFrame:
-    """Features at points for leads from 1 on, keyed by sid.
+    """Features at points for leads from 1 on, keyed by sid, and by run where the fields have ``analysistime``.
 
     ``points`` has (sid, lat, lon, elev, value), ``fields`` one column per field in model units and
-    the valid time ``forecasttime``.
+    the valid time ``forecasttime``. Points with ``analysistime`` are those of one run; without it they serve all runs.
     """
-    p = P.parameter(param)
+    p, run = P.parameter(param), runs_of(fields)
+    own = runs_of(points, fields)
     # fixed values: grid field to feature column
     renamed = {"t2": "t2m", "ws": "s10m", "wg": "gmax", "rh": "rh2m", "wd": "d10m", "nl": "cclow", "ppa": "pmsl", "q2": "q2m"}
     site = (
         nearest.select("sid", "cell")
-        .join(points.select("sid", F.col("lat").alias("obs_lat"), F.col("lon").alias("obs_lon"),
+        .join(points.select(*own, "sid", F.col("lat").alias("obs_lat"), F.col("lon").alias("obs_lon"),
                             F.col("elev").alias("obs_elevation"), "value"), "sid")
         .join(grid.select("cell", "topo"), "cell")
     )
     sampled = site.join(
-        fields.where("leadtime >= 1").select("cell", "leadtime", "forecasttime", *[F.col(a).alias(b) for a, b in renamed.items()]),
-        "cell",
+        fields.where("leadtime >= 1").select(*run, "cell", "leadtime", "forecasttime", *[F.col(a).alias(b) for a, b in renamed.items()]),
+        [*own, "cell"],
     )
-    # one window holds the leads of one point
-    first_hour = Window.partitionBy("cell", "sid")
+    # one window holds the leads of one point of one run
+    first_hour = Window.partitionBy(*run, "cell", "sid")
     bias = F.max(F.when(F.col("leadtime") == 1, F.col(p.fc))).over(first_hour) - F.col("value")
     table = sampled.withColumns(
         {"elevd": F.col("topo") - F.col("obs_elevation"), p.bias1: bias, **S.time_features("forecasttime")}
     )
-    return R.to_float32(table.select("sid", *(names or P.FEATURES[p.model])))
+    return R.to_float32(table.select(*run, "sid", *(names or P.FEATURES[p.model])))
 
 
 def predicted_biases(features: DataFrame, model: PipelineModel, param: str) -> DataFrame:
-    """(sid, leadtime, bias) of all points. Missing features take the trees' other branch; without an observed bias
+    """(sid, leadtime, bias) of all points, by run if there are several. Missing features take the trees' other branch; without an observed bias
     lead 1 has none, and the interpolation leaves it out."""
-    return M.predict_bias(features, model, param).select("sid", "leadtime", "bias")
+    return M.predict_bias(features, model, param).select(*runs_of(features), "sid", "leadtime", "bias")
 
 
 def apply_limits(param: str, value, low=None, high=None):
@@ -89,10 +98,11 @@ def apply_limits(param: str, value, low=None, high=None):
     return S.to_output_units(param, S.clip(value, *P.OUTPUT_LIMITS[param]))
 
 
-def finish_grid(background: DataFrame, diff: DataFrame, param: str) -> DataFrame:
+def finish_grid(background: DataFrame, diff: DataFrame, param: str, usable: DataFrame | None = None) -> DataFrame:
     """Increment to product: limit it, subtract it, convert, limit the result, fill missing.
 
-    ``background`` has (cell, leadtime, forecasttime, value) in model units.
+    ``background`` has (cell, leadtime, forecasttime, value) in model units, and ``analysistime`` where there are several
+    runs. With ``usable``, as ``with_fallback`` takes it, the forecast itself is the product where it is not true.
     """
     limited = diff.withColumn("diff", S.clip_diff(param, "diff"))
     corrected = J.join_correction(background, limited)
@@ -102,26 +112,39 @@ def finish_grid(background: DataFrame, diff: DataFrame, param: str) -> DataFrame
         final = apply_limits(param, F.col("corrected"), F.col("low"), F.col("high"))
     else:
         final = apply_limits(param, F.col("corrected"))
-    run = [c for c in ("analysistime",) if c in background.columns]
-    return corrected.select("cell", *run, "leadtime", "forecasttime", S.fill_missing(final).alias("value"))
+    product = S.fill_missing(final)
+    if usable is not None:
+        corrected, ok = _with_ok(corrected, usable)
+        product = F.when(ok, product).otherwise(S.to_output_units(param, F.col("value")))
+    return corrected.select("cell", *runs_of(background), "leadtime", "forecasttime", product.alias("value"))
+
+
+def _with_ok(df: DataFrame, usable: DataFrame):
+    """The rows, and whether the observations of their run could be used: a scalar, or by run (without a row: no)."""
+    run = runs_of(df, usable)
+    if not run:
+        return df, usable.select("ok").scalar()
+    return df.join(usable.select(*run, "ok"), run, "left"), F.coalesce(F.col("ok"), F.lit(False))
 
 
 def correct_grid(background: DataFrame, points: DataFrame, biases: DataFrame, grid: DataFrame, param: str,
-                 counted: DataFrame | None = None, k: int = P.MAX_POINTS) -> DataFrame:
+                 counted: DataFrame | None = None, k: int = P.MAX_POINTS, usable: DataFrame | None = None) -> DataFrame:
     """Corrected grids for leads from 1 on, from biases at points, at most ``k`` of them a node."""
     diff = I.oi_analysis(points, biases, grid, k, counted)
-    return finish_grid(background.where("leadtime >= 1"), diff, param)
+    return finish_grid(background.where("leadtime >= 1"), diff, param, usable)
 
 
 def with_fallback(background: DataFrame, corrected: DataFrame, usable: DataFrame, param: str) -> DataFrame:
-    """The corrected field, or the forecast itself if observations were not usable.
+    """A corrected field that is there already, or the forecast itself if observations were not usable.
 
-    ``usable`` is one row with ``ok``; it is a scalar subquery, so with it false the plan still runs
-    but its result is the forecast in product units.
+    ``usable`` is one row with ``ok``, or one for each run (a run without one has no observations); as a scalar it is a
+    subquery, so with it false the plan still runs but its result is the forecast in product units. ``finish_grid``
+    makes the same choice without a join.
     """
+    run = runs_of(background)
     raw = background.where("leadtime >= 1").select(
-        "cell", "leadtime", "forecasttime", S.to_output_units(param, F.col("value")).alias("raw")
+        "cell", *run, "leadtime", "forecasttime", S.to_output_units(param, F.col("value")).alias("raw")
     )
-    joined = raw.join(corrected.select("cell", "leadtime", "value"), ["cell", "leadtime"], "left")
-    chosen = F.when(usable.select("ok").scalar(), F.col("value")).otherwise(F.col("raw"))
-    return joined.select("cell", "leadtime", "forecasttime", chosen.alias("value"))
+    keys = ["cell", *runs_of(background, corrected), "leadtime"]
+    joined, ok = _with_ok(raw.join(corrected.select(*keys, "value"), keys, "left"), usable)
+    return joined.select("cell", *run, "leadtime", "forecasttime", F.when(ok, F.col("value")).otherwise(F.col("raw")).alias("value"))

@@ -1,4 +1,4 @@
-"""The operational run as one job: observations and grids in, product table out."""
+"""Operational runs as one job: observations and grids in, product table out."""
 
 from __future__ import annotations
 
@@ -25,24 +25,28 @@ def by_model(model: M.PipelineModel, param: str) -> Callable[[DataFrame], DataFr
 
 def operational_run(conventional: DataFrame, crowd: DataFrame | None, dem: DataFrame | None, fields: DataFrame, grid: DataFrame,
                     param: str, predict: Callable[[DataFrame], DataFrame], k: int = P.MAX_POINTS) -> DataFrame:
-    """Product rows (param, cell, analysistime, forecasttime, step, value, product metadata) of one run.
+    """Product rows (param, cell, analysistime, forecasttime, step, value, product metadata) of one run or of several.
 
     ``conventional`` and ``crowd`` are the latest observations as ``observation_qc`` takes them, each site once, the former
     with its ``producer``; ``fields`` is the grid forecast in source units with ``analysistime`` and ``forecasttime``, and
     ``predict`` turns features into (sid, leadtime, bias). A missing value in a field fails the run. Where a producer
     delivers no observation the product is the forecast itself.
 
-    Checked points and their biases are stored, since several later steps read them: a few rows a site.
+    With ``analysistime`` in both tables of observations they are those of an archive of runs, each site once a run and
+    at one place, and ``predict`` keeps that column: every run is checked, corrected or left alone by its own
+    observations, and the result is the rows of as many single runs.
+
+    Checked points and their biases are stored, since several later steps read them: a few rows a site and run.
     """
-    p = P.parameter(param)
+    p, run = P.parameter(param), C.runs_of(conventional)
     delivered = Q.coalesce_wind(conventional).withColumnRenamed("wsp", "value") if param == "windspeed" else conventional
-    usable = Q.observations_usable(delivered, "value", list(PRODUCERS))
+    usable = Q.observations_usable(delivered, "value", list(PRODUCERS), tuple(run))
     fields = C.model_units(fields)
     points = stored(C.observation_qc(conventional, crowd, dem, grid, param).drop("obstime"), "points")
-    features = C.feature_table_serve(points, X.nearest_cell(points, grid), fields, grid, param)
+    places = points.select("sid", "lat", "lon", "elev", "land")
+    places = places.distinct() if run else places
+    features = C.feature_table_serve(points, X.nearest_cell(places, grid), fields, grid, param)
     biases = stored(predict(features), "biases")
-    background = fields.select("cell", "leadtime", "forecasttime", F.col(p.field).alias("value"))
-    corrected = C.correct_grid(background, points, biases, grid, param, k=k)
-    final = C.with_fallback(background, corrected, usable, param)
-    times = fields.select("leadtime", "analysistime").distinct()  # as many rows as leads
-    return J.product_table(final.join(F.broadcast(times), "leadtime").withColumn("param", F.lit(param)))
+    background = fields.select("cell", "analysistime", "leadtime", "forecasttime", F.col(p.field).alias("value"))
+    final = C.correct_grid(background, places, biases, grid, param, k=k, usable=usable)
+    return J.product_table(final.withColumn("param", F.lit(param)))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fcbias.catalog import operational as O
+from fcbias.operators import spatial as X
 from fcbias.plans import correction as C
 from fcbias.plans.operational import operational_run
 from fcbias.plans.training import build_training_table
@@ -21,6 +22,43 @@ def test_run_without_a_producer_is_the_forecast(spark, inputs):
     assert both.where("abs(value - t2) > 1e-9").count() == 0
 
 
+def test_runs_of_an_archive_are_single_runs(spark, inputs):
+    """Twenty points a node: the rows of one call for three runs are those of three calls."""
+    conventional, crowd, grids = O.archive(inputs)
+    call = lambda *frames: operational_run(frames[0], frames[1], inputs.dem(), frames[2], inputs.grid(), "temperature", O.fading("temperature"))
+    key = ["analysistime", "cell", "leadtime"]
+    rows = lambda df: {tuple(r[c] for c in key): (round(r["value"], 6), r["step"]) for r in df.collect()}
+    together = call(conventional, crowd, grids)
+    assert together.count() == 3 * 200 * 6
+    alone = {}
+    for (start,) in grids.select("analysistime").distinct().collect():
+        one = [df.where(F.col("analysistime") == start) for df in (conventional, crowd, grids)]
+        alone |= rows(call(one[0].drop("analysistime"), one[1].drop("analysistime"), one[2]))
+    assert rows(together) == alone
+
+
+def test_fallback_of_runs(spark):
+    """Two runs, of which one has no usable observations and a third none at all; no row is multiplied."""
+    schema = "analysistime string, cell int, leadtime int, forecasttime string, value double"
+    background = spark.createDataFrame([(r, 1, 1, "t", 10.0) for r in "abc"], schema)
+    corrected = spark.createDataFrame([(r, 1, 1, "t", 7.0) for r in "abc"], schema)
+    usable = spark.createDataFrame([("a", True), ("b", False)], "analysistime string, ok boolean")
+    got = {r.analysistime: r.value for r in C.with_fallback(background, corrected, usable, "windspeed").collect()}
+    assert got == {"a": 7.0, "b": 10.0, "c": 10.0}
+    assert C.with_fallback(background, corrected, usable, "windspeed").count() == 3
+
+
+def test_features_of_runs_do_not_mix(spark, inputs):
+    conventional, crowd, grids = O.archive(inputs)
+    points = C.observation_qc(conventional, crowd, inputs.dem(), inputs.grid(), "temperature").drop("obstime")
+    near = X.nearest_cell(points.select("sid", "lat", "lon").distinct(), inputs.grid())
+    both = C.feature_table_serve(points, near, C.model_units(grids), inputs.grid(), "temperature")
+    for (start,) in grids.select("analysistime").distinct().collect():
+        one = [df.where(F.col("analysistime") == start) for df in (points, grids)]
+        alone = C.feature_table_serve(one[0], near, C.model_units(one[1]), inputs.grid(), "temperature")
+        assert both.where(F.col("analysistime") == start).exceptAll(alone).isEmpty() and both.where(F.col("analysistime") == start).count() == alone.count() > 0
+
+
 def test_full_interpolation_stays_near_the_best_point(spark, inputs):
     got = O.run(inputs, "windspeed", O.fading("windspeed"))
     assert got.count() == 200 * 6
