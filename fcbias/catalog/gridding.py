@@ -183,7 +183,7 @@ def barnes_weight(t):
 
 @query("topk_neighbours", "select cell, sid, rank, rho from near_ranked where rank <= 20", "rho")
 def topk_neighbours(t):
-    top = X.top_neighbours(weighted(t))
+    top = I.best_points(land_points(t), t.grid(), counted=t.oi_points())
     return top.select("cell", "sid", F.col("rank").cast("bigint").alias("rank"), "rho")
 
 

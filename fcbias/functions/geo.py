@@ -51,6 +51,11 @@ class Tiling:
         need = math.degrees(metres / P.EARTH_RADIUS)
         return cls(1.0 if need <= 1.0 else need)
 
+    @classmethod
+    def fitting(cls, metres: float) -> Tiling:
+        """Rows a little higher than the radius."""
+        return cls(math.degrees(metres / P.EARTH_RADIUS) * 1.01)
+
     def columns_of(self, row: int) -> float:
         """Columns of a row before rounding down; the rule of ``_columns`` for planning and tests."""
         farthest = max(abs(row - 1), abs(row + 2)) * self.degrees

@@ -1,8 +1,9 @@
 """Optimal interpolation of biases from points to nodes (Gandin 1963, Barnes 1964, Daley 1991).
 
-The background is zero and the error variance ratio a constant, so the weights depend only on which
-points have a bias: they are solved once per node and set of points, and applied to all leads of all runs
-with that set. With complete data that is one set.
+The background is zero and the error variance ratio a constant, so the weights depend only on which points have a bias.
+The candidates of a node are found once for all leads of all runs, by widening rings, and the equations of its best
+points are inverted once for a block of them. Where a lead or run lacks some of these points, the inverse is downdated by
+the points that are missing and bordered by the next best ones (Schur complements).
 """
 
 from __future__ import annotations
@@ -11,28 +12,65 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import geo as G
+from ..session import stored
 from . import spatial
+from .aggregates import with_place
 
 WEIGHT_SCHEMA = "cell int, sid array<int>, weight array<double>"
 # Nodes per Arrow batch in the solver: a batch of systems of 20 equations takes a few megabytes.
 NODES_PER_BATCH = 512
+# Leads of runs that are solved together, and equations that are changed at a time.
+SCENES, CHANGED = 64, 2048
 
 
-def barnes_weights(points: DataFrame, grid: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def barnes_weights(points: DataFrame, grid: DataFrame, counted: DataFrame | None = None, radius: float | None = None) -> DataFrame:
     """Points near each node with the correlation ``rho`` of node and point.
 
     Points are rows of (sid, lat, lon, elev, land); points without a bias are to be left out before.
     """
-    near = spatial.neighbours(points, grid, counted=counted)
+    near = spatial.neighbours(points, grid, radius, counted)
     rho = G.barnes(F.col("distance"), F.col("cell_elev") - F.col("elev"), F.col("cell_land") - F.col("land"))
     return near.withColumn("rho", rho).where(F.col("rho") > 0)
 
 
+def best_points(points: DataFrame, grid: DataFrame, k: int = P.MAX_POINTS, counted: DataFrame | None = None) -> DataFrame:
+    """The rows of ``barnes_weights`` that ``top_neighbours`` keeps, searched by widening rings.
+
+    A node begins with the ring that the density around it fills. It is done when its k-th weight is larger than the
+    horizontal factor at the ring's edge, which no point outside can reach; else it goes on to the ring of twice the
+    radius, up to the whole one. So crowded places form pairs with the points close by only. Where no tile is dense
+    enough for a ring, this is one search of the whole radius. Each ring stores k rows a node.
+    """
+    radius = G.search_radius()
+    started = spatial.first_rings(points if counted is None else counted, grid, k, radius)
+    present = sorted((r.ring for r in started.select("ring").distinct().collect()), reverse=True)  # RINGS rows at most
+    if not present or present == [0]:
+        return spatial.top_neighbours(barnes_weights(points, grid, counted), k)
+    found, waiting = None, None
+    for ring, edge in reversed(list(enumerate(spatial.ring_radii(radius)))):
+        nodes = started.where(F.col("ring") == ring).drop("ring") if ring in present else None
+        nodes = waiting if nodes is None else nodes if waiting is None else nodes.unionByName(waiting)
+        if nodes is None:
+            continue
+        best = stored(spatial.top_neighbours(barnes_weights(points, nodes, counted, edge if ring else None), k), "ring")
+        if ring:
+            outside = int(np.floor(np.exp(-0.5 * (edge / P.BARNES_H) ** 2) * 1e9 + 0.5))
+            weight = F.floor(F.col("rho") * 1e9 + 0.5)
+            done = best.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min(weight).alias("least"))
+            done = stored(done.where((F.col("n") == k) & (F.col("least") > outside)).select("cell"), "ring-done")
+            left = stored(nodes.join(done, "cell", "left_anti"), "ring-left")
+            waiting = None if left.isEmpty() else left
+            best = best.join(done, "cell", "left_semi")
+        found = best if found is None else found.unionByName(best)
+    return found
+
+
 def oi_nearest1(weighted: DataFrame) -> DataFrame:
     """Increment with the best point alone."""
     one = spatial.top_neighbours(weighted, 1)
@@ -94,18 +132,7 @@ def _solve(nodes: pd.DataFrame) -> pd.DataFrame:
         out[valid] = np.concatenate(nodes[name].to_numpy())
         return out
 
-    lat, lon = np.radians(padded("lat")), np.radians(padded("lon"))
-    between = lambda v: v[:, :, None] - v[:, None, :]
-    h = np.sin(between(lat) / 2) ** 2 + np.cos(lat)[:, :, None] * np.cos(lat)[:, None, :] * np.sin(between(lon) / 2) ** 2
-    distance = 2 * P.EARTH_RADIUS * np.arcsin(np.sqrt(np.minimum(1.0, h)))
-    exponent = (
-        (distance / P.BARNES_H) ** 2
-        + (between(padded("elev")) / P.BARNES_V) ** 2
-        + (between(padded("land")) / P.BARNES_W) ** 2
-    )
-    covariance = np.exp(-0.5 * exponent) * (valid[:, :, None] & valid[:, None, :])
-    diagonal = np.arange(valid.shape[1])
-    covariance[:, diagonal, diagonal] = 1 + P.VARIANCE_RATIO
+    covariance = _covariance(*(padded(c) for c in ("lat", "lon", "elev", "land")), valid)
     weights = np.linalg.solve(covariance, padded("rho")[:, :, None])[:, :, 0]
     return pd.DataFrame(
         {
@@ -116,6 +143,19 @@ def _solve(nodes: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _covariance(lat: np.ndarray, lon: np.ndarray, elev: np.ndarray, land: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """Covariances of the points of each node, with the error variance on the diagonal; none with padding points."""
+    lat, lon = np.radians(lat), np.radians(lon)
+    between = lambda v: v[:, :, None] - v[:, None, :]
+    h = np.sin(between(lat) / 2) ** 2 + np.cos(lat)[:, :, None] * np.cos(lat)[:, None, :] * np.sin(between(lon) / 2) ** 2
+    distance = 2 * P.EARTH_RADIUS * np.arcsin(np.sqrt(np.minimum(1.0, h)))
+    exponent = (distance / P.BARNES_H) ** 2 + (between(elev) / P.BARNES_V) ** 2 + (between(land) / P.BARNES_W) ** 2
+    covariance = np.exp(-0.5 * exponent) * (valid[:, :, None] & valid[:, None, :])
+    diagonal = np.arange(valid.shape[1])
+    covariance[:, diagonal, diagonal] = 1 + P.VARIANCE_RATIO
+    return covariance
+
+
 def _scene(biases: DataFrame) -> list[str]:
     """What tells fields of biases apart: the lead, and the run where there are several."""
     return [c for c in ("analysistime", "leadtime") if c in biases.columns]
@@ -146,13 +186,123 @@ def with_sets(biases: DataFrame) -> DataFrame:
     return known.join(sets, scene)
 
 
+def _by_sets(points: DataFrame, known: DataFrame, grid: DataFrame, k: int, counted: DataFrame | None) -> DataFrame:
+    """Increments with a search and a solve of its own for every set of points."""
+    known = with_sets(known)
+    members = known.select("set", "sid").distinct()
+    near = barnes_weights(points.join(members.select("sid").distinct(), "sid", "left_semi"), grid, counted)
+    return apply_weights(oi_weights(near.join(members, "sid"), k), known)
+
+
 def oi_analysis(points: DataFrame, biases: DataFrame, grid: DataFrame, k: int = P.MAX_POINTS, counted: DataFrame | None = None) -> DataFrame:
     """Increments (cell, leadtime, diff) on the grid from biases at points; nodes out of reach have no row.
 
     Every lead uses the points that have a bias then, and no others. With a column ``analysistime`` the biases are of
-    several runs, and so are the increments.
+    several runs, and so are the increments. A node's list holds 2 k + 1 points where some are missing at times; should a
+    lead lack so many that it runs out, that lead of that node is searched and solved by itself.
     """
-    known = with_sets(biases)
-    members = known.select("set", "sid").distinct()
-    near = barnes_weights(points.join(members.select("sid").distinct(), "sid", "left_semi"), grid, counted)
-    return apply_weights(oi_weights(near.join(members, "sid"), k), known)
+    known = biases.where(F.col("bias").isNotNull() & ~F.isnan("bias"))
+    scene = _scene(known)
+    number = (F.col("place") - 1).alias("number")
+    scenes = with_place(known.select(*scene).distinct(), scene).select(*scene, number)
+    sids = known.select("sid").distinct()
+    of_scenes = scenes.count()
+    complete = known.count() == of_scenes * sids.count()
+    listed = k if complete else 2 * k + 1
+    best = best_points(points.join(sids, "sid", "left_semi"), grid, listed, counted)
+    best = best.withColumn("listed", F.count(F.lit(1)).over(Window.partitionBy("cell")))
+    by_point = known.join(scenes, scene).groupBy("sid", F.floor(F.col("number") / SCENES).alias("block")).agg(
+        F.collect_list(F.struct((F.col("number") % SCENES).cast("int").alias("at"), "bias")).alias("known"))
+    columns = ["rho", "lat", "lon", "elev", "land", "listed"]
+    members = F.array_sort(F.collect_list(F.struct("rank", *columns, F.col("known.at").alias("at"), F.col("known.bias").alias("bias"))))
+    packed = best.join(by_point, "sid").groupBy("cell", "block").agg(members.alias("points"))
+    packed = packed.select("cell", "block", *[F.col(f"points.{c}").alias(c) for c in [*columns, "at", "bias"]])
+    # 64 scenes of 41 points are about 20 KB a node; the solver goes through them NODES_PER_BATCH at a time
+    solved = packed.mapInArrow(lambda batches: _increments(batches, k, listed), "cell int, number long, diff double, short boolean, full boolean")
+    if complete:
+        return solved.join(scenes, "number").select("cell", *scene, "diff")
+    solved = stored(solved, "increments")
+    named = solved.join(scenes, "number")
+    whole = named.where(~F.col("short")).select("cell", *scene, "diff")
+    # of a node with a full list also the scenes in which none of its listed points is present
+    silent = solved.where("full").groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < of_scenes)
+    silent = silent.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(of_scenes - 1).cast("long"))).alias("number"))
+    silent = silent.join(solved, ["cell", "number"], "left_anti").join(scenes, "number").select("cell", *scene)
+    short = stored(named.where("short").select("cell", *scene).unionByName(silent), "short")
+    if short.isEmpty():
+        return whole
+    nodes = grid.join(short.select("cell").distinct(), "cell", "left_semi")
+    again = _by_sets(points, known.join(short.select(*scene).distinct(), scene, "left_semi"), nodes, k, counted)
+    return whole.unionByName(again.join(short, ["cell", *scene], "left_semi").select("cell", *scene, "diff"))
+
+
+def _increments(batches: Iterator[pa.RecordBatch], k: int, most: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, NODES_PER_BATCH):
+            yield _analysed(batch.slice(start, NODES_PER_BATCH), k, most)
+
+
+def _analysed(nodes: pa.RecordBatch, k: int, most: int) -> pa.RecordBatch:
+    """Increment of each node and scene in which one of its listed points has a bias.
+
+    The points of a node come in the order of their weights. Its first k give the stored inverse; padding points are
+    uncorrelated with everything and weigh nothing. ``short`` marks a scene whose present points among ``most`` listed
+    ones are fewer than k.
+    """
+    sizes = nodes.column("rho").value_lengths().to_numpy()
+    width = max(k, int(sizes.max(initial=0)))
+    real = np.arange(width) < sizes[:, None]
+
+    def padded(name: str) -> np.ndarray:
+        out = np.zeros(real.shape)
+        out[real] = nodes.column(name).flatten().to_numpy(zero_copy_only=False)
+        return out
+
+    lists = nodes.column("at").flatten()
+    point = np.repeat(np.flatnonzero(real.ravel()), lists.value_lengths().to_numpy())
+    row, column = point // width, point % width
+    scene, inverse = np.unique(row * SCENES + lists.flatten().to_numpy(), return_inverse=True)
+    owner = scene // SCENES
+    present = ~real[owner]
+    present[inverse, column] = True
+    bias = np.zeros(present.shape)
+    bias[inverse, column] = nodes.column("bias").flatten().flatten().to_numpy()
+
+    rho = padded("rho")
+    covariance = _covariance(*(padded(c) for c in ("lat", "lon", "elev", "land")), real)
+    stored_inverse = np.linalg.inv(covariance[:, :k, :k])
+    lacking = k - present[:, :k].sum(1)
+    spare = present[:, k:] & real[owner][:, k:]
+    added = np.minimum(lacking, spare.sum(1))
+    diff = np.zeros(len(scene))
+    for missing, more in {*zip(lacking.tolist(), added.tolist())}:
+        same = np.flatnonzero((lacking == missing) & (added == more))
+        for low in range(0, len(same), CHANGED):
+            some = same[low : low + CHANGED]
+            at = owner[some]
+            first = np.argsort(~present[some, :k], axis=1, kind="stable")
+            stay, gone = first[:, : k - missing], first[:, k - missing :]
+            new = k + np.argsort(~spare[some], axis=1, kind="stable")[:, :more]
+
+            def of(matrix: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+                return matrix[at[:, None, None], rows[:, :, None], columns[:, None, :]]
+
+            inverse_of_rest = of(stored_inverse, stay, stay)
+            if missing:
+                across = of(stored_inverse, stay, gone)
+                inverse_of_rest = inverse_of_rest - across @ np.linalg.solve(of(stored_inverse, gone, gone), across.transpose(0, 2, 1))
+            weight = (inverse_of_rest @ rho[at[:, None], stay][:, :, None])[:, :, 0]
+            if more:
+                border = of(covariance, stay, new)
+                carried = inverse_of_rest @ border
+                corner = of(covariance, new, new) - border.transpose(0, 2, 1) @ carried
+                rest = rho[at[:, None], new] - (border.transpose(0, 2, 1) @ weight[:, :, None])[:, :, 0]
+                extra = np.linalg.solve(corner, rest[:, :, None])
+                weight = weight - (carried @ extra)[:, :, 0]
+                diff[some] += (extra[:, :, 0] * bias[some[:, None], new]).sum(1)
+            diff[some] += (weight * bias[some[:, None], stay]).sum(1)
+    full = padded("listed").max(axis=1, initial=0) >= most
+    block = nodes.column("block").to_numpy()
+    return pa.RecordBatch.from_arrays(
+        [nodes.column("cell").cast(pa.int32()).take(pa.array(owner)), pa.array(block[owner] * SCENES + scene % SCENES), pa.array(diff), pa.array((added < lacking) & full[owner]), pa.array(full[owner])],
+        ["cell", "number", "diff", "short", "full"])

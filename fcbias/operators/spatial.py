@@ -6,6 +6,8 @@ of 32 bits from zero on. Distance joins are equi-joins on tiles with the distanc
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ NEAREST_LEVELS = (0.02, 0.1, 0.5, 2.5, 12.5, 62.5, 200.0)
 FAR = 3
 # Sizes in degrees of the boxes in which far points look for their node.
 BOXES = (2.5, 0.5, 0.1, 0.02)
+# Rings around a node, down to a 128th of the radius; how many times the wanted points the first should hold, and from
+# how many times of them in a tile of one degree on rings are worth their jobs.
+RINGS, RING_FILL, RING_WORTH = 8, 4, 25
 # Points and nodes of one tile that one task joins.
 TASK_POINTS, TASK_NODES = 4096, 16384
 
@@ -161,6 +166,32 @@ def bilinear(points: DataFrame, raster: DataFrame, dx: float, dy: float, x0: flo
     return weighed.select("sid", F.when(F.col("n_missing") == 0, F.col("total")).alias("elevation"))
 
 
+def ring_radii(radius: float) -> list[float]:
+    """Radii of the rings in which best points are searched, from the whole radius on, each half the one before."""
+    return [radius / 2**i for i in range(RINGS)]
+
+
+def first_rings(points: DataFrame, grid: DataFrame, k: int, radius: float) -> DataFrame:
+    """The nodes with the ``ring`` to begin with: the smallest that the density in the node's own tile fills with
+    RING_FILL times k points, by tiles of one degree with RING_WORTH times k points, and by tiles of an eighth of a
+    degree with k points in these.
+
+    It only decides where the search begins. Tiles of a degree are 40,051 at most, whose counts are broadcast.
+    """
+    nodes = grid.withColumn("ring", F.lit(0))
+    for degrees, fewest in ((1.0, RING_WORTH * k), (0.125, k)):
+        tiling = G.Tiling(degrees)
+        counts = tiling.own(points, "lat", "lon").groupBy("ty", "tx").agg(F.count(F.lit(1)).alias("n_points")).where(F.col("n_points") >= fewest)
+        # a tile is about as wide as high, at any latitude
+        per_disk = math.pi * (radius / tiling.reach) ** 2 / (RING_FILL * k)
+        filled = F.coalesce(F.floor(F.log2(F.col("n_points") * per_disk) / 2).cast("int"), F.lit(0))
+        ring = F.least(F.lit(RINGS - 1), filled)
+        ring = ring if degrees == 1.0 else F.when(F.col("ring") > 0, ring)
+        placed = tiling.own(nodes, "lat", "lon").join(F.broadcast(counts) if degrees == 1.0 else counts, ["ty", "tx"], "left")
+        nodes = placed.withColumn("ring", F.greatest("ring", F.coalesce(ring, F.lit(0)))).drop("ty", "tx", "n_points")
+    return nodes
+
+
 def neighbours(points: DataFrame, grid: DataFrame, radius: float | None = None, counted: DataFrame | None = None) -> DataFrame:
     """All points within a radius of each node, with the distance in metres.
 
@@ -168,16 +199,17 @@ def neighbours(points: DataFrame, grid: DataFrame, radius: float | None = None,
     of its points meeting every part of its nodes in a task of its own, so that a crowded place is
     joined by many tasks. The tile table has at most as many rows as the sphere has tiles. Where
     ``points`` is itself costly, ``counted`` may be any cheaper table of the same positions; it only
-    decides into how many parts the work is cut.
+    decides into how many parts the work is cut. Radii below the search radius have tiles of their own size.
     """
+    fine = radius is not None and radius < G.search_radius()
     radius = G.search_radius() if radius is None else radius
-    tiling = G.Tiling.for_radius(radius)
+    tiling = G.Tiling.fitting(radius) if fine else G.Tiling.for_radius(radius)
     left = tiling.around(points, "lat", "lon")
     nodes = grid.selectExpr("cell", "lat as cell_lat", "lon as cell_lon", "topo as cell_elev", "lc as cell_land")
     right = tiling.own(nodes, "cell_lat", "cell_lon")
     tiles = _tile_parts(tiling.around((points if counted is None else counted).select("lat", "lon"), "lat", "lon"), right)
-    # tiles are one degree or more, so there are 40,051 of them at most, of 24 bytes each
-    tiles = F.broadcast(tiles)
+    # tiles of one degree or more are 40,051 at most, of 24 bytes each; smaller ones can be many
+    tiles = tiles if fine else F.broadcast(tiles)
     key = ["ty", "tx", "point_part", "node_part"]
     left = (
         left.join(tiles, ["ty", "tx"])

@@ -6,6 +6,8 @@ import pytest
 
 from fcbias import params as P
 from fcbias.functions.geo import Tiling, search_radius
+from pyspark.sql import functions as F
+
 from fcbias.operators import interpolation as I
 from fcbias.operators import spatial as X
 
@@ -233,3 +235,84 @@ def test_far_points_do_not_meet_whole_grids(spark):
         block = p.selectExpr("*", "0 as level", "0 as ty", "0 as tx")
         candidates.append(X._far_candidates(block, tiled, tiled.select("cell", "cell_lat", "cell_lon")).count())
     assert candidates[1] < 2 * candidates[0] + 20 and max(candidates) < 20 * 100
+
+
+@pytest.mark.parametrize(("k", "share"), [(20, 0.25), (20, 0.8), (3, 0.6), (1, 0.5)])
+def test_leads_that_lack_points_equal_a_dense_solve(spark, scene, k, share):
+    """Downdated and bordered inverses, lists that run out, and leads of which a node has hardly a point."""
+    points, nodes = scene
+    rng = np.random.default_rng(k)
+    runs, leads = ["a", "b", "c"], [1, 2, 3]
+    rows = [(r, int(s), lead, float(b) * lead) for r in runs for lead in leads for s, b in zip(points.sid, points.bias) if rng.random() > share]
+    biases = spark.createDataFrame(rows, "analysistime string, sid int, leadtime int, bias double")
+    got = I.oi_analysis(spark.createDataFrame(points), biases, spark.createDataFrame(nodes), k).collect()
+    found = {(r.analysistime, r.leadtime, r.cell): r["diff"] for r in got}
+    assert len(found) == len(got)
+    checked = 0
+    for run in runs:
+        for lead in leads:
+            own = {s: b for r, s, at, b in rows if (r, at) == (run, lead)}
+            there = points[points.sid.isin(list(own))].assign(bias=lambda p: p.sid.map(own))  # noqa: B023
+            for node in nodes.itertuples():
+                want = dense_increment(there, node, k)
+                assert ((run, lead, node.cell) in found) == (want is not None)
+                if want is not None:
+                    assert found[run, lead, node.cell] == pytest.approx(want, abs=1e-9)
+                    checked += 1
+    assert checked > 300
+
+
+def test_pairs_are_formed_once_however_many_runs(spark, scene, monkeypatch):
+    points, nodes = (spark.createDataFrame(x) for x in scene)
+    calls = []
+    formed = I.barnes_weights
+    monkeypatch.setattr(I, "barnes_weights", lambda *a, **b: calls.append(1) or formed(*a, **b))
+    biases = points.select("sid", "bias", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("leadtime"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("analysistime"))
+    present = biases.where("(sid + leadtime * 3 + analysistime) % 7 != 0")
+    assert I.oi_analysis(points, present, nodes).select("analysistime", "leadtime").distinct().count() == 20
+    assert len(calls) == 1
+
+
+def city(rng, n):
+    """Points and nodes of a town of a fifth of a degree amid wide country."""
+    dense, wide = frame(rng, n, (60.1, 60.3), (24.8, 25.2), "sid"), frame(rng, 150, (58, 63), (20, 30), "sid")
+    points = points_of(pd.concat([dense, wide.assign(sid=wide.sid + n)], ignore_index=True))
+    town, country = frame(rng, 60, (60.15, 60.25), (24.9, 25.1), "cell"), frame(rng, 60, (58, 63), (20, 30), "cell")
+    return points, nodes_of(pd.concat([town, country.assign(cell=country.cell + 60)], ignore_index=True))
+
+
+def test_rings_find_the_best_points_of_a_dense_city(spark, monkeypatch):
+    """The same rows as the whole radius gives; pairs by the density close by, not by all points of the town."""
+    points, nodes = (spark.createDataFrame(x) for x in city(np.random.default_rng(9), 20_000))
+    key = ["cell", "sid", "rank"]
+    whole = I.barnes_weights(points, nodes)
+    want = X.top_neighbours(whole).select(*key).collect()
+    formed, pairs = I.barnes_weights, []
+
+    def counted(*args, **named):
+        found = formed(*args, **named)
+        pairs.append(found.count())
+        return found
+
+    monkeypatch.setattr(I, "barnes_weights", counted)
+    got = I.best_points(points, nodes).select(*key).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert len(pairs) > 2 and sum(pairs) < whole.count() / 5
+
+
+@pytest.mark.parametrize("edge", X.ring_radii(search_radius())[1:])
+def test_rings_lose_no_neighbour(spark, edge):
+    """Tiles of the size of a ring, with parts counted without a broadcast."""
+    points, nodes = city(np.random.default_rng(10), 900)
+    got = X.neighbours(spark.createDataFrame(points), spark.createDataFrame(nodes), edge).select("cell", "sid").collect()
+    distance = great_circle(nodes.lat.values[:, None], nodes.lon.values[:, None], points.lat.values, points.lon.values)
+    cells, at = np.nonzero(distance <= edge)
+    assert sorted(map(tuple, got)) == sorted(zip(nodes.cell.values[cells].tolist(), points.sid.values[at].tolist()))
+
+
+@pytest.mark.parametrize("edge", X.ring_radii(search_radius())[1:])
+def test_tile_counts_of_rings_are_not_on_an_edge(edge):
+    tiling = Tiling.fitting(edge)  # many more rows than above, so some come nearer; a sine is right to 1e-15
+    for row in tiling.rows:
+        n = tiling.columns_of(row)
+        assert n == 1.0 or (n >= 3 and abs(n - round(n)) > 1e-12 * n)
