@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import geo as G
+from ..functions import projection as PR
 from ..functions import scalar as S
 from ..operators import interpolation as I
 from ..operators import joins as J
@@ -15,7 +18,8 @@ from ..plans import correction as C
 from ..session import stored
 from ..sources.standins import ANALYSIS
 from .registry import query
-from .views import barnes_sql, haversine_sql, time_sql
+from .tables import _F, _N, _up, _x0, _y0
+from .views import barnes_sql, haversine_sql, nearest_sql, time_sql
 
 # --- inputs ----------------------------------------------------------------------------------------------------------
 
@@ -53,6 +57,23 @@ def join_nearest_cell(t):
     return X.nearest_cell(station_points(t), t.grid())
 
 
+SIDE = 2_250_000.0
+_SIDE = "(select ceil(sqrt(count(*))) from part)"
+_ON_GRID = f"""
+(select cell, degrees(2 * atan(power({_F} / sqrt(x*x + {_up}*{_up}), 1e0/{_N}))) - 90 as lat, degrees(atan2(x, {_up}) / {_N}) + 15 as lon, 0e0 as lc, 0e0 as topo
+ from (select cell, (cell % side) * ({SIDE} / side) + ({_x0}) as x, floor(cell / side) * ({SIDE} / side) + ({_y0}) as y
+  from (select side, unnest(range(0, cast(side * side as bigint))) as cell from (select cast({_SIDE} as bigint) as side) s) c) n)
+"""
+
+
+@query("nearest_on_grid", f"select sid, cast(cell as int) as cell, distance from ({nearest_sql('select sid, obs_lat as lat, obs_lon as lon from stations').replace('cross join grid g', f'cross join {_ON_GRID} g')}) x", "distance")
+def nearest_on_grid(t):
+    """Nearest node of a projected grid of as many nodes as parts; the northern stations lie outside of it."""
+    side = math.ceil(math.sqrt(t.table("part").count()))
+    grid = PR.ProjectedGrid(PR.Lambert(), side, side, SIDE / side, SIDE / side, P.FIRST_LAT, P.FIRST_LON)
+    return X.nearest_on_grid(station_points(t), grid)
+
+
 NAMES = ["t2", "ws", "wg", "rh", "wd", "nl", "ppa", "q2"]
 
 

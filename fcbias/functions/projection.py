@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -92,3 +92,38 @@ def grid_coordinates(projection, i, j, dx, dy, first_lat: float, first_lon: floa
     """Latitude and longitude of node (i, j) of a grid whose first node is given."""
     x0, y0 = projection.origin(first_lat, first_lon)
     return projection.inverse(col(i) * dx + F.lit(x0), col(j) * dy + F.lit(y0))
+
+
+@dataclass(frozen=True)
+class ProjectedGrid:
+    """A regular grid of a projection: node (i, j) is cell ``j * ni + i``. Steps are in metres, the larger at most four
+    times the smaller and at most 100 km, within which a projection bends less than a step."""
+
+    projection: Lambert | PolarStereographic
+    ni: int
+    nj: int
+    dx: float
+    dy: float
+    first_lat: float
+    first_lon: float
+
+    def __post_init__(self):
+        small, large = sorted((self.dx, self.dy))
+        if not 0 < small <= large <= min(4 * small, 100_000):
+            raise ValueError("steps must be positive, of like size and at most 100 km")
+
+    def coordinates(self, i, j) -> tuple[Column, Column]:
+        return grid_coordinates(self.projection, i, j, self.dx, self.dy, self.first_lat, self.first_lon)
+
+    def place(self, lat, lon) -> tuple[Column, Column]:
+        """Position of a point in steps from the first node along i and along j."""
+        x0, y0 = self.projection.origin(self.first_lat, self.first_lon)
+        x, y = self.projection.forward(lat, lon)
+        return (x - F.lit(x0)) / self.dx, (y - F.lit(y0)) / self.dy
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """All nodes: (cell, j, i, lat, lon)."""
+        cells = spark.range(self.ni * self.nj).select(F.col("id").cast("int").alias("cell"))
+        placed = cells.select("cell", F.floor(F.col("cell") / self.ni).cast("int").alias("j"), (F.col("cell") % self.ni).alias("i"))
+        lat, lon = self.coordinates("i", "j")
+        return placed.select("cell", "j", "i", lat.alias("lat"), lon.alias("lon"))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import geo as G
+from ..functions.projection import ProjectedGrid
+from ..session import stored
 
 # Tile sizes in degrees for the search of the nearest node, each at least five times the one before. At
 # the last one the block around a point is the whole sphere.
@@ -56,6 +58,8 @@ def nearest_cell(points: DataFrame, grid: DataFrame) -> DataFrame:
         .withColumn("level", F.expr(f"least(smallest + if(polar, 2, 1), {len(NEAREST_LEVELS) - 1})"))
         .withColumn("degrees", F.expr(f"element_at(array({sizes}), level + 1)"))
     )
+    # a row a point; boxes are planned only where a point is far
+    level = stored(level, "levels")
     centimetres = F.floor(G.haversine("lat", "lon", "cell_lat", "cell_lon") * 100 + 0.5)
     # distance and node in one number: its minimum is aggregated by hash, where a struct would be sorted
     packed = F.shiftleft(centimetres, 32) + F.col("cell")
@@ -64,13 +68,14 @@ def nearest_cell(points: DataFrame, grid: DataFrame) -> DataFrame:
     def block(of: DataFrame) -> DataFrame:
         return tiling.around(of.select(*place, "level", "degrees"), "lat", "lon")
 
-    near = block(level.where(F.col("smallest") < FAR)).join(tiled.where(f"level between 1 and {FAR + 1}"), tiles)
-    far = _far_candidates(block(level.where(F.col("smallest") >= FAR)), tiled.where(F.col("level") > FAR), nodes)
     columns = [*place, "cell", "cell_lat", "cell_lon"]
+    candidates = block(level.where(F.col("smallest") < FAR)).join(tiled.where(f"level between 1 and {FAR + 1}"), tiles).select(*columns)
+    distant = level.where(F.col("smallest") >= FAR)
+    if not distant.isEmpty():
+        far = _far_candidates(block(distant), tiled.where(F.col("level") > FAR), nodes)
+        candidates = candidates.unionByName(far.select(*columns))
     return (
-        near.select(*columns)
-        .unionByName(far.select(*columns))
-        .groupBy("sid")
+        candidates.groupBy("sid")
         .agg(F.min(packed).alias("best"))
         .select(
             "sid",
@@ -80,6 +85,33 @@ def nearest_cell(points: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
+def nearest_on_grid(points: DataFrame, grid: ProjectedGrid) -> DataFrame:
+    """Nearest node of a regular projected grid, as ``nearest_cell`` gives it, by arithmetic.
+
+    The projected point, rounded, is a node; the nearest on the sphere is that or one of the eight around it, whose
+    positions are worked out in the same row: no join, no shuffle. Points more than half a step outside the grid are
+    searched by tiles. Points without a position have no row.
+    """
+    along, up = grid.place("lat", "lon")
+    placed = points.where("lat is not null and lon is not null").select("sid", "lat", "lon", along.alias("along"), up.alias("up"))
+    inside = F.col("along").between(-0.5, grid.ni - 0.5) & F.col("up").between(-0.5, grid.nj - 0.5)
+    inside = F.coalesce(inside, F.lit(False))
+    packed = []
+    for dj in (-1, 0, 1):
+        for di in (-1, 0, 1):
+            i, j = F.rint("along").cast("int") + di, F.rint("up").cast("int") + dj
+            cell_lat, cell_lon = grid.coordinates(i, j)
+            centimetres = F.floor(G.haversine("lat", "lon", cell_lat, cell_lon) * 100 + 0.5)
+            number = F.shiftleft(centimetres, 32) + (j * grid.ni + i)
+            packed.append(F.when(i.between(0, grid.ni - 1) & j.between(0, grid.nj - 1), number))
+    near = placed.where(inside).select("sid", F.least(*packed).alias("best")).select(
+        "sid", F.expr("cast(best & 4294967295 as int)").alias("cell"), (F.shiftright("best", 32) / 100).alias("distance"))
+    outside = placed.where(~inside).select("sid", "lat", "lon")
+    if outside.isEmpty():
+        return near
+    return near.unionByName(nearest_cell(outside, grid.nodes(points.sparkSession)))
+
+
 def _far_candidates(block: DataFrame, tiled: DataFrame, nodes: DataFrame) -> DataFrame:
     """Nodes that can be nearest to points far from the grid, among those of the tiles of ``block``.
 

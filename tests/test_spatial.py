@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from fcbias import params as P
+from fcbias.functions import projection as PR
 from fcbias.functions.geo import Tiling, search_radius
 from pyspark.sql import functions as F
 
@@ -316,3 +317,36 @@ def test_tile_counts_of_rings_are_not_on_an_edge(edge):
     for row in tiling.rows:
         n = tiling.columns_of(row)
         assert n == 1.0 or (n >= 3 and abs(n - round(n)) > 1e-12 * n)
+
+
+@pytest.mark.parametrize("projection", [PR.Lambert(), PR.PolarStereographic(60.0, 20.0)])
+@pytest.mark.parametrize("step", [(40_000.0, 40_000.0), (2500.0, 7000.0)])
+def test_nearest_on_a_projected_grid(spark, projection, step):
+    """Points inside, on the edge, far outside and without a position; the same cells as all distances give."""
+    grid = PR.ProjectedGrid(projection, 30, 25, *step, 55.0, 10.0)
+    nodes = grid.nodes(spark).toPandas()
+    rng = np.random.default_rng(5)
+    low, high = nodes.min(), nodes.max()
+    spread = [frame(rng, 300, (low.lat, high.lat), (low.lon, high.lon), "sid"), frame(rng, 40, (40, 75), (-20, 60), "sid")]
+    edge = nodes[(nodes.i % 29 == 0) | (nodes.j % 24 == 0)].assign(sid=lambda n: n.cell)[["sid", "lat", "lon"]]
+    points = pd.concat([*spread, edge, edge.assign(lat=edge.lat + 0.004)], ignore_index=True).assign(sid=lambda p: range(len(p)))
+    got = X.nearest_on_grid(spark.createDataFrame(points), grid).toPandas().set_index("sid")
+    distance = np.floor(great_circle(points.lat.values[:, None], points.lon.values[:, None], nodes.lat.values, nodes.lon.values) * 100 + 0.5)
+    assert len(got) == len(points) and (got.index.nunique() == len(points))
+    assert np.abs(got.loc[points.sid, "distance"].values * 100 - distance.min(1)).max() <= 1
+    clear = np.sort(distance, 1)[:, 1] - distance.min(1) > 2
+    assert (got.loc[points.sid, "cell"].values == nodes.cell.values[distance.argmin(1)])[clear].all() and clear.sum() > 300
+    nowhere = spark.createDataFrame([(1, None, 3.0)], "sid int, lat double, lon double")
+    assert X.nearest_on_grid(nowhere, grid).collect() == []
+
+
+def test_nearest_on_a_grid_has_no_shuffle(spark):
+    grid = PR.ProjectedGrid(PR.Lambert(), 30, 25, 40_000.0, 40_000.0, 55.0, 10.0)
+    points = spark.createDataFrame([(1, 57.0, 15.0)], "sid int, lat double, lon double")
+    text = X.nearest_on_grid(points, grid)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Join" not in text
+
+
+def test_unlike_steps_are_refused():
+    with pytest.raises(ValueError):
+        PR.ProjectedGrid(PR.Lambert(), 30, 25, 1000.0, 40_000.0, 55.0, 10.0)
