@@ -201,21 +201,32 @@ def observation_qc(t):
 # --- stream -------------------------------------------------------------------------------------------------------------
 
 
-@query("stream_crowd_window", """
-select window_start, window_start + interval '10' minute as window_end, latitude, longitude, ts, event_id, value from (
- select *, row_number() over (partition by window_start, latitude, longitude order by ts, event_id) as rn from (
-  select *, time_bucket(interval '10' minute, ts, timestamp '1970-01-01 00:00:00') as window_start from crowd_events) w) x
-where rn = 1
-""", "latitude longitude value")
+_FIRST_SQL = """
+select w.*, coalesce(n_stations, 0) as n_stations, height from (
+ select window_start, window_start + interval '10' minute as window_end, latitude, longitude, ts, event_id, value from (
+  select *, row_number() over (partition by window_start, latitude, longitude order by ts, event_id) as rn from (
+   select *, time_bucket(interval '10' minute, ts, timestamp '1970-01-01 00:00:00') as window_start from crowd_events) b) r
+ where rn = 1) w
+left join (select floor(obs_lat) as lat_degree, floor(obs_lon) as lon_degree, count(*) as n_stations, avg(obs_elevation) as height from stations group by all) s
+ on s.lat_degree = floor(latitude) and s.lon_degree = floor(longitude)
+"""
+
+
+def _utc(df):
+    return df.withColumns({c: S.instant_to_utc(c) for c in ("window_start", "window_end", "ts")})
+
+
+@query("crowd_window_table", _FIRST_SQL, "latitude longitude value height")
+def crowd_window_table(t):
+    """The first reports of all windows of a table, the open ones too, with the stations of their square."""
+    return _utc(SC.beside_stations(SC.first_per_window(t.crowd_events()), SC.stations_by_degree(t.stations())))
+
+
+@query("stream_crowd_window", f"select * from ({_FIRST_SQL}) f where window_end <= (select date_trunc('milliseconds', max(ts)) - interval '10' minute from crowd_events)", "latitude longitude value height")
 def stream_crowd_window(t):
-    """The feed read as a stream until its end: the windows the watermark has closed, and from the table those still open."""
+    """The feed read as a stream until its end: the windows that the watermark has closed, and no other rows."""
     events = t.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(t.folder)
     out, checkpoint = new_folder(t.spark, "stream-out"), new_folder(t.spark, "stream-checkpoint")
-    SC.run_once(SC.first_per_window(crowd_feed(events)), out, checkpoint)
-    table = SC.first_per_window(t.crowd_events())
-    closed = t.spark.read.schema(table.schema).parquet(out)
-    place = ["window_start", "latitude", "longitude"]
-    whole = closed.unionByName(table.join(closed.select(*place), place, "left_anti"))
-    return whole.withColumns({c: S.instant_to_utc(c) for c in ("window_start", "window_end", "ts")})
-
-
+    first = SC.beside_stations(SC.first_per_window(crowd_feed(events)), SC.stations_by_degree(t.stations()))
+    SC.run_once(first, out, checkpoint)
+    return _utc(t.spark.read.schema(first.schema).parquet(out))

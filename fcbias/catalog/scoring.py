@@ -84,6 +84,12 @@ def density_at_points(t):
     return A.density_at_points(observed_and_forecast(t), "x", "y").drop("bx", "by")
 
 
+@query("density_by_spline")
+def density_by_spline(t):
+    """Density by a spline through the bin centres; checked in the tests against B-splines."""
+    return A.density_by_spline(observed_and_forecast(t), "x", "y")
+
+
 @query("sort_by_density", f"select row_number() over (order by floor(density*1e9 + 0.5), sid, fcdate, leadtime) as place, sid, fcdate, leadtime, density from ({DENSITY_SQL}) d", "density")
 def sort_by_density(t):
     """Densest points last, with the place of each."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,7 +94,7 @@ def hist2d_density(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> Da
 
 
 def with_bins(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFrame:
-    """Points with their bin, the area of a bin and the number of points.
+    """Points with their bin, the area of a bin, the number of points, and their place in steps of a bin (_px, _py).
 
     A range of zero is widened by one half on both sides. A value on an edge belongs to the bin above,
     also if the last bits of the arithmetic put it just below.
@@ -113,6 +116,10 @@ def with_bins(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFra
         low, width = low_width(lo, hi)
         return F.least(F.lit(bins - 1), F.floor((F.col(c) - low) / width * bins + 1e-9).cast("int"))
 
+    def steps_of(c: str, lo: str, hi: str) -> Column:
+        low, width = low_width(lo, hi)
+        return (F.col(c) - low) / width * bins
+
     area = low_width("x0", "x1")[1] / bins * low_width("y0", "y1")[1] / bins
     return (
         points.withColumn("edges", edges)
@@ -120,6 +127,8 @@ def with_bins(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFra
             {
                 "bx": bin_of(x, "x0", "x1"),
                 "by": bin_of(y, "y0", "y1"),
+                "_px": steps_of(x, "x0", "x1"),
+                "_py": steps_of(y, "y0", "y1"),
                 "cell_area": area,
                 "total": F.col("edges")["n"],
             }
@@ -131,11 +140,59 @@ def with_bins(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFra
 def density_at_points(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFrame:
     """Points with the density of their bin. The histogram has at most ``bins`` squared rows."""
     histogram = hist2d_density(df, x, y, bins).select("bx", "by", "density")
-    binned = with_bins(df, x, y, bins).drop("cell_area", "total")
+    binned = with_bins(df, x, y, bins).drop("cell_area", "total", "_px", "_py")
     joined = binned.join(F.broadcast(histogram), ["bx", "by"], "left")
     return joined.withColumn("density", F.coalesce("density", F.lit(0.0)))
 
 
+def spline_pieces(n: int) -> np.ndarray:
+    """Cubic spline through n equidistant values, not-a-knot, as a linear map: [interval, power, value] for the offset
+    from the interval's left end in steps."""
+    values = np.eye(n)
+    system, right = np.zeros((n, n)), np.zeros((n, n))
+    for i in range(1, n - 1):
+        system[i, i - 1 : i + 2] = 1, 4, 1
+        right[i] = 6 * (values[i - 1] - 2 * values[i] + values[i + 1])
+    system[0, :3] = system[-1, -3:] = 1, -2, 1
+    bend = np.linalg.solve(system, right)
+    low, high = bend[:-1], bend[1:]
+    return np.stack([values[:-1], values[1:] - values[:-1] - (2 * low + high) / 6, low / 2, (high - low) / 6], axis=1)
+
+
+def density_by_spline(df: DataFrame, x: str, y: str, bins: int = P.HIST_BINS) -> DataFrame:
+    """Points with the density of a bicubic spline through the centres of the bins; beyond the outer centres it is 0.
+
+    The spline is the one that interpolates the histogram without a knot next to its edge. The histogram, at most
+    ``bins`` (4 to 200) squared rows, goes to the driver; what comes back is a row of 16 coefficients for each square between four
+    centres, which the points meet on their square and evaluate as an expression.
+    """
+    if not 4 <= bins <= 200:
+        raise ValueError("bins must be from 4 to 200")
+    density = np.zeros((bins, bins))
+    for row in hist2d_density(df, x, y, bins).collect():
+        density[row.bx, row.by] = row.density
+    pieces = spline_pieces(bins)
+    squares = np.einsum("iak,kl,jbl->ijab", pieces, density, pieces, optimize=True)
+    used = np.argwhere(np.abs(squares).max(axis=(2, 3)) > 0)
+    rows = [(int(i), int(j), squares[i, j].ravel().tolist()) for i, j in used]
+    table = df.sparkSession.createDataFrame(rows, "sx int, sy int, terms array<double>")
+    placed = with_bins(df, x, y, bins)
+    # offsets from the first centre in steps; the last centre belongs to the square before it
+    offsets = {name: F.col(f"_p{name}") - 0.5 for name in "xy"}
+    inside = [o.between(0.0, bins - 1.0) for o in offsets.values()]
+    square = {f"s{name}": F.least(F.lit(bins - 2), F.floor(o).cast("int")) for name, o in offsets.items()}
+    placed = placed.withColumns({k: F.when(inside[0] & inside[1], v) for k, v in square.items()})
+    joined = placed.join(F.broadcast(table), ["sx", "sy"], "left")
+    u, v = offsets["x"] - F.col("sx"), offsets["y"] - F.col("sy")
+
+    def horner(terms: list[Column], at: Column) -> Column:
+        return reduce(lambda total, term: total * at + term, reversed(terms))
+
+    value = horner([horner([F.col("terms")[4 * a + b] for b in range(4)], v) for a in range(4)], u)
+    kept = [c for c in joined.columns if c not in ("sx", "sy", "terms", "_px", "_py", "bx", "by", "cell_area", "total")]
+    return joined.select(*kept, F.coalesce(value, F.lit(0.0)).alias("density"))
+
+
 # Equal steps into which the bracket around a quantile is cut.
 STEPS = 1024
 
