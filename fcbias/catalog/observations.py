@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import quality as Q
+from ..operators import states as ST
 from ..plans import correction as C
-from ..session import new_folder
+from ..session import new_folder, stored
 from ..sources.standins import SCHEMAS, crowd_feed
 from ..streaming import crowd as SC
 from .registry import query
@@ -105,6 +106,16 @@ def zscore_global(t):
     return flagged.where(~F.col("is_outlier")).select("sid", "validdate", "event_id", "ta")
 
 
+@query("zscore_merged", f"select * from ({BY_TIME}) s", "ta mean std z lower upper")
+def zscore_merged(t):
+    """Moments kept of the reports in time, with those of the late ones merged in: the z-scores of all together."""
+    late = F.col("event_id") % 5 == 0
+    kept = stored(ST.moments(t.obs_qc().where(~late), "ta", ["validdate"]), "moments")
+    merged = ST.merge_moments(kept.unionByName(ST.moments(t.obs_qc().where(late), "ta", ["validdate"])), ["validdate"])
+    scored = ST.zscore_of(t.obs_qc(), merged, "ta", ["validdate"], "validdate", "T2m")
+    return scored.withColumn("month", F.col("month").cast("bigint"))
+
+
 @query("anti_outliers", f"select event_id, sid, validdate, ta from ({BY_TIME}) s where not is_outlier", "ta")
 def anti_outliers(t):
     """Values that are not in the list of outliers of their time."""

@@ -63,7 +63,12 @@ def zscore(df: DataFrame, value: str, group: list[str], time: str, model: str) -
     """
     clean = df.withColumn(value, S.nan_to_null(value))
     stats = clean.groupBy(*group).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
-    scored = clean.join(stats, group, "left").withColumn("z", F.try_divide(F.col(value) - F.col("mean"), F.col("std")))
+    return zscore_with(clean, stats, value, group, time, model)
+
+
+def zscore_with(df: DataFrame, stats: DataFrame, value: str, group: list[str], time: str, model: str) -> DataFrame:
+    """z-scores by the ``mean`` and ``std`` of each group."""
+    scored = df.join(stats, group, "left").withColumn("z", F.try_divide(F.col(value) - F.col("mean"), F.col("std")))
     outlier = F.coalesce((F.col("z") > F.col("upper")) | (F.col("z") < F.col("lower")), F.lit(False))
     return join_month_limits(scored, time, model).withColumn("is_outlier", outlier)
 
