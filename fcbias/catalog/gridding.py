@@ -57,7 +57,7 @@ def join_nearest_cell(t):
     return X.nearest_cell(station_points(t), t.grid())
 
 
-SIDE = 2_250_000.0
+SIDE = 1_400_000.0
 _SIDE = "(select ceil(sqrt(count(*))) from part)"
 _ON_GRID = f"""
 (select cell, degrees(2 * atan(power({_F} / sqrt(x*x + {_up}*{_up}), 1e0/{_N}))) - 90 as lat, degrees(atan2(x, {_up}) / {_N}) + 15 as lon, 0e0 as lc, 0e0 as topo
