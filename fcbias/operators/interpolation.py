@@ -48,9 +48,12 @@ def best_points(points: DataFrame, grid: DataFrame, k: int = P.MAX_POINTS, count
     enough for a ring, this is one search of the whole radius. Each ring stores k rows a node.
     """
     radius = G.search_radius()
-    started = spatial.first_rings(points if counted is None else counted, grid, k, radius)
+    places = points if counted is None else counted
+    if spatial.crowded_tiles(places, k).isEmpty():
+        return spatial.top_neighbours(barnes_weights(points, grid, counted), k)
+    started = spatial.first_rings(places, grid, k, radius)
     present = sorted((r.ring for r in started.select("ring").distinct().collect()), reverse=True)  # RINGS rows at most
-    if not present or present == [0]:
+    if not present:
         return spatial.top_neighbours(barnes_weights(points, grid, counted), k)
     found, waiting = None, None
     for ring, edge in reversed(list(enumerate(spatial.ring_radii(radius)))):
@@ -206,8 +209,8 @@ def oi_analysis(points: DataFrame, biases: DataFrame, grid: DataFrame, k: int =
     number = (F.col("place") - 1).alias("number")
     scenes = with_place(known.select(*scene).distinct(), scene).select(*scene, number)
     sids = known.select("sid").distinct()
-    of_scenes = scenes.count()
-    complete = known.count() == of_scenes * sids.count()
+    sizes = known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*scene)).alias("scenes"), F.count_distinct("sid").alias("sids")).first()
+    of_scenes, complete = sizes.scenes, sizes.n == sizes.scenes * sizes.sids
     listed = k if complete else 2 * k + 1
     best = best_points(points.join(sids, "sid", "left_semi"), grid, listed, counted)
     best = best.withColumn("listed", F.count(F.lit(1)).over(Window.partitionBy("cell")))

@@ -203,6 +203,11 @@ def ring_radii(radius: float) -> list[float]:
     return [radius / 2**i for i in range(RINGS)]
 
 
+def crowded_tiles(points: DataFrame, k: int) -> DataFrame:
+    """Tiles of one degree, at most 40,051, in which rings are worth their jobs."""
+    return G.Tiling(1.0).own(points, "lat", "lon").groupBy("ty", "tx").agg(F.count(F.lit(1)).alias("n_points")).where(F.col("n_points") >= RING_WORTH * k)
+
+
 def first_rings(points: DataFrame, grid: DataFrame, k: int, radius: float) -> DataFrame:
     """The nodes with the ``ring`` to begin with: the smallest that the density in the node's own tile fills with
     RING_FILL times k points, by tiles of one degree with RING_WORTH times k points, and by tiles of an eighth of a
