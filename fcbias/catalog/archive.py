@@ -11,7 +11,7 @@ from ..operators import joins as J
 from ..operators import prepare as R
 from ..plans import training as T
 from ..session import new_folder
-from ..sources import sinks, tables
+from ..sources import replace, sinks, tables
 from ..sources.standins import ANALYSIS, StandIns
 from .registry import query
 
@@ -86,6 +86,35 @@ def sink_merged_narrow(t):
     return by_parameter(t.spark.read.parquet(narrow_archive(t)))
 
 
+@query(
+    "replace_month",
+    """
+select yyyymm, parameter, count(*) as n, avg(value) as mean, max(source) as source, max(delivery) as delivery from (
+ select cast(year(fcdate)*100 + month(fcdate) as int) as yyyymm, parameter,
+  case when year(fcdate)*100 + month(fcdate) in (199701, 199704) and parameter = 'T2m' then value + 1 else value end as value,
+  case when year(fcdate)*100 + month(fcdate) in (199701, 199704) then 'corrected' else 'first' end as source,
+  cast(case when year(fcdate)*100 + month(fcdate) in (199701, 199704) then 2 else 1 end as int) as delivery
+ from fc_narrow) x group by 1, 2
+""",
+    "mean",
+)
+def replace_month(t):
+    """Two months delivered again with other temperatures: their folders alone are written, the manifest says from what."""
+
+    def write(path: str) -> None:
+        rows = t.fc_narrow().withColumn("yyyymm", S.yyyymm("fcdate"))
+        replace.replace_folders(rows, path, "yyyymm", "first")
+        warmer = F.when(F.col("parameter") == "T2m", F.col("value") + 1).otherwise(F.col("value"))
+        replace.replace_folders(rows.withColumn("value", warmer), path, "yyyymm", "corrected", [199701, 199704])
+
+    path = written(t, "monthly", write)
+    archive = t.spark.read.parquet(path)
+    months = archive.groupBy("yyyymm", "parameter").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
+    # one row per month
+    listed = replace.manifest(t.spark, path, archive.schema["yyyymm"]).select("yyyymm", "source", "delivery")
+    return months.join(F.broadcast(listed), "yyyymm")
+
+
 @query(
     "select_months",
     """

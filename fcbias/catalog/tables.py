@@ -13,8 +13,9 @@ from ..operators import joins as J
 from ..operators import prepare as R
 from ..operators import quality as Q
 from ..plans import training as T
+from ..sources import buckets, tables
 from ..sources.standins import ANALYSIS, FOLDS
-from .archive import training_archive
+from .archive import training_archive, written
 from .registry import query
 from .views import barnes_sql, haversine_sql, time_sql, training_doubles, training_sql
 
@@ -92,6 +93,26 @@ def build_training_table(t):
     return T.build_training_table(t.fc_narrow(), t.obs())
 
 
+REACH_HOURS, BUCKETS = 12, 8
+
+
+def bucketed(t, label: str, write):
+    """Name of a bucketed table that this session has written once for a folder of test tables."""
+    path = written(t, label, lambda path: write(f"fcbias_{path.rsplit('/', 1)[-1].replace('-', '_')}", path))
+    return t.spark.table(f"fcbias_{path.rsplit('/', 1)[-1].replace('-', '_')}")
+
+
+def bucketed_narrow(t):
+    return bucketed(t, "buckets-narrow", lambda name, path: buckets.write_narrow(t.fc_narrow(), name, path, BUCKETS))
+
+
+@query("build_training_table_bucketed", "select * from training", f"{SITE} {WIDE} {OBS} {ERRORS} {BIAS0} {BIAS1}")
+def build_training_table_bucketed(t):
+    """Both inputs stored in buckets by station and day of the run: built without a shuffle."""
+    days = bucketed(t, "buckets-obs", lambda name, path: buckets.write_observations(t.obs(), name, path, BUCKETS, REACH_HOURS))
+    return T.training_table_of_buckets(bucketed_narrow(t), days, REACH_HOURS)
+
+
 REPEATED = f"sid, fcdate, leadtime, validdate, t2m, ta_pt1m_avg, {ERRORS}, {BIAS0}, {BIAS1}".replace(" ", ", ").replace(",,", ",")
 
 
@@ -103,6 +124,16 @@ def build_training_table_repeated(t):
     return T.build_training_table(t.fc_narrow(), obs).select(*REPEATED.split(", "))
 
 
+@query("build_training_table_bucketed_repeated", f"select {REPEATED} from training_repeated where year(fcdate) = 1997", f"t2m ta_pt1m_avg {ERRORS} {BIAS0} {BIAS1}")
+def build_training_table_bucketed_repeated(t):
+    """Repeated observations from buckets; folders of two half-years are all that is read."""
+    renamed = {"rh": "rh_pt1m_avg", "ta": "ta_pt1m_avg", "wg": "wg_pt1h_max", "wsp": "ws_pt10m_avg"}
+    obs = Q.coalesce_wind(t.obs_raw()).drop("ws", "producer").withColumnsRenamed(renamed)
+    days = bucketed(t, "buckets-raw", lambda name, path: buckets.write_observations(obs, name, path, BUCKETS, REACH_HOURS))
+    year = F.col("period").isin("1997q12", "1997q34")
+    return T.training_table_of_buckets(bucketed_narrow(t).where(year), days.where(year), REACH_HOURS).select(*REPEATED.split(", "))
+
+
 @query("dropna_all_subset", "select count(*) as n, count(ta_pt1m_avg) as n_ta, count(wg_pt1h_max) as n_wg from fc_err where coalesce(rh_pt1m_avg, ta_pt1m_avg, ws_pt10m_avg, wg_pt1h_max) is not null")
 def dropna_all_subset(t):
     return R.with_any(errors(t)).agg(
@@ -224,7 +255,8 @@ from training where year(fcdate) between 1996 and 1998 group by 1, 2
 )
 def union_periods(t):
     """Three years stacked, the last days of the middle year's months held out."""
-    years = training(t).where(F.year("fcdate").between(1996, 1998))
+    periods = [f"{year}{half}" for year in (1996, 1997, 1998) for half in ("q12", "q34")]
+    years = tables.read_periods(t.spark, training_archive(t), periods).drop("period")
     train, test = T.training_split(years, ["1997q12", "1997q34"])
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return both.groupBy("part", F.year("fcdate").cast("bigint").alias("year")).agg(

@@ -48,13 +48,30 @@ def lead_bias_window(df: DataFrame) -> DataFrame:
     )
 
 
-def lead_biases_of_run(df: DataFrame, keep: Column | None = None) -> DataFrame:
+def join_listed_obs(wide: DataFrame, days: DataFrame, reach_hours: int) -> DataFrame:
+    """As ``join_obs`` with observations listed per station and day of the run, which are the only join keys.
+
+    The lists hold what runs of that day reach within ``reach_hours``; a forecast beyond fails the job rather than
+    going without its observations.
+    """
+    ahead = F.timestamp_diff("MICROSECOND", F.col("fcdate"), F.col("validdate"))
+    beyond = (ahead < 0) | (ahead > reach_hours * 3_600_000_000)
+    joined = wide.join(days, ["sid", "run_day"], "left")
+    fields = [f.name for f in days.schema["seen"].dataType.elementType]
+    named = [F.when(beyond, F.raise_error(F.lit("a forecast lies beyond the reach of the listed observations")))]
+    same = F.filter("seen", lambda o: o["validdate"] == F.coalesce(*named, F.col("validdate")))
+    values = F.transform(same, lambda o: F.struct(*[o[f].alias(f) for f in fields if f != "validdate"]))
+    return joined.select(*wide.columns, F.inline_outer(values))
+
+
+def lead_biases_of_run(df: DataFrame, keep: Column | None = None, by=("sid", "fcdate")) -> DataFrame:
     """Both lead biases with one shuffle, also where rows repeat: they multiply as with ``join_lead_bias``.
 
     The rows of lead 0 and of lead 1 become two lists beside the rows of their run and are opened out again. A list is as
     long as a station has observations of one hour. ``keep`` says which rows are wanted; all of them still give biases.
+    ``by`` names station and run, and what the rows are already laid out by.
     """
-    run = Window.partitionBy("sid", "fcdate")
+    run = Window.partitionBy(*by)
 
     def rows_at(lead: int):
         names = [F.col(p.error).alias(p.bias0 if lead == 0 else p.bias1) for p in P.PARAMETERS.values()]

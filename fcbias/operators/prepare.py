@@ -9,14 +9,17 @@ from .. import params as P
 from ..functions import scalar as S
 
 
-def pivot_avg(narrow: DataFrame, value: str = "value") -> DataFrame:
-    """Narrow to wide: the mean per parameter and the number of narrow rows, in one aggregation."""
+def pivot_avg(narrow: DataFrame, value: str = "value", keys=()) -> DataFrame:
+    """Narrow to wide: the mean per parameter and the number of narrow rows, in one aggregation.
+
+    ``keys`` are further columns to group by, such as those that the archive is laid out by.
+    """
     wanted = narrow.where(F.col("parameter").isin(list(P.NARROW_TO_WIDE)))
     means = [
         F.avg(F.when(F.col("parameter") == name, S.nan_to_null(value))).alias(wide)
         for name, wide in P.NARROW_TO_WIDE.items()
     ]
-    return wanted.groupBy(*P.NARROW_KEYS).agg(*means, F.count(F.lit(1)).alias("rows_n"))
+    return wanted.groupBy(*P.NARROW_KEYS, *keys).agg(*means, F.count(F.lit(1)).alias("rows_n"))
 
 
 def thin_leads(df: DataFrame, first_hour: int = 0) -> DataFrame:

@@ -11,9 +11,9 @@ from ..operators import joins as J
 from ..operators import prepare as R
 
 
-def forecast_wide(narrow: DataFrame) -> DataFrame:
+def forecast_wide(narrow: DataFrame, keys=()) -> DataFrame:
     """Wide forecasts with temperature in degrees Celsius."""
-    return R.pivot_avg(narrow).withColumn("t2m", S.kelvin_to_celsius("t2m"))
+    return R.pivot_avg(narrow, keys=keys).withColumn("t2m", S.kelvin_to_celsius("t2m"))
 
 
 def forecast_errors(narrow: DataFrame, obs: DataFrame) -> DataFrame:
@@ -30,6 +30,16 @@ def build_training_table(narrow: DataFrame, obs: DataFrame) -> DataFrame:
     return J.lead_biases_of_run(errors, keep=R.any_of(P.OBS_COLUMNS))
 
 
+def training_table_of_buckets(narrow: DataFrame, days: DataFrame, reach_hours: int) -> DataFrame:
+    """The same from the tables of ``sources.buckets``, without a shuffle; half-years filtered on ``period`` are all that is read.
+
+    Pivot, join and lead biases all group by the buckets' keys, station and day of the run, and more.
+    """
+    wide = forecast_wide(narrow, keys=["run_day"])
+    errors = R.without_helpers(J.with_errors(J.join_listed_obs(wide, days.select("sid", "run_day", "seen"), reach_hours)))
+    return J.lead_biases_of_run(errors, keep=R.any_of(P.OBS_COLUMNS), by=("sid", "run_day", "fcdate")).drop("run_day")
+
+
 def feature_table_train(training: DataFrame, param: str, keep=()) -> DataFrame:
     """Training table to the complete feature rows of one parameter, as 32-bit floats."""
     ranged = R.within_physical_range(training, param)
