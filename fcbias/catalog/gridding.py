@@ -16,7 +16,9 @@ from ..operators import quality as Q
 from ..operators import spatial as X
 from ..plans import correction as C
 from ..session import stored
+from ..sources import bands
 from ..sources.standins import ANALYSIS
+from .archive import messages, written
 from .registry import query
 from .tables import _F, _N, _up, _x0, _y0
 from .views import barnes_sql, haversine_sql, nearest_sql, time_sql
@@ -83,6 +85,24 @@ def join_field_values(t):
     return X.sample_fields(near, t.grid_fc().where("leadtime >= 1"), NAMES)
 
 
+@query(
+    "sample_bands",
+    """
+select sid, param, timestamp '2024-07-01 00:00:00' as analysistime, timestamp '2024-07-01 00:00:00' + interval '1' hour * leadtime as forecasttime,
+ leadtime, case when param = 't2' then t2 else ws end as value
+from near_stations n join grid_fc g on g.cell = n.cell cross join (values ('t2'), ('ws')) p(param)
+""",
+    "value",
+)
+def sample_bands(t):
+    """Two fields at the nodes of all stations from messages stored in bands of four rows."""
+    both = messages(t, "t2").unionByName(messages(t, "ws"))
+    path = written(t, "bands", lambda path: bands.write_bands(both, path, 4))
+    near = X.nearest_cell(station_points(t), t.grid())
+    nodes = near.select("sid", F.floor(F.col("cell") / 50).cast("int").alias("j"), (F.col("cell") % 50).cast("int").alias("i"))
+    return bands.sample_bands(t.spark.read.parquet(path), nodes, ["t2", "ws"])
+
+
 @query("union_lead_rows", "select leadtime, count(*) as n, avg(t2) as t2, avg(ws) as ws from near_stations n join grid_fc g on g.cell = n.cell where leadtime >= 1 group by leadtime", "t2 ws")
 def union_lead_rows(t):
     """Rows of all leads from a long grid, by one join instead of one per lead."""
