@@ -49,6 +49,15 @@ def train(df: DataFrame, param: str, settings: P.TreeSettings | None = None, min
     return fitted
 
 
+def gathered(df: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
+    """Rows in no more tasks than their number asks for, after counting them.
+
+    Every level of every tree is a job over all rows, so a small table in many tasks spends its time on starting them. A
+    table of more rows keeps the tasks it has.
+    """
+    return df.coalesce(max(1, -(-df.count() // rows_per_task)))
+
+
 def predict(df: DataFrame, model: PipelineModel, name: str = "prediction") -> DataFrame:
     """Add a model's prediction under a name."""
     return model.transform(df).withColumnRenamed("prediction", name).drop("features")

@@ -77,3 +77,11 @@ def test_whole_job(spark, folder):
 def test_labels(spark):
     table = spark.createDataFrame([tuple([1.0] * 16)], ", ".join(f"{c} double" for c in ["wsero", *P.FEATURES["WS"][:15]]))
     assert R.target_and_features(table.withColumn("hour_cos", F.lit(1.0)), "WS").columns == ["label", *P.FEATURES["WS"]]
+
+
+def test_few_rows_come_in_few_tasks(spark):
+    rows = spark.range(0, 1000, 1, 16)
+    assert M.gathered(rows).rdd.getNumPartitions() == 1
+    assert M.gathered(rows, 300).rdd.getNumPartitions() == 4
+    assert M.gathered(rows, 10).rdd.getNumPartitions() == 16
+    assert M.gathered(rows.limit(0)).count() == 0

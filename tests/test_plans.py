@@ -10,7 +10,8 @@ from fcbias.catalog.archive import narrow_archive, training_archive
 from fcbias.operators import prepare as R
 from fcbias.sources import sinks, tables
 
-EAGER = {"stream_crowd_window"}
+# what comes before the last plan is done when the query is called: a stream, or minutes of fits
+EAGER = {"stream_crowd_window"} | {name for name in ORACLES if name.startswith("published_fit_")}
 
 
 def plan(df) -> str:
