@@ -166,13 +166,10 @@ def _double(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def _answers(graph: Graph | None, points: np.ndarray, ids: list[np.ndarray], queries: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _answers(graph: Graph, points: np.ndarray, ids: list[np.ndarray], queries: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each query the ``wanted`` best ids of the shard: (query row, id, inner product in double precision)."""
-    if graph is None:
-        found = np.tile(np.arange(len(points)), (len(queries), 1))
-    else:
-        extended = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
-        found, _ = graph.search(extended, SEARCH_BEAM)
+    extended = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
+    found, _ = graph.search(extended, SEARCH_BEAM)
     row, column = np.nonzero(found >= 0)
     node = found[row, column]
     score = (queries[row] * points[node]).sum(1)
@@ -232,7 +229,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
                 if ready is None:
                     points = np.concatenate(parts)
                     lift = np.sqrt(np.maximum(top - (points**2).sum(1), 0))
-                    ready = (Graph(np.concatenate([points, lift[:, None]], 1)) if len(points) > 4 * SEARCH_BEAM else None, points)
+                    ready = (Graph(np.concatenate([points, lift[:, None]], 1)), points)
                 for i in range(0, part.num_rows, AT_ONCE):
                     some = part.slice(i, AT_ONCE)
                     row, vec, score = _answers(*ready, ids, _double(some.column("embedding")), wanted)
