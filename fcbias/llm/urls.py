@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from .shared import kept
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Suffixes whose statistics are sent to every scan at most; with more, pages are shuffled by suffix.
-BROADCAST_SUFFIXES = 100_000
-FEATURES = ["url_length", "host_length", "path_length", "labels", "depth", "digit_ratio", "entropy", "parameters", "hyphens", "suffix_rate", "suffix_known"]
+#: Hosts, or suffixes, whose counts are sent to every scan at most; with more, pages are shuffled by them.
+BROADCAST_ROWS = 100_000
+#: Labels at the end of a host that its statistics are taken over.
+SUFFIXES = {"suffix": r"[^.]*$", "domain": r"[^.]*(?:\.[^.]*)?$"}
+FEATURES = ["url_length", "host_length", "path_length", "labels", "depth", "digit_ratio", "entropy", "parameters", "hyphens", "suffix_rate", "suffix_known", "domain_rate", "domain_known"]
 
 
 @dataclass(frozen=True)
@@ -70,10 +72,10 @@ def _entropy(text: Column) -> Column:
 
 
 def lexical(pages: DataFrame) -> DataFrame:
-    """Add the features that a URL has on its own, and its suffix, the last label of the host."""
+    """Add the features that a URL has on its own, and the last label and the last two labels of its host."""
     url, n = F.coalesce("url", F.lit("")), F.char_length(F.coalesce("url", F.lit("")))
     return pages.withColumns({
-        "suffix": F.regexp_extract("host", r"[^.]*$", 0),
+        **{name: F.regexp_extract("host", pattern, 0) for name, pattern in SUFFIXES.items()},
         "url_length": n.cast("double"),
         "host_length": F.char_length("host").cast("double"),
         "path_length": F.char_length("path").cast("double"),
@@ -86,25 +88,44 @@ def lexical(pages: DataFrame) -> DataFrame:
     })
 
 
-def with_suffix_rates(pages: DataFrame, rates: DataFrame, few: bool) -> DataFrame:
-    joined = pages.join(F.broadcast(rates) if few else rates, "suffix", "left")
-    return joined.withColumns({"suffix_known": F.coalesce("suffix_known", F.lit(0.0)), "suffix_rate": F.coalesce("suffix_rate", F.lit(0.5))})
+def label_counts(known: DataFrame) -> dict[str, DataFrame]:
+    """Blocked and all labelled URLs by host, and of the hosts together by each kind of suffix."""
+    counts = {"host": kept(known.groupBy("host", *SUFFIXES).agg(F.sum("label").alias("blocked"), F.count("*").alias("labelled")), "url-hosts")}
+    for name in SUFFIXES:
+        counts[name] = kept(counts["host"].groupBy(name).agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")), f"url-{name}")
+    counts["host"] = counts["host"].drop(*SUFFIXES)
+    return {name: F.broadcast(c) if c.count() <= BROADCAST_ROWS else c for name, c in counts.items()}
+
+
+def with_suffix_rates(pages: DataFrame, counts: dict[str, DataFrame]) -> DataFrame:
+    """Add, for each kind of suffix, the blocked share of the other hosts under it and how many URLs it rests on.
+
+    A host's own labels are taken off, so that no URL is judged, in the fit or later, by its own label or its neighbours'.
+    """
+    for name, c in counts.items():
+        pages = pages.join(c.withColumnsRenamed({"blocked": f"{name}_blocked", "labelled": f"{name}_labelled"}), name, "left")
+
+    def others(name: str, what: str) -> Column:
+        return F.coalesce(f"{name}_{what}", F.lit(0)) - F.coalesce(f"host_{what}", F.lit(0))
+
+    rates = {}
+    for name in SUFFIXES:
+        rates[f"{name}_rate"] = (others(name, "blocked") + 1) / (others(name, "labelled") + 2)
+        rates[f"{name}_known"] = F.log1p(others(name, "labelled"))
+    return pages.withColumns(rates)
 
 
 def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 20_000, trees: int = 10, depth: int = 4, seed: int = 5) -> DataFrame:
     """Judge each URL: page_id, host, path, rule, verdict (allow or block) and score, the model's probability of block.
 
     The model decides where no rule fits, at 0.5. It is fitted on at most ``sample_rows`` distinct URLs of each verdict
-    that rules gave, in the order of a hash; suffix statistics are over all rows. Where rules gave one verdict only that is
+    that rules gave, in the order of a hash; suffix statistics are over all rows but those of the URL's own host. Where rules gave one verdict only that is
     everyone's, where none then allow. Null and empty URLs have empty host and path; repeated rows are judged each;
     columns other than page_id and url are ignored.
     """
     judged = lexical(matched(pages.select("page_id", "url"), rules))
     known = judged.filter("verdict is not null").withColumn("label", (F.col("verdict") == "block").cast("double"))
-    rates = known.groupBy("suffix").agg(
-        ((F.sum("label") + 1) / (F.count("*") + 2)).alias("suffix_rate"), F.log1p(F.count("*")).alias("suffix_known"))
-    rates = kept(rates, "url-suffixes")
-    few = rates.count() <= BROADCAST_SUFFIXES
+    counts = label_counts(known)
     order = [F.xxhash64("url"), F.col("url")]
     distinct = known.select("url", "label").distinct()
     sample = [distinct.filter(F.col("label") == y).orderBy(*order).limit(sample_rows) for y in (0.0, 1.0)]
@@ -115,9 +136,9 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
         only = "block" if there[1] else "allow"
         return judged.select(*result, F.coalesce("verdict", F.lit(only)).alias("verdict"), F.lit(float(there[1])).alias("score"))
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = assemble.transform(with_suffix_rates(lexical(matched(sample, rules)), rates, few)).select("features", "label")
+    train = assemble.transform(with_suffix_rates(lexical(matched(sample, rules)), counts)).select("features", "label")
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, cacheNodeIds=False, maxMemoryInMB=64).fit(train)
-    scored = model.transform(assemble.transform(with_suffix_rates(judged, rates, few)))
+    scored = model.transform(assemble.transform(with_suffix_rates(judged, counts)))
     score = vector_to_array("probability")[1]
     verdict = F.coalesce("verdict", F.when(score >= 0.5, "block").otherwise("allow"))
     return scored.select(*result, verdict.alias("verdict"), score.alias("score"))

@@ -162,6 +162,43 @@ def test_urls(spark):
     assert urls.filter_urls(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("lexical", [True, False])
+def test_trees_judge_unlabelled_hosts_by_the_url(spark, monkeypatch, lexical):
+    """Hosts of one suffix, half of them blocked: only the look of the URLs tells what the hosts without a rule are."""
+    plain, odd = (lambda i: f"/news/story/{'abcdefgh'[i % 8]}rticle"), (lambda i: f"/{i * 7919}/{i * 104729}?a={i}&b={i * 31}&c={i * 17}")
+    rules = tuple(urls.Rule(f"h{i}.site/", "block" if i % 2 else "allow") for i in range(20))
+    pages = [(f"http://h{h}.site{(odd if h % 2 else plain)(i)}", None) for h in range(20) for i in range(1, 16)]
+    pages += [(f"http://u{h}.site{(odd if h % 2 else plain)(i)}", "block" if h % 2 else "allow") for h in range(10) for i in range(20, 40)]
+    frame = spark.createDataFrame([(n, u, v) for n, (u, v) in enumerate(pages)], "page_id long, url string, truth string")
+    if not lexical:
+        monkeypatch.setattr(urls, "FEATURES", [f for f in urls.FEATURES if f.endswith(("_rate", "_known"))])
+    got = urls.filter_urls(frame, rules).join(frame.filter("truth is not null").select("page_id", "truth"), "page_id")
+    right = got.filter("verdict = truth").count() / got.count()
+    assert right >= 0.95 if lexical else right <= 0.6
+
+
+def test_suffix_rates_leave_out_the_own_host(spark, monkeypatch):
+    rows = [("a.x.org", 1.0)] * 3 + [("b.x.org", 0.0)] + [("c.org", 1.0)] * 2
+    known = urls.lexical(spark.createDataFrame([(h, f"http://{h}/", "/", y) for h, y in rows], "host string, url string, path string, label double"))
+    pages = urls.lexical(spark.createDataFrame([(h, f"http://{h}/", "/") for h in ("a.x.org", "b.x.org", "c.org", "new.x.org", "other", "")], "host string, url string, path string"))
+    for most in (100, 0):
+        monkeypatch.setattr(urls, "BROADCAST_ROWS", most)
+        got = {r.host: (r.suffix_rate, r.domain_rate) for r in urls.with_suffix_rates(pages, urls.label_counts(known)).collect()}
+        assert got == {"a.x.org": (3 / 5, 1 / 3), "b.x.org": (6 / 7, 4 / 5), "c.org": (4 / 6, 1 / 2), "new.x.org": (6 / 8, 4 / 6), "other": (1 / 2, 1 / 2), "": (1 / 2, 1 / 2)}
+
+
+def test_small_shards_are_searched_by_their_graph(spark, monkeypatch):
+    built = []
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 30, 500):
+        points = rng.normal(size=(n, 8))
+        graph = neighbours.Graph(np.concatenate([points, np.zeros((n, 1))], 1))
+        row, vec, score = neighbours._answers(graph, points, [np.array([i]) for i in range(n)], points[:5], 21)
+        truth = np.argsort(-(points[:5] @ points.T), 1, kind="stable")[:, :21]
+        built.append(np.mean([len(set(vec[row == q]) & set(truth[q])) / len(truth[q]) for q in range(len(truth))]))
+    assert min(built) >= 0.95 and built[:3] == [1.0, 1.0, 1.0]
+
+
 def test_url_sample_takes_each_url_once(spark, monkeypatch):
     sampled = []
     monkeypatch.setattr(urls, "kept", lambda df, label, *a: sampled.append((label, df)) or shared.kept(df, label, *a))
