@@ -156,3 +156,11 @@ def test_buckets_open_again_under_another_name(spark):
     table = T.training_table_of_buckets(again, days, 12)
     assert "hashpartitioning" not in plan(table)
     assert ordered(table) == ordered(T.build_training_table(narrow, obs))
+
+
+def test_buckets_grow_with_the_tables(inputs, monkeypatch):
+    from fcbias.catalog import tables
+
+    assert tables.n_buckets(inputs) == BUCKETS
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    assert tables.n_buckets(inputs) >= 50
