@@ -350,3 +350,53 @@ def test_nearest_on_a_grid_has_no_shuffle(spark):
 def test_unlike_steps_are_refused():
     with pytest.raises(ValueError):
         PR.ProjectedGrid(PR.Lambert(), 30, 25, 1000.0, 40_000.0, 55.0, 10.0)
+
+
+def test_lists_hold_what_all_pairs_give(spark, monkeypatch):
+    """Crowded tiles cut into parts, equal places, boxes of few nodes and nodes that share a number."""
+    from fcbias.operators import lists
+
+    monkeypatch.setattr(lists, "LIST_POINTS", 200)
+    monkeypatch.setattr(lists, "LIST_NODES", 16)
+    monkeypatch.setattr(lists, "BOX", 8)
+    points, nodes = city(np.random.default_rng(12), 3000)
+    points = pd.concat([points, points.head(300).assign(sid=lambda p: p.sid + 100_000)], ignore_index=True)
+    key = ["cell", "sid", "rank"]
+    for grid in (nodes, pd.concat([nodes, nodes.head(7)], ignore_index=True)):
+        p, g = spark.createDataFrame(points), spark.createDataFrame(grid)
+        want = X.top_neighbours(I.barnes_weights(p, g), 5).select(*key).collect()
+        got = I.list_rows(I.best_lists(p, g, 5)).select(*key).collect()
+        assert len(want) > 400 and [r[:2] for r in sorted(map(tuple, got))] == [r[:2] for r in sorted(map(tuple, want))]
+        assert sorted((r.cell, r["rank"]) for r in got) == sorted((r.cell, r["rank"]) for r in want)
+
+
+def test_best_points_form_no_rows_of_pairs(spark, folder):
+    """No sort, window or shuffle meets a pair of node and point: the search is one group a tile."""
+    from fcbias.catalog import QUERIES
+
+    for name in ("oi_nearest1", "oi_pair2", "oi_weights", "zero_background"):
+        text = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in text and "WindowGroupLimit" not in text
+
+
+def test_scenes_without_listed_points_are_searched_by_their_own(spark):
+    """Stations at one place that all lack the same scenes: the list runs out, and the next place is found."""
+    g = spark.createDataFrame([(0, 60.0, 20.0, 0.0, 1.0)], "cell int, lat double, lon double, topo double, lc double")
+    rows = [(s, 60.0, 20.01, 0.0, 1.0) for s in range(8)] + [(9, 60.1, 20.1, 0.0, 1.0)]
+    p = spark.createDataFrame(rows, "sid int, lat double, lon double, elev double, land double")
+    biases = spark.createDataFrame([(s, 1, 2.0) for s in range(8)] + [(9, lead, 4.0) for lead in (1, 2)], "sid int, leadtime int, bias double")
+    got = {r.leadtime: r["diff"] for r in I.oi_analysis(p, biases, g, 1).collect()}
+    alone = I.oi_analysis(p.where("sid = 9"), biases.where("sid = 9"), g, 1).collect()
+    assert got[2] == pytest.approx({r.leadtime: r["diff"] for r in alone}[2]) and got[1] != pytest.approx(got[2])
+
+
+def test_nearest_in_boxes_equals_all_distances(spark, monkeypatch):
+    """A grid that counts as one of many nodes: rows close together, columns far apart, points between them."""
+    monkeypatch.setattr(X, "MANY", 1)
+    rng = np.random.default_rng(13)
+    lat, lon = np.meshgrid(np.linspace(59, 62, 300), np.linspace(10, 20, 12))
+    nodes = pd.DataFrame({"cell": np.arange(lat.size), "lat": lat.ravel(), "lon": lon.ravel()})
+    points = frame(rng, 150, (58.5, 62.5), (9, 21), "sid")
+    distance = great_circle(points.lat.values[:, None], points.lon.values[:, None], nodes.lat.values, nodes.lon.values)
+    got = X.nearest_cell(spark.createDataFrame(points), spark.createDataFrame(nodes)).toPandas().set_index("sid")
+    assert len(got) == 150 and np.allclose(got.loc[points.sid, "distance"], distance.min(axis=1), atol=0.02)
