@@ -113,3 +113,11 @@ def test_repeated_observations_multiply(spark, inputs):
     once, twice = build_training_table(inputs.fc_narrow(), obs), build_training_table(inputs.fc_narrow(), obs.unionAll(obs))
     known = "size(array_compact(array(t0bias, rh0bias, ws0bias, wg0bias))) > 0 and size(array_compact(array(t1bias, rh1bias, ws1bias, wg1bias))) > 0"
     assert twice.where(known).count() == 8 * once.where(known).count() > 0
+
+
+def test_grids_are_not_broadcast(spark, inputs, folder):
+    """The file of a grid passes for a small table, its broadcast fills the driver."""
+    from fcbias.catalog import QUERIES
+
+    text = QUERIES["operational_nearest1_gust"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [cell" not in text and "SortMergeJoin [cell" in text
