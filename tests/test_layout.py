@@ -164,3 +164,14 @@ def test_buckets_grow_with_the_tables(inputs, monkeypatch):
     assert tables.n_buckets(inputs) == BUCKETS
     monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
     assert tables.n_buckets(inputs) >= 50
+
+
+def test_inputs_are_spread_by_rows(spark):
+    """Splits by bytes hold millions of rows of a small file; partitions do not, and a small table has one a core."""
+    from fcbias.sources.standins import SPREAD_ROWS, spread
+
+    cores, n = spark.sparkContext.defaultParallelism, 8_000_000
+    large = spread(spark.range(0, n, 1, cores).toDF("key"), "key")
+    held = [r["count"] for r in large.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert sum(held) == n and max(held) < 1.1 * SPREAD_ROWS
+    assert spread(spark.range(0, 1000, 1, 1), "id").rdd.getNumPartitions() == cores
