@@ -97,6 +97,19 @@ def test_neighbours_of_a_crowded_tile(spark, monkeypatch):
     assert sorted(zip(got.cell, got.sid)) == sorted(zip(cells, points.sid.values[at]))
 
 
+def test_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Pairs of many points and nodes are made by many tasks, however few bytes the points and nodes take."""
+    monkeypatch.setattr(X, "TASK_PAIRS", 1000, raising=False)
+    rng = np.random.default_rng(3)
+    points, nodes = points_of(frame(rng, 400, (58, 66), (10, 30), "sid")), nodes_of(frame(rng, 300, (58, 66), (10, 30), "cell"))
+    # a partition each, as a small file is read
+    near = X.neighbours(*[spark.createDataFrame(df).coalesce(1) for df in (points, nodes)])
+    tasks = near.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
+    distance = great_circle(nodes.lat.values[:, None], nodes.lon.values[:, None], points.lat.values, points.lon.values)
+    total = (distance <= search_radius()).sum()
+    assert sum(t.n for t in tasks) == total and len(tasks) >= 4 and max(t.n for t in tasks) < total / 3
+
+
 @pytest.mark.parametrize("degrees", [*X.NEAREST_LEVELS, 1.0])
 def test_tile_counts_are_not_on_an_edge(degrees):
     """No row's number of columns hangs on the last bits of a sine, so all machines agree on it."""
