@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from fcbias.catalog import operational as O
+from fcbias.operators import interpolation as I
 from fcbias.operators import spatial as X
 from fcbias.plans import correction as C
 from fcbias.plans.operational import operational_run
 from fcbias.plans.training import build_training_table
+from fcbias.session import stored
 from fcbias.sources import tables
 
 
@@ -121,3 +123,15 @@ def test_grids_are_not_broadcast(spark, inputs, folder):
 
     text = QUERIES["operational_nearest1_gust"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [cell" not in text and "SortMergeJoin [cell" in text
+
+
+def test_stored_points_are_not_broadcast(spark, inputs):
+    """So does the file of checked points, of which three runs have as many as a grid has nodes."""
+    points = stored(C.observation_qc(*O.latest(inputs, "temperature"), inputs.dem(), inputs.grid(), "temperature").drop("obstime"), "points")
+    near = X.nearest_cell(points.select("sid", "lat", "lon"), inputs.grid())
+    features = C.feature_table_serve(points, near, C.model_units(O.fields(inputs)), inputs.grid(), "temperature")
+    increments = I.oi_analysis(points, O.fading("temperature")(features), inputs.grid(), k=1)
+    for df in (features, increments):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [sid" not in text and "SortMergeJoin [sid" in text
+    assert features.count() == points.count() * 6 and increments.count() > 0
