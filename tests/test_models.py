@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fcbias import params as P
-from fcbias.catalog import QUERIES
+from fcbias.catalog import QUERIES, learning
 from fcbias.operators import model as M
 from fcbias.operators import prepare as R
 from fcbias.session import new_folder
@@ -68,6 +68,20 @@ def test_model_queries(spark, folder, name):
         assert rows[0]["largest_difference"] == 0.0
 
 
+@pytest.mark.parametrize("param", P.FEATURES)
+def test_scored_rows_are_of_the_published_trees(spark, monkeypatch, param):
+    rng = np.random.default_rng(1)
+    p, n = P.parameter(param), 300
+    df = pd.DataFrame({c: rng.normal(size=n) for c in P.FEATURES[param]})
+    df = df.assign(sid=np.arange(n), validdate=pd.Timestamp("2024-07-01"), leadtime=rng.integers(2, 9, n), **{p.error: 2 * df[p.bias1]})
+    monkeypatch.setattr(learning, "rows", lambda t, of: spark.createDataFrame(df))
+    fitted, fit = [], M.train
+    monkeypatch.setattr(M, "train", lambda rows, of, settings: fitted.append(settings) or fit(rows, of, M.smaller(of, 2, 3)))
+    row, = QUERIES[f"train_gbt_rows_{param.lower()}"](spark, "no folder").collect()
+    assert fitted == [P.TREES[param]]
+    assert not row["is_validation"] and row["model_beats_raw"] and 200 < row["n"] < n
+
+
 def test_whole_job(spark, folder):
     rows = QUERIES["correct_grid_model"](spark, folder).collect()
     assert len(rows) == 200 * 6
